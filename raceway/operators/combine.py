@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from raceway.contracts import UINT8
 
@@ -26,52 +26,61 @@ def lookup_left(
     A row without a match gets NULLs. Equal ``dim`` rows count once; a key with two different
     rows raises, since it would multiply the rows of ``df``.
 
-    With ``key_range`` (one integer or date key, ends included) a key outside it raises. So the
-    range proves how many rows ``dim`` can have, and a small enough ``dim`` is broadcast. Without
-    it Spark decides on the measured size; ``dim`` then ends in its own shuffle, which leaves
-    adaptive execution free to split a hot key of ``df`` over several tasks.
+    Without ``key_range`` one aggregate checks ``dim`` first. The join then gets plain inputs:
+    Spark broadcasts ``dim`` when its size is below the session's threshold, else sorts and
+    merges, where adaptive execution splits a hot key of ``df`` over several tasks.
+
+    With ``key_range`` (one integer or date key, ends included) nothing runs first. A key outside
+    the range raises, so the range bounds the rows of ``dim``, which makes a broadcast safe.
     """
     on = [on] if isinstance(on, str) else list(on)
     clash = set(take) & set(df.columns)
     if clash:
         raise ValueError(f"looked-up columns already present: {sorted(clash)}")
-
-    spread = []
-    for c in take:
-        spread += [F.min(c).alias(f"_min_{c}"), F.max(c).alias(f"_max_{c}"), F.count(c).alias(f"_set_{c}")]
-    rows = dim.groupBy(*on).agg(F.count("*").alias("_rows"), *spread)
-    rows = rows.select(
-        *on,
-        *[
-            F.when(
-                F.col(f"_min_{c}").eqNullSafe(F.col(f"_max_{c}"))
-                & F.col(f"_set_{c}").isin(F.lit(0), F.col("_rows")),
-                F.col(f"_min_{c}"),
-            )
-            .otherwise(F.raise_error(F.lit(f"lookup: {c} is not unique for {', '.join(on)}")))
-            .alias(c)
-            for c in take
-        ],
-    )
-    if key_range is None:
-        rows = rows.repartition(*on)
-    else:
-        rows = _in_range(rows, on, key_range)
+    rows = dim.select(*on, *take)
+    rows = _checked(rows, on) if key_range is None else _bounded(rows, on, take, key_range)
     return df.join(rows, on, "left").select(*df.columns, *take)
 
 
-def _in_range(rows: DataFrame, on: list[str], key_range: tuple) -> DataFrame:
+def _checked(rows: DataFrame, on: list[str]) -> DataFrame:
+    if _repeated(rows, on):
+        # Copies of a row are harmless; two rows that differ are not.
+        rows = rows.distinct()
+        repeated = _repeated(rows, on)
+        if repeated:
+            raise ValueError(f"lookup: {repeated} rows repeat a key ({', '.join(on)})")
+    return rows
+
+
+def _repeated(rows: DataFrame, on: list[str]) -> int:
+    known = rows.dropna(subset=on)  # a NULL key matches nothing
+    return known.groupBy(*on).count().agg(F.sum(F.col("count") - 1)).first()[0] or 0
+
+
+def _bounded(rows: DataFrame, on: list[str], take: Sequence[str], key_range: tuple) -> DataFrame:
     if len(on) != 1:
         raise ValueError("key_range needs exactly one key")
     low, high = key_range
-    key = F.col(on[0])
-    fits = key.isNull() | key.between(F.lit(low), F.lit(high))
-    rows = rows.withColumn(
-        on[0],
-        F.when(fits, key).otherwise(F.raise_error(F.lit(f"lookup: {on[0]} outside {low}..{high}"))),
-    )
+    inside = F.col(on[0]).isNull() | F.col(on[0]).between(F.lit(low), F.lit(high))
+    spread = []
+    for c in take:
+        spread += [F.min(c).alias(f"_min_{c}"), F.max(c).alias(f"_max_{c}"), F.count(c).alias(f"_set_{c}")]
+    merged = rows.groupBy(*on).agg(F.count("*").alias("_rows"), *spread)
+
+    def value(c: str) -> Column:
+        same = F.col(f"_min_{c}").eqNullSafe(F.col(f"_max_{c}")) & F.col(f"_set_{c}").isin(
+            F.lit(0), F.col("_rows")
+        )
+        return (
+            F.when(~inside, F.raise_error(F.lit(f"lookup: {on[0]} outside {low}..{high}")))
+            .when(~same, F.raise_error(F.lit(f"lookup: {c} is not unique for {on[0]}")))
+            .otherwise(F.col(f"_min_{c}"))
+        )
+
+    merged = merged.select(*on, *[value(c).alias(c) for c in take])
     span = (high - low).days if isinstance(low, date) else high - low
-    return F.broadcast(rows) if span < BROADCAST_ROWS else rows
+    fixed_width = all(isinstance(rows.schema[c].dataType, (T.NumericType, T.DateType)) for c in take)
+    return F.broadcast(merged) if span < BROADCAST_ROWS and fixed_width else merged
 
 
 def union_batches(batches: Sequence[DataFrame]) -> DataFrame:
