@@ -38,9 +38,8 @@ def shared_folder(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="raceway-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="raceway-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -1,0 +1,219 @@
+import json
+from datetime import date, datetime
+
+import pytest
+from conftest import plan, rows
+from pyspark.sql import functions as F
+
+from raceway import contracts as c
+from raceway import plans, sources
+from raceway.operators import ContractError
+
+RACE, NEXT = 9001, 9002
+
+DATA = {
+    "position": [
+        (1, RACE, "2024-03-02T15:00:00+00:00", 3),
+        (1, RACE, "2024-03-02T16:30:00.500000+00:00", 1),
+        (1, RACE, "2024-03-02T16:30:00+00:00", 2),
+        (44, RACE, "2024-03-02T15:00:00+00:00", 2),
+        (44, RACE, "2024-03-02T15:00:00+00:00", 2),  # a repeated record
+        (44, NEXT, "2024-03-03T23:59:59+00:00", 21),
+        (7, NEXT, "2024-03-02T15:00:00+00:00", 20),
+        (7, RACE, "2024-03-02T15:00:00+00:00", 11),
+    ],
+    "drivers": [
+        (1, RACE, 1, "Max", "MAX", "Alpha", "NED"),
+        (44, RACE, 1, "Lew", "LEW", "Alpha", "GBR"),
+        (44, NEXT, 1, "Lew", "LEW", "Beta", "GBR"),
+        (7, RACE, 1, "Jan", "JAN", "Gone", None),
+        (8, RACE, 1, "Ann", "ANN", None, None),
+        (1, RACE, 1, "Max", "MAX", "Alpha", "NED"),
+    ],
+    "teams": [(1, "Alpha", "GB", "ALP"), (2, "Beta", None, "BET"), (1, "Alpha", "GB", "ALP")],
+    "sessions": [
+        (RACE, "Race", "Race", "Sakhir", "Sakhir", "Bahrain", "2024-03-02T18:00:00+03:00",
+         "2024-03-02T20:00:00+03:00", 1, 2, "BRN", 3, "03:00:00", 2024),
+        (NEXT, "Practice 1", "Practice", "Interlagos", "São Paulo", None, "2024-03-03T10:00:00",
+         "2024-03-03T11:00:00", 1, 2, "BRA", 4, "-03:00:00", 2024),
+        (NEXT, "Practice 1", "Practice", "Interlagos", "São Paulo", None, "2024-03-03T10:00:00",
+         "2024-03-03T11:00:00", 9, 2, "BRA", 4, "-03:00:00", 2024),
+    ],
+    "pit": [
+        (1, RACE, 1, 12, 23.5, "2024-03-02T15:20:00.250000+00:00"),
+        (1, RACE, 2, 12, 23.5, "2024-03-02T15:20:00.250000+00:00"),
+        (44, RACE, 1, 13, 24.5, "2024-03-02T17:20:00+02:00"),
+    ],
+    "stints": [
+        (44, RACE, 1, 1, 1, 20, "SOFT", 0.0),
+        (1, RACE, 1, 2, 21, 50, None, 3.0),
+        (1, RACE, 1, 1, 1, 20, "HARD", 0.0),
+        (1, RACE, 2, 1, 1, 20, "HARD", 0.0),
+    ],
+    "weather": [
+        (RACE, 1, "2024-03-02T15:01:00+00:00", 40.0, 1010.0, 0.0, 20.0, 30.0, 1.0, 350.0),
+        (RACE, 1, "2024-03-02T15:00:00+00:00", 50.0, 1012.0, 1.0, 22.0, 32.0, 2.0, 10.0),
+        (NEXT, 2, "2024-03-02T15:00:00+00:00", 50.0, 1012.0, 1.0, 22.0, 32.0, 2.0, 10.0),
+    ],
+}
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    return {name: spark.createDataFrame(data, c.RAW[name]) for name, data in DATA.items()}
+
+
+def ntz(df, *columns):
+    return df.withColumns({x: F.col(x).cast("timestamp_ntz") for x in columns})
+
+
+def test_teams(raw):
+    assert rows(plans.build_teams(raw["teams"])) == [(1, "Alpha", "GB", "ALP"), (2, "Beta", None, "BET")]
+
+
+def test_drivers_take_their_latest_team(raw):
+    got = plans.build_drivers(raw["drivers"], raw["teams"])
+    assert got.columns == ["driver_id", "full_name", "acronym", "country_code", "team_id"]
+    assert rows(got) == [
+        (1, "Max", "MAX", "NED", 1),
+        (7, "Jan", "JAN", None, None),
+        (8, "Ann", "ANN", None, None),
+        (44, "Lew", "LEW", "GBR", 2),
+    ]
+
+
+def test_races(raw):
+    got = plans.build_races(raw["sessions"])
+    assert set(got.columns) == {f.name for f in c.RACES.fields} - {"total_laps"}
+    assert rows(ntz(got, "timestamp_start", "timestamp_end"), "race_id", "location", "timestamp_start", "timestamp_end") == [
+        (RACE, "Sakhir", datetime(2024, 3, 2, 15), datetime(2024, 3, 2, 17)),
+        (NEXT, "São Paulo", datetime(2024, 3, 3, 10), datetime(2024, 3, 3, 11)),
+    ]
+
+
+def test_stints_are_deduplicated_then_numbered(raw):
+    got = plans.build_stints(raw["stints"])
+    assert rows(got, "stint_id", "driver_id", "stint_number", "compound") == [
+        (0, 1, 1, "HARD"), (1, 1, 2, "Unknown"), (2, 44, 1, "SOFT"),
+    ]
+
+
+def test_weather_is_deduplicated_then_numbered(raw):
+    got = ntz(plans.build_weather(raw["weather"]), "timestamp")
+    assert rows(got, "weather_id", "timestamp", "humidity") == [
+        (0, datetime(2024, 3, 2, 15), 50.0), (1, datetime(2024, 3, 2, 15, 1), 40.0),
+    ]
+
+
+def test_daily_weather(raw):
+    got = plans.build_daily_weather(raw["weather"])
+    assert rows(got, "date", "weather_id", "wind_speed", "rainfall") == [
+        (date(2024, 3, 2), 19784, 5 / 3, 2 / 3)
+    ]
+
+
+def test_pit_stops(raw):
+    got = ntz(plans.build_pit_stops(raw["pit"]), "date")
+    assert rows(got, "driver_id", "race_id", "lap_number", "date") == [
+        (1, RACE, 12, datetime(2024, 3, 2, 15, 20, 0, 250000)),
+        (44, RACE, 13, datetime(2024, 3, 2, 15, 20)),
+    ]
+
+
+RESULT_ROWS = [
+    (1, RACE, 1, 25, 19784, date(2024, 3, 2)),
+    (7, RACE, 11, 0, 19784, date(2024, 3, 2)),
+    (7, NEXT, 20, 0, 19784, date(2024, 3, 2)),
+    (44, RACE, 2, 18, 19784, date(2024, 3, 2)),
+    (44, NEXT, 21, None, None, date(2024, 3, 3)),
+]
+RESULT_COLUMNS = ("driver_id", "race_id", "final_position", "points_earned", "weather_id", "date")
+
+
+def test_results(raw):
+    got = plans.build_results(raw["position"], plans.build_daily_weather(raw["weather"]))
+    assert rows(got, *RESULT_COLUMNS) == RESULT_ROWS
+    sprint = plans.build_results(raw["position"], plans.build_daily_weather(raw["weather"]), {1: 8})
+    assert rows(sprint.where("points_earned is not null"), "driver_id", "points_earned") == [(1, 8)]
+
+
+def test_results_shuffle_once_and_skip_the_means(raw):
+    text = plan(plans.build_results(raw["position"], plans.build_daily_weather(raw["weather"])))
+    assert text.count("WindowGroupLimit") == 2 and "BroadcastHashJoin" in text
+    assert text.count("Exchange hashpartitioning") == 2  # positions, and the days of the weather
+    assert "avg(" not in text and "Python" not in text
+
+
+@pytest.fixture(scope="module")
+def warehouse(spark, raw, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("warehouse")
+    paths = {name: sources.write_raw(df, f"{folder}/raw", name) for name, df in raw.items()}
+    written = plans.build_warehouse(spark, paths, f"{folder}/dw")
+    assert set(written) == set(c.WAREHOUSE)
+    return f"{folder}/dw"
+
+
+def test_warehouse_tables_follow_their_contracts(spark, warehouse):
+    counts = {}
+    for table, contract in c.WAREHOUSE.items():
+        df = spark.read.parquet(f"{warehouse}/{table}")
+        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.type) for f in contract.fields]
+        counts[table] = df.count()
+    assert counts == {
+        "ResultsFactsFT": 5, "PitStopsFT": 2, "DriversDT": 4, "TeamsDT": 2, "RacesDT": 2,
+        "WeatherDT": 2, "DailyWeatherDT": 1, "StintsDT": 3,
+    }
+    results = sources.read_warehouse(spark, c.RESULTS, warehouse)
+    assert rows(results, *RESULT_COLUMNS) == RESULT_ROWS
+    assert sources.read_warehouse(spark, c.RACES, warehouse).where("total_laps is not null").count() == 0
+
+
+def test_warehouse_refuses_an_empty_source(spark, raw, tmp_path):
+    paths = {n: sources.write_raw(df, str(tmp_path), n) for n, df in raw.items()}
+    paths["pit"] = sources.write_raw(raw["pit"].where("lap_number < 0"), str(tmp_path), "no_pit")
+    with pytest.raises(ContractError, match="pit: no rows"):
+        plans.build_warehouse(spark, paths, str(tmp_path / "dw"))
+
+
+def test_export(spark, warehouse, tmp_path):
+    paths = plans.export_tables(spark, warehouse, str(tmp_path))
+    assert set(paths) == set(c.WAREHOUSE)
+
+    def read(table):
+        return spark.read.option("header", True).csv(paths[table])
+
+    assert rows(read("DriversDT"), "driver_id", "team_id") == [("1", "1"), ("44", "2"), ("7", "-1"), ("8", "-1")]
+    assert rows(read("ResultsFactsFT").where("weather_id = -1"), "driver_id", "race_id") == [("44", str(NEXT))]
+    assert read("RacesDT").columns == [f.name for f in c.RACES.fields]
+    assert rows(read("RacesDT"), "race_id", "timestamp_start") == [
+        (str(RACE), "2024-03-02 15:00:00"), (str(NEXT), "2024-03-03 10:00:00"),
+    ]
+
+
+def test_export_keeps_one_row_per_driver(spark):
+    df = spark.createDataFrame(
+        [(1, "A", "AAA", None, None), (1, "A", "AAA", "NED", 2)], c.DRIVERS.schema
+    )
+    assert rows(plans.export_view(df, "DriversDT")) == [(1, "A", "AAA", "NED", 2)]
+
+
+def test_ingest(spark, tmp_path):
+    landing = tmp_path / "landing"
+    batches = {
+        "drivers": [[{"driver_number": 1, "team_name": "A", "headshot_url": "u"}], [], [{"driver_number": 2, "first_name": "x"}]],
+        "intervals": [[{"driver_number": 1, "gap_to_leader": 1.5, "interval": 2}, {"driver_number": 2, "gap_to_leader": "+1 LAP", "interval": None}]],
+        "laps": [[]],
+    }
+    for name, files in batches.items():
+        (landing / name).mkdir(parents=True)
+        for i, records in enumerate(files):
+            (landing / name / f"{i}.json").write_text(json.dumps(records))
+    specs = {s.name: s for s in sources.CATALOGUE}
+    paths = plans.ingest_all(spark, str(landing), str(tmp_path / "raw"), [specs["drivers"], specs["intervals"]])
+    assert rows(spark.read.parquet(paths["drivers"])) == [(1, "A"), (2, None)]
+    assert paths["intervals"].endswith("/intervals.parquet")
+    assert rows(spark.read.parquet(paths["intervals"]), "driver_number", "gap_to_leader", "interval") == [
+        (1, "1.5", "2"), (2, "+1 LAP", None),
+    ]
+    with pytest.raises(ContractError, match="laps: no rows"):
+        plans.ingest(spark, specs["laps"], str(landing), str(tmp_path / "raw"), c.RAW["position"])

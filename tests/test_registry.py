@@ -1,0 +1,62 @@
+"""Every registered query against its SQL, and what its plan must not hold."""
+
+import re
+
+import oracle
+import pytest
+from conftest import plan
+
+import __spark_entry__ as entry
+
+SF_DIR = f"{oracle.DATA}/sf0.001"
+EAGER = {n for n in entry.queries() if n.startswith("stream_")}
+
+
+@pytest.fixture(scope="module")
+def db():
+    return oracle.connect(SF_DIR)
+
+
+def test_every_query_has_its_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_matches_its_sql(spark, db, tmp_path, name):
+    assert oracle.compare(spark, db, name, SF_DIR, str(tmp_path)) == []
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER))
+def test_plans_hold_no_product_and_no_python(spark, name):
+    text = plan(entry.queries()[name](spark, SF_DIR))
+    assert not re.search("CartesianProduct|NestedLoop|Python|ArrowEval|MapInPandas", text)
+
+
+def scanned(text):
+    """Columns of each Parquet scan in a plan."""
+    return [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<([^>]*)>", text)]
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("results_fact", [{"l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"}, {"o_orderdate"}]),
+        ("daily_mean", [{"ts", "value"}]),
+        ("distinct_keys", [{"l_partkey"}]),
+        ("sentinel_fill", [{"doc_id", "lang"}, {"doc_id", "quality", "toxic"}]),
+        ("strip_attributes", [{"doc_id", "lang", "source"}]),
+    ],
+)
+def test_scans_read_only_what_is_used(spark, name, columns):
+    assert scanned(plan(entry.queries()[name](spark, SF_DIR))) == columns
+
+
+@pytest.mark.parametrize("name", ["stints_dim", "weather_dim", "results_fact", "drivers_dim"])
+def test_results_do_not_depend_on_the_number_of_partitions(spark, conf, db, tmp_path, name):
+    for partitions in ("2", "32"):
+        conf("spark.sql.shuffle.partitions", partitions)
+        assert oracle.compare(spark, db, name, SF_DIR, str(tmp_path / partitions)) == []
