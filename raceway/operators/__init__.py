@@ -4,6 +4,7 @@ from raceway.operators.keyed import (
     dedupe_by,
     dedupe_rows,
     distinct_keys,
+    latest_narrow,
     latest_per_key,
     surrogate_key,
 )
@@ -40,6 +41,7 @@ __all__ = [
     "fill_sentinel",
     "fill_text",
     "guard_contract",
+    "latest_narrow",
     "latest_per_key",
     "lookup_left",
     "map_lookup",

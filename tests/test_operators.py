@@ -33,6 +33,26 @@ def test_latest_per_key_reduces_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") == 2 and text.count("Exchange hashpartitioning") == 1
 
 
+def test_latest_narrow_agrees_with_latest_per_key(spark):
+    stamps = [None, "1969-12-31T23:59:59.999999+00:00", "2024-01-01T00:00:00+02:00", "2024-01-01T00:00:00Z",
+              "2024-01-01T00:00:00.000001Z", "1500-01-01T00:00:00Z", "2500-01-01T00:00:00Z"]
+    records = [(i % 11, stamps[i * i % 7], None if i % 4 == 0 else i * 37 % 256) for i in range(300)]
+    records += [(90, None, None), (91, None, 0), (91, None, None), (92, stamps[2], 255), (92, stamps[2], 0)]
+    df = spark.createDataFrame(records, "k int, date string, position int")
+    wide = ops.latest_per_key(df, ["k"], [instant("date"), "position", "date"])
+    take = {"i": instant("date"), "position": F.col("position")}
+    narrow = ops.latest_narrow(df, ["k"], instant("date"), "position", take)
+    assert rows(narrow, "k", "i", "position") == rows(wide.withColumn("i", instant("date")), "k", "i", "position")
+    assert "Sort" not in plan(narrow)
+
+
+@pytest.mark.parametrize("bad", [("2024-01-01T00:00:00Z", 256), ("2024-01-01T00:00:00Z", -1), ("3000-01-01T00:00:00Z", 1)])
+def test_latest_narrow_raises_instead_of_guessing(spark, bad):
+    df = spark.createDataFrame([(1, *bad)], "k int, date string, position int")
+    with pytest.raises(Exception, match="beyond 8 bits|OVERFLOW"):
+        ops.latest_narrow(df, ["k"], instant("date"), "position", {"p": F.col("position")}).collect()
+
+
 def test_dedupe_by_keeps_latest_session(spark):
     df = spark.createDataFrame(
         [(21, 9000, "A"), (21, 9100, "B"), (22, 9000, None)], "driver int, session int, team string"
