@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
 from pyspark.sql import types as T
@@ -33,6 +33,11 @@ class Contract:
     def schema(self) -> T.StructType:
         return T.StructType([T.StructField(f.name, f.type, f.nullable) for f in self.fields])
 
+    def widened(self) -> Contract:
+        """The same table for data that outgrows 8- and 16-bit numbers: 64 bits, no range."""
+        fields = (replace(f, type=T.LongType(), limits=None) if f.limits else f for f in self.fields)
+        return replace(self, fields=tuple(fields))
+
 
 def u8(name: str, nullable: bool = False) -> Field:
     return Field(name, T.ShortType(), nullable, UINT8)
@@ -147,6 +152,7 @@ WAREHOUSE = {
     c.table: c
     for c in (RESULTS, PIT_STOPS, DRIVERS, TEAMS, RACES, WEATHER, DAILY_WEATHER, STINTS)
 }
+WIDE_WAREHOUSE = {table: contract.widened() for table, contract in WAREHOUSE.items()}
 
 
 def _raw(**columns: T.DataType) -> T.StructType:

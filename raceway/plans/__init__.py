@@ -8,8 +8,8 @@ from raceway.plans.dimensions import (
 )
 from raceway.plans.export import export_table, export_tables, export_view
 from raceway.plans.facts import POINTS, build_pit_stops, build_results
-from raceway.plans.ingest import ingest, ingest_all
-from raceway.plans.warehouse import build_warehouse
+from raceway.plans.ingest import ingest, ingest_all, requests
+from raceway.plans.warehouse import build_warehouse, table_rows
 
 __all__ = [
     "POINTS",
@@ -27,4 +27,6 @@ __all__ = [
     "export_view",
     "ingest",
     "ingest_all",
+    "requests",
+    "table_rows",
 ]

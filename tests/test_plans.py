@@ -175,6 +175,25 @@ def test_warehouse_refuses_an_empty_source(spark, raw, tmp_path):
         plans.build_warehouse(spark, paths, str(tmp_path / "dw"))
 
 
+def test_wide_contracts_take_larger_numbers(spark, raw, tmp_path):
+    paths = {n: sources.write_raw(df, str(tmp_path), n) for n, df in raw.items()}
+    far = raw["pit"].withColumn("session_key", F.lit(1 << 40))
+    paths["pit"] = sources.write_raw(far, str(tmp_path), "far_pit")
+    rows_of = plans.table_rows(spark, "PitStopsFT", paths, str(tmp_path))
+    with pytest.raises(Exception, match="PitStopsFT.race_id: bad value"):
+        sources.write_warehouse(rows_of, c.PIT_STOPS, str(tmp_path / "dw"))
+    wide = c.WIDE_WAREHOUSE["PitStopsFT"]
+    sources.write_warehouse(rows_of, wide, str(tmp_path / "dw"))
+    stored = sources.read_warehouse(spark, wide, str(tmp_path / "dw"))
+    assert rows(stored, "race_id") == [(1 << 40,), (1 << 40,)]
+
+
+def test_requests_follow_the_keys_of_the_source(raw):
+    specs = {s.name: s for s in sources.CATALOGUE}
+    counts = {n: plans.requests(specs[n], raw["sessions"], raw["drivers"]).count() for n in ("pit", "laps", "position", "location")}
+    assert counts == {"pit": 1, "laps": 2, "position": 4, "location": 8}
+
+
 def test_export(spark, warehouse, tmp_path):
     paths = plans.export_tables(spark, warehouse, str(tmp_path))
     assert set(paths) == set(c.WAREHOUSE)

@@ -86,9 +86,27 @@ def test_catalogue():
     assert given == (sources.SourceSpec("laps", drop=("x",), key_by=("session_key",)),)
 
 
+def test_api_descriptions():
+    limits = {"start": 1, "end": 500}
+    url = "https://a.example/v1/"
+    text = json.dumps(
+        [
+            {"base_url": url + "car_data?x=1", "attributes_to_remove": ["brake"],
+             "session_keys_range": limits, "driver_numbers_range": limits},
+            {"base_url": url + "intervals", "attributes_to_remove": [], "session_keys_range": limits},
+        ]
+    )
+    assert sources.load_specs(text) == (
+        sources.SourceSpec("car_data", ("brake",), (), ("session_key", "driver_number"), url + "car_data?x=1"),
+        sources.SourceSpec("intervals", (), ("gap_to_leader", "interval"), ("session_key",), url + "intervals"),
+    )
+
+
 @pytest.mark.parametrize(
     "text",
     ["[]", "{}", '[{"drop": []}]', '[{"name": ""}]', '[{"name": "x", "drop": "abc"}]',
+     '[{"base_url": 1, "attributes_to_remove": []}]', '[{"base_url": "u/x", "attributes_to_remove": "a"}]',
+     '[{"base_url": "u/x", "attributes_to_remove": [], "session_keys_range": {"start": 1}}]', "[1]",
      '[{"name": "x", "key_by": ["year"]}]', '[{"name": "x", "other": 1}]', '[{"name": "x", "drop": [1]}]'],
 )
 def test_bad_catalogues_are_refused(text):

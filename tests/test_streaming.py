@@ -1,3 +1,6 @@
+import glob
+import os
+import shutil
 from datetime import datetime, timedelta
 
 import pytest
@@ -29,10 +32,6 @@ def feed(spark, tmp_path):
             Feed.files += 1
             part = f"{tmp_path}/part{Feed.files}"
             spark.createDataFrame(list(records), DDL).coalesce(1).write.parquet(part)
-            import glob
-            import os
-            import shutil
-
             (file,) = glob.glob(f"{part}/part-*.parquet")
             target = f"{folder}/{Feed.files:03d}.parquet"
             shutil.copy(file, target)
