@@ -92,6 +92,15 @@ ORACLES: dict[str, str] = {
                ROUND(AVG(wind_direction), 6) AS wind_direction,
                {_DAY_NUMBER.format(d="date")} AS weather_id
         FROM (SELECT CAST(o_orderdate AS DATE) AS date, {_MEASURES} FROM orders) GROUP BY date""",
+    "stored_results": f"""
+        SELECT CAST(final_position AS BIGINT) AS final_position,
+               CAST(points_earned AS BIGINT) AS points_earned, driver_id, race_id,
+               CAST(weather_id AS BIGINT) AS weather_id, date
+        FROM ({_RESULTS})""",
+    "latest_narrow": f"""
+        SELECT driver_id AS driver_number, race_id AS session_key, date AS day,
+               final_position AS position
+        FROM ({_RESULTS})""",
     "latest_per_key": _LATEST_EVENTS,
     "map_lookup": f"""
         SELECT event_id, position, CAST({_POINTS.format(p="position")} AS INTEGER) AS points

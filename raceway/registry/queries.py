@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from raceway import operators as ops
 from raceway import plans, sources, streaming
-from raceway.contracts import MEASURES, PIT_STOPS, STINTS, Contract, Field, text
-from raceway.functions import endpoint_name, instant
+from raceway.contracts import MEASURES, PIT_STOPS, STINTS, WIDE_WAREHOUSE, Contract, Field, text
+from raceway.functions import endpoint_name, instant, written_day
 from raceway.registry import race_views as views
 from raceway.registry.race_views import iso_text, table
 from raceway.session import new_folder
@@ -96,9 +96,29 @@ def daily_weather_dim(spark, sf_dir):
     return _rounded(plans.build_daily_weather(views.weather(spark, sf_dir)), MEASURES)
 
 
+@query
+def stored_results(spark, sf_dir):
+    """Raw Parquet to the stored daily weather, to the stored results, each checked on its way."""
+    root = new_folder(spark, "stored")
+    samples = views.weather(spark, sf_dir).fillna(0.0, ["rainfall"])
+    days = plans.build_daily_weather(samples)
+    sources.write_warehouse(days, WIDE_WAREHOUSE["DailyWeatherDT"], root)
+    paths = {"position": sources.write_raw(views.positions(spark, sf_dir), root, "position")}
+    results = plans.table_rows(spark, "ResultsFactsFT", paths, root, WIDE_WAREHOUSE)
+    sources.write_warehouse(results, WIDE_WAREHOUSE["ResultsFactsFT"], root)
+    return sources.read_warehouse(spark, WIDE_WAREHOUSE["ResultsFactsFT"], root)
+
+
 # Operators
 
 
+@query
+def latest_narrow(spark, sf_dir):
+    take = {"day": written_day("date"), "position": F.col("position")}
+    keys = ["driver_number", "session_key"]
+    return ops.latest_narrow(views.positions(spark, sf_dir), keys, instant("date"), "position", take)
+
+
 @query
 def latest_per_key(spark, sf_dir):
     events = table(spark, sf_dir, "events").drop("props")

@@ -1,0 +1,85 @@
+"""Random rows against brute force in Python."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import rows
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+from raceway import operators as ops
+
+few = settings(
+    max_examples=8, deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+maybe = st.one_of(st.none(), st.integers(-3, 3))
+
+
+def low(value):
+    """Orders NULL below any value."""
+    return (value is not None, value)
+
+
+@few
+@given(st.lists(st.tuples(maybe, maybe, maybe, st.integers(0, 9)), max_size=40))
+def test_latest_per_key(spark, records):
+    df = spark.createDataFrame(records, "k int, a int, b int, id int")
+    best = {}
+    for r in records:
+        place = (low(r[1]), low(r[2]), r[3])
+        if r[0] not in best or place > best[r[0]][0]:
+            best[r[0]] = (place, r)
+    want = sorted((r for _, r in best.values()), key=lambda r: low(r[0]))
+    assert rows(ops.latest_per_key(df, ["k"], ["a", "b", "id"])) == want
+
+
+@few
+@given(
+    st.lists(st.tuples(maybe, st.integers(0, 99)), max_size=30),
+    st.lists(st.tuples(maybe, maybe), max_size=8),
+)
+def test_lookup_left(spark, facts, pairs):
+    df = spark.createDataFrame(facts, "k int, id int")
+    dim = spark.createDataFrame(pairs, "k int, v int")
+    seen = {}
+    for k, v in pairs:
+        if k is not None:
+            seen.setdefault(k, set()).add(v)
+    conflict = any(len(v) > 1 for v in seen.values())
+
+    def want():
+        found = [(k, i, next(iter(seen[k])) if k in seen else None) for k, i in facts]
+        return sorted(found, key=lambda r: [low(x) for x in r])
+
+    if conflict:
+        with pytest.raises(ValueError):
+            ops.lookup_left(df, dim, "k", ["v"])
+    else:
+        assert rows(ops.lookup_left(df, dim, "k", ["v"])) == want()
+        assert rows(ops.lookup_left(df, dim, "k", ["v"], key_range=(-3, 3))) == want()
+
+
+@few
+@given(st.lists(st.tuples(maybe, maybe, st.text("ab", max_size=2)), max_size=40))
+def test_surrogate_key(spark, records):
+    df = spark.createDataFrame(records, "a int, b int, c string")
+    want = sorted(set(records), key=lambda r: (low(r[0]), low(r[1]), r[2]))
+    got = ops.surrogate_key(ops.dedupe_rows(df), ["a"], "key")
+    assert rows(got, "key", "a", "b", "c") == [(i, *r) for i, r in enumerate(want)]
+
+
+@few
+@given(st.lists(st.tuples(st.integers(0, 3), maybe), max_size=40))
+def test_daily_mean(spark, records):
+    start = datetime(2024, 1, 1)
+    dated = [(start + timedelta(days=d, hours=d * 7), None if v is None else float(v)) for d, v in records]
+    df = spark.createDataFrame(dated, "at timestamp_ntz, v double")
+    want = {}
+    for at, v in dated:
+        want.setdefault(at.date(), []).append(v)
+    means = {}
+    for day, values in want.items():
+        kept = [v for v in values if v is not None]
+        means[day] = sum(kept) / len(kept) if kept else None
+    got = {r[0]: r[1] for r in ops.daily_mean(df, "at", ["v"]).collect()}
+    assert got == pytest.approx(means)
