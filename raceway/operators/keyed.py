@@ -86,9 +86,11 @@ def surrogate_key(
     file = F.col("_metadata.file_name")
     # One row per file, as many as there are shuffle partitions.
     sizes = stored.groupBy(file.alias("_file")).agg(F.count("*").alias("_rows"))
-    # File names carry the number of their range: part-00012-...
-    number = F.regexp_extract("_file", r"^part-(\d+)", 1).cast("int")
-    before = Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    # File names carry the number of their range and of the piece of it: part-00012-...-c000...
+    number, piece = (
+        F.regexp_extract("_file", pattern, 1).cast("int") for pattern in (r"^part-(\d+)", r"-c(\d+)\.")
+    )
+    before = Window.orderBy(number, piece).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         "_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )

@@ -141,7 +141,7 @@ def daily_mean(spark, sf_dir):
 @query
 def team_lookup(spark, sf_dir):
     named = table(spark, sf_dir, "customer").select(
-        "c_custkey", F.format_string("Supplier#%09d", F.col("c_custkey")).alias("team_name")
+        "c_custkey", views.numbered("Supplier", F.col("c_custkey")).alias("team_name")
     )
     teams = views.teams(spark, sf_dir).withColumnRenamed("name", "team_name")
     return ops.lookup_left(named, teams, "team_name", ["team_id", "country_code"])
@@ -365,8 +365,8 @@ def results_export(spark, sf_dir):
 
 def _event_stream(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    # The trailing star lets the path name one file as well as a folder of files.
-    stream = streaming.open_stream(spark, f"{sf_dir}/events.parquet*", events.schema)
+    # Only as a pattern may the path of a stream be one file as well as a folder of files.
+    stream = streaming.open_stream(spark, f"{sf_dir}/events.parque[t]", events.schema)
     return stream.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
 
 

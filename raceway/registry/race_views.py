@@ -15,6 +15,11 @@ def iso_text(moment: str | Column, offset: str = "+00:00") -> Column:
     return F.concat(F.date_format(moment, ISO), F.lit(offset))
 
 
+def numbered(label: str, number: Column) -> Column:
+    """A name such as Supplier#000000042."""
+    return F.concat(F.lit(f"{label}#"), F.lpad(number.cast("string"), 9, "0"))
+
+
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantities run from 1 to 50, so some positions lie outside the points table."""
     return table(spark, sf_dir, "lineitem").select(
@@ -48,9 +53,9 @@ def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("driver_number"),
         F.col("o_orderkey").alias("session_key"),
         F.year("o_orderdate").cast("bigint").alias("meeting_key"),
-        F.format_string("Customer#%09d", F.col("o_custkey")).alias("full_name"),
+        numbered("Customer", F.col("o_custkey")).alias("full_name"),
         F.substring("o_orderpriority", 3, 3).alias("name_acronym"),
-        F.format_string("Supplier#%09d", F.floor(F.col("o_totalprice") / 1_000)).alias("team_name"),
+        numbered("Supplier", F.floor(F.col("o_totalprice") / 1_000)).alias("team_name"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("country_code"),
     )
 

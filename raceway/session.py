@@ -7,12 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# The RocksDB store keeps streaming state off the heap, so that it may outgrow executor memory.
+# A hot key is split even where the split costs a later shuffle. The RocksDB store keeps streaming
+# state off the heap, so that it may outgrow executor memory.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

@@ -143,6 +143,12 @@ def test_surrogate_key_depends_only_on_the_rows(spark, conf, partitions):
     assert [tuple(r) for r in got.orderBy("key").collect()] == [(i, *r) for i, r in enumerate(want)]
 
 
+def test_surrogate_key_when_ranges_are_cut_into_pieces(spark, conf):
+    conf("spark.sql.files.maxRecordsPerFile", "3")
+    got = ops.surrogate_key(spark.range(100), ["id"], "key")
+    assert got.where("key <> id").count() == 0 and got.count() == 100
+
+
 def test_surrogate_key_of_nothing(spark):
     df = spark.createDataFrame([], "a int")
     assert ops.surrogate_key(df, ["a"], "k").columns == ["k", "a"]

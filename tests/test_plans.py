@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from raceway import contracts as c
 from raceway import plans, sources
+from raceway.__main__ import main
 from raceway.operators import ContractError
 
 RACE, NEXT = 9001, 9002
@@ -236,3 +237,23 @@ def test_ingest(spark, tmp_path):
     ]
     with pytest.raises(ContractError, match="laps: no rows"):
         plans.ingest(spark, specs["laps"], str(landing), str(tmp_path / "raw"), c.RAW["position"])
+
+
+def test_command_line(spark, raw, tmp_path):
+    landing = tmp_path / "landing" / "pit"
+    landing.mkdir(parents=True)
+    names = c.RAW["pit"].names
+    (landing / "1.json").write_text(json.dumps([dict(zip(names, r)) for r in DATA["pit"]]))
+    raw_root, dw, out = (str(tmp_path / x) for x in ("raw", "dw", "csv"))
+    assert main(["ingest", str(landing.parent), raw_root, "--only", "pit"]) == {"pit": f"{raw_root}/pit.parquet"}
+    for name in ("sessions", "drivers"):
+        sources.write_raw(raw[name], raw_root, name)
+    sources.write_raw(raw["teams"], str(tmp_path), "by_hand")
+    tables = ["TeamsDT", "PitStopsFT"]
+    main(["build", raw_root, dw, "--teams", f"{tmp_path}/by_hand.parquet", "--only", *tables])
+    assert sources.read_warehouse(spark, c.PIT_STOPS, dw).count() == 2
+    assert set(main(["export", dw, out, "--only", *tables])) == set(tables)
+    asked = main(["requests", raw_root, f"{tmp_path}/requests", "--only", "location"])
+    assert spark.read.parquet(asked["location"]).count() == 8
+    with pytest.raises(SystemExit):
+        main(["build", raw_root, dw, "--only", "NoTable"])
