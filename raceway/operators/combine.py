@@ -37,7 +37,7 @@ def lookup_left(
     clash = set(take) & set(df.columns)
     if clash:
         raise ValueError(f"looked-up columns already present: {sorted(clash)}")
-    rows = dim.select(*on, *take)
+    rows = dim.select(*on, *take).dropna(subset=on)  # a NULL key matches nothing
     rows = _checked(rows, on) if key_range is None else _bounded(rows, on, take, key_range)
     return df.join(rows, on, "left").select(*df.columns, *take)
 
@@ -53,15 +53,14 @@ def _checked(rows: DataFrame, on: list[str]) -> DataFrame:
 
 
 def _repeated(rows: DataFrame, on: list[str]) -> int:
-    known = rows.dropna(subset=on)  # a NULL key matches nothing
-    return known.groupBy(*on).count().agg(F.sum(F.col("count") - 1)).first()[0] or 0
+    return rows.groupBy(*on).count().agg(F.sum(F.col("count") - 1)).first()[0] or 0
 
 
 def _bounded(rows: DataFrame, on: list[str], take: Sequence[str], key_range: tuple) -> DataFrame:
     if len(on) != 1:
         raise ValueError("key_range needs exactly one key")
     low, high = key_range
-    inside = F.col(on[0]).isNull() | F.col(on[0]).between(F.lit(low), F.lit(high))
+    inside = F.col(on[0]).between(F.lit(low), F.lit(high))
     spread = []
     for c in take:
         spread += [F.min(c).alias(f"_min_{c}"), F.max(c).alias(f"_max_{c}"), F.count(c).alias(f"_set_{c}")]

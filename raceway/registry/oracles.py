@@ -26,7 +26,7 @@ FROM final f LEFT JOIN days d ON f.date = d.date WHERE f.rn = 1
 _DRIVERS = """
 WITH seen AS (
     SELECT o_custkey AS driver_id, printf('Customer#%09d', o_custkey) AS full_name,
-           substring(o_orderpriority, 3, 3) AS acronym,
+           o_orderpriority AS acronym,
            CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS country_code,
            printf('Supplier#%09d', CAST(floor(o_totalprice / 1000) AS BIGINT)) AS team_name,
            ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn
@@ -63,12 +63,12 @@ ORACLES: dict[str, str] = {
         FROM lineitem""",
     "teams_dim": """
         SELECT DISTINCT CAST(s_suppkey AS INTEGER) AS team_id, s_name AS name,
-               CAST(s_nationkey AS VARCHAR) AS country_code, substring(s_name, 1, 4) AS acronym
+               CAST(s_nationkey AS VARCHAR) AS country_code, 'S' || s_suppkey AS acronym
         FROM supplier""",
     "drivers_dim": _DRIVERS,
     "races_dim": """
         SELECT DISTINCT o_orderkey AS race_id, o_orderpriority AS race_name, o_orderstatus AS type,
-               substring(o_orderpriority, 3, 100) AS circuit_name, o_orderpriority AS location,
+               split_part(o_orderpriority, '-', 2) AS circuit_name, o_orderpriority AS location,
                CAST(NULL AS VARCHAR) AS country_name,
                o_orderdate - INTERVAL 2 HOUR AS timestamp_start,
                o_orderdate + INTERVAL 210 MINUTE AS timestamp_end

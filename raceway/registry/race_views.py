@@ -54,7 +54,7 @@ def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("session_key"),
         F.year("o_orderdate").cast("bigint").alias("meeting_key"),
         numbered("Customer", F.col("o_custkey")).alias("full_name"),
-        F.substring("o_orderpriority", 3, 3).alias("name_acronym"),
+        F.col("o_orderpriority").alias("name_acronym"),
         numbered("Supplier", F.floor(F.col("o_totalprice") / 1_000)).alias("team_name"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("country_code"),
     )
@@ -65,7 +65,7 @@ def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").cast("int").alias("team_id"),
         F.col("s_name").alias("name"),
         F.col("s_nationkey").cast("string").alias("country_code"),
-        F.substring("s_name", 1, 4).alias("acronym"),
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("acronym"),
     )
 
 
@@ -75,7 +75,7 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("session_key"),
         F.col("o_orderpriority").alias("session_name"),
         F.col("o_orderstatus").alias("session_type"),
-        F.substring("o_orderpriority", 3, 100).alias("circuit_short_name"),
+        F.split_part("o_orderpriority", F.lit("-"), F.lit(2)).alias("circuit_short_name"),
         F.col("o_orderpriority").alias("location"),
         F.lit(None).cast("string").alias("country_name"),
         iso_text(start, "+02:00").alias("date_start"),

@@ -36,6 +36,15 @@ def test_plans_hold_no_product_and_no_python(spark, name):
     assert not re.search("CartesianProduct|NestedLoop|Python|ArrowEval|MapInPandas", text)
 
 
+# Single-task steps over one row per column, file or car number, never over table rows.
+SMALL = {"contract_violations", "surrogate_key", "stints_dim", "weather_dim", "request_manifest"}
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER - SMALL))
+def test_no_task_takes_all_rows(spark, name):
+    assert "SinglePartition" not in plan(entry.queries()[name](spark, SF_DIR))
+
+
 def scanned(text):
     """Columns of each Parquet scan in a plan."""
     return [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<([^>]*)>", text)]
