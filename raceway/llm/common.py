@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -13,6 +16,20 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """``spark``, after its Python workers were sent this package, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        base = os.path.join(tempfile.mkdtemp(prefix="raceway-"), "raceway")
+        context.addPyFile(shutil.make_archive(base, "zip", root, "raceway"))
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from raceway.llm import exact_dedup, mixing
+from raceway.llm import bpe, exact_dedup, mixing, simhash
 from raceway.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,14 @@ def query(build):
     return build
 
 
+@query
+def op3_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 @query
 def op4_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source")).select(
@@ -81,3 +89,17 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = min(doc_id) OVER w AS kept, h AS text_sha256
 FROM d WINDOW w AS (PARTITION BY h)
 """
+
+
+@query
+def op10_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    encode, decode = bpe.codec(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    ids = documents(spark, sf_dir).select("doc_id", encode("text").alias("ids"))
+    return ids.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        exact_dedup.sha256(bpe.ids_text(F.col("ids"))).alias("ids_sha256"),
+        exact_dedup.sha256(decode("ids")).alias("decoded_sha256"),
+    )
