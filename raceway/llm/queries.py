@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from raceway.llm import bpe, exact_dedup, mixing, simhash
-from raceway.llm.common import documents
+from raceway.llm import bpe, exact_dedup, mixing, quality, simhash
+from raceway.llm.common import documents, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,6 +18,18 @@ def query(build):
     return build
 
 
+@query
+def op2_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(quality.learnable(F.col("doc_id")))
+    score = quality.scorer(quality.fit(docs, labels))
+    return docs.select(
+        "doc_id",
+        F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
+        score("text").alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 @query
 def op3_simhash(spark, sf_dir):
     found = simhash.near_duplicates(documents(spark, sf_dir))
