@@ -9,8 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from raceway.llm.common import SPACE, staged
 from raceway.session import new_folder
 
-STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on the executors' disks, without space reserved ahead in each of many small stores.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -64,14 +69,16 @@ def digest_state(
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
 
-    before = spark.conf.get(STORE, None)
-    spark.conf.set(STORE, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE}
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
     try:
         state.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(
             availableNow=True
         ).foreachBatch(store).start().awaitTermination()
     finally:
-        spark.conf.unset(STORE) if before is None else spark.conf.set(STORE, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     # Without input there is no batch; this keeps the folder readable.
     spark.createDataFrame([], state.schema).write.parquet(f"{log}/batch=-1")
     changes = spark.read.schema(state.schema).parquet(log)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from raceway.llm import bpe, exact_dedup, mixing, quality, simhash
+from raceway.llm import bpe, exact_dedup, mixing, ppm, quality, simhash
 from raceway.llm.common import documents, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +103,15 @@ FROM d WINDOW w AS (PARTITION BY h)
 """
 
 
+@query
+def op8_ppm(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    left = remainder(F.col("doc_id"), 7) == 2
+    scored = ppm.score_documents(docs, F.coalesce(~left, F.lit(False)))
+    held = F.coalesce(left, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held, *[f"_lm.{c}" for c in ppm.COLUMNS])
+
+
 @query
 def op10_bpe(spark, sf_dir):
     import public_tokenizers
