@@ -7,9 +7,10 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from raceway.llm.common import shipped
 
@@ -24,7 +25,10 @@ CHUNK = re.compile(r"\s*\S+|\s+")
 
 NONE = np.iinfo(np.int64).max
 #: Words encoded together hold about so many leaves; words kept by a worker.
-LEAVES, KEPT = 1 << 19, 400_000
+LEAVES, KEPT = 1 << 18, 250_000
+#: Bytes of text, or ids, worked on at once.
+RUN = 2_000_000
+IDS = T.ArrayType(T.IntegerType())
 
 
 def byte_letters() -> list[str]:
@@ -199,44 +203,71 @@ def _shared(vocabulary) -> Callable[[], Vocabulary]:
     return load
 
 
-def slices(batch: pd.Series, chars: int = 4_000_000) -> Iterator[list[str]]:
-    """The texts of a batch (NULL as empty) in runs of about ``chars`` characters."""
-    run, size = [], 0
-    for text in batch:
-        run.append(text or "")
-        size += len(run[-1])
-        if size >= chars:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows that hold about ``RUN`` bytes in one column, at least one row each."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0) if pa.types.is_string(
+        batch.schema.field(column).type
+    ) else pc.fill_null(pc.list_value_length(batch.column(column)), 0)
+    run = np.cumsum(size.to_numpy(zero_copy_only=False)) // RUN
+    edges = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(x, y - x) for x, y in zip(edges, edges[1:]) if y > x)
 
 
-def codec(spark, path: str) -> tuple[Callable[[Column], Column], Callable[[Column], Column]]:
-    """``(encode, decode)`` column functions for the byte-level BPE file at ``path``.
+class Codec:
+    """Encoding and decoding of DataFrame columns with the byte-level BPE file at ``path``.
 
     The driver reads the file and broadcasts its text, whose size is that of a vocabulary whatever
-    the data. ``encode`` gives ``array<int>`` per text, a NULL or empty text no ids. ``decode``
-    gives the text of such an array, NULL as no ids. Both work row by row on any column.
+    the data. All work is by row; other columns pass through. A NULL text counts as empty and has
+    no ids, NULL ids decode to the empty text. New columns must have names of their own.
     """
-    with open(path, encoding="utf-8") as file:
-        load = _shared(shipped(spark).sparkContext.broadcast(file.read()))
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocabulary = load()
-        for batch in batches:
-            yield pd.Series(
-                [ids for run in slices(batch) for ids in vocabulary.encode(run)], dtype=object
-            )
 
-    @F.pandas_udf(T.StringType())
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocabulary = load()
-        for batch in batches:
-            yield pd.Series([vocabulary.decode([] if x is None else x.tolist()) for x in batch], dtype=object)
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        with open(path, encoding="utf-8") as file:
+            self.load = _shared(shipped(spark).sparkContext.broadcast(file.read()))
+
+    def encode(self, df: DataFrame, text: str, ids: str) -> DataFrame:
+        """``df`` with a column ``ids``: token ids as ``array<int>``."""
+        return self._added(df, text, {ids: IDS}, lambda v, rows: [_arrays(v.encode(_texts(rows)))])
+
+    def decode(self, df: DataFrame, ids: str, text: str) -> DataFrame:
+        """``df`` with a column ``text``: the text of its ids."""
+        return self._added(
+            df, ids, {text: T.StringType()},
+            lambda v, rows: [pa.array([v.decode(x or []) for x in rows.to_pylist()], pa.string())],
+        )
+
+    def round_trip(self, df: DataFrame, text: str, ids: str, decoded: str) -> DataFrame:
+        """Both in one pass: ``ids`` of the text, and the text that those ids decode to."""
+
+        def make(v: Vocabulary, rows: pa.Array) -> list[pa.Array]:
+            encoded = v.encode(_texts(rows))
+            return [_arrays(encoded), pa.array([v.decode(x.tolist()) for x in encoded], pa.string())]
+
+        return self._added(df, text, {ids: IDS, decoded: T.StringType()}, make)
+
+    def _added(self, df: DataFrame, column: str, new: dict[str, T.DataType], make) -> DataFrame:
+        if taken := new.keys() & set(df.columns):
+            raise ValueError(f"columns {sorted(taken)} are taken")
+        place, names, load = df.columns.index(column), [*df.columns, *new], self.load
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            vocabulary = load()
+            for batch in batches:
+                for part in slices(batch, place):
+                    arrays = make(vocabulary, part.column(place))
+                    yield pa.RecordBatch.from_arrays([*part.columns, *arrays], names=names)
+
+        fields = [T.StructField(name, kind) for name, kind in new.items()]
+        return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
+
+
+def _texts(rows: pa.Array) -> list[str]:
+    return [t or "" for t in rows.to_pylist()]
+
 
-    return encode, decode
+def _arrays(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, np.concatenate(ids) if ids else np.zeros(0, np.int32))
 
 
 def ids_text(ids: Column) -> Column:

@@ -116,11 +116,11 @@ def op8_ppm(spark, sf_dir):
 def op10_bpe(spark, sf_dir):
     import public_tokenizers
 
-    encode, decode = bpe.codec(spark, public_tokenizers.path("byte_bpe_50k.json"))
-    ids = documents(spark, sf_dir).select("doc_id", encode("text").alias("ids"))
-    return ids.select(
+    codec = bpe.Codec(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    coded = codec.round_trip(documents(spark, sf_dir).select("doc_id", "text"), "text", "ids", "decoded")
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         exact_dedup.sha256(bpe.ids_text(F.col("ids"))).alias("ids_sha256"),
-        exact_dedup.sha256(decode("ids")).alias("decoded_sha256"),
+        exact_dedup.sha256(F.col("decoded")).alias("decoded_sha256"),
     )
