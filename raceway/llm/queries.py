@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from raceway.llm import bpe, exact_dedup, mixing, ppm, quality, simhash
+from raceway.llm import bpe, exact_dedup, mixing, ppm, quality, simhash, sketches
 from raceway.llm.common import documents, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def query(build):
     return build
 
 
+@query
+def op1_fingerprints(spark, sf_dir):
+    return sketches.likeness(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op2_quality(spark, sf_dir):
     docs = documents(spark, sf_dir)
