@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from raceway.llm import bpe, exact_dedup, mixing, ppm, quality, simhash, sketches
+from raceway.llm import bpe, exact_dedup, line_dedup, mixing, ppm, quality, simhash, sketches
 from raceway.llm.common import documents, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,6 +117,18 @@ def op8_ppm(spark, sf_dir):
     return scored.select("doc_id", held, *[f"_lm.{c}" for c in ppm.COLUMNS])
 
 
+@query
+def op9_line_dedup(spark, sf_dir):
+    found = line_dedup.line_dedup(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.col("_lines.lines").alias("n_lines"),
+        F.col("_lines.gone").alias("removed_lines"),
+        F.col("_lines.partners").alias("repeats_of"),
+        "text",
+    )
+
+
 @query
 def op10_bpe(spark, sf_dir):
     import public_tokenizers
