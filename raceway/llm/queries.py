@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from raceway.llm import bpe, exact_dedup, line_dedup, mixing, ppm, quality, simhash, sketches
+from raceway.llm import bpe, exact_dedup, line_dedup, mixing, paragraph_dedup, ppm, quality, simhash, sketches
 from raceway.llm.common import documents, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +108,12 @@ FROM d WINDOW w AS (PARTITION BY h)
 """
 
 
+@query
+def op7_paragraph_dedup(spark, sf_dir):
+    found = paragraph_dedup.repeated_paragraphs(documents(spark, sf_dir))
+    return found.withColumnsRenamed({"id": "doc_id", "class_id": "first_doc_id", "class_paragraph": "first_paragraph"})
+
+
 @query
 def op8_ppm(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
