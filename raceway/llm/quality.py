@@ -151,14 +151,14 @@ def fit(
                 z = _fourier((np.stack(batch.x.tolist()) - model.mean) / model.scale)
                 gram += z.T @ z
                 right += z.T @ batch.y.to_numpy()
-        yield pd.DataFrame({"gram": [gram.ravel()], "right": [right]})
+        yield pd.DataFrame({"gram": [gram.tobytes()], "right": [right.tobytes()]})
 
-    # A fixed deal of the rows to few partitions: the sums do not depend on the run.
-    fitted = rows.filter("not held").repartition(PARTS, "id").sortWithinPartitions("id", "y")
-    parts = fitted.select("x", "y").mapInPandas(sums, "gram array<double>, right array<double>").collect()
-    gram = sum(np.array(p.gram) for p in parts).reshape(FEATURES + 1, FEATURES + 1)
+    # The rows are few, so few partitions hold them, and as few sums of fixed size reach the driver.
+    fitted = rows.filter("not held").select("x", "y").coalesce(PARTS)
+    parts = fitted.mapInPandas(sums, "gram binary, right binary").collect()
+    gram = sum(np.frombuffer(p.gram) for p in parts).reshape(FEATURES + 1, FEATURES + 1)
     ridge = RIDGE * np.diag([*[1.0] * FEATURES, 1e-6])
-    model.weights = np.linalg.solve(gram + ridge, sum(np.array(p.right) for p in parts))
+    model.weights = np.linalg.solve(gram + ridge, sum(np.frombuffer(p.right) for p in parts))
 
     @F.pandas_udf(T.DoubleType())
     def raw(x: pd.Series) -> pd.Series:
