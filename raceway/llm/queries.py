@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from raceway.llm import bpe, exact_dedup, line_dedup, mixing, paragraph_dedup, ppm, quality, simhash, sketches
+from raceway.llm import bpe, exact_dedup, language, line_dedup, mixing, paragraph_dedup, ppm, quality, simhash, sketches
 from raceway.llm.common import documents, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,18 @@ FROM p
 """
 
 
+@query
+def op5_language(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = language.fit(docs.filter(language.learnable(F.col("doc_id"))))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        F.col("_lang.lang").alias("lang_pred"),
+        "_lang.score",
+    )
+
+
 @query
 def op6_exact_dedup(spark, sf_dir):
     found = exact_dedup.exact_dedup(spark, f"{sf_dir}/documents.parquet")
