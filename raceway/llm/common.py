@@ -34,6 +34,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def fresh(df: DataFrame, base: str) -> str:
+    """``base``, with underscores before it until no column of ``df`` begins like it."""
+    while any(c.lower().startswith(base.lower()) for c in df.columns):
+        base = f"_{base}"
+    return base
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: a cut of its lineage."""
     spark = df.sparkSession

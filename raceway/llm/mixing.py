@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from raceway.llm.common import WORD, prefix_sums
+from raceway.llm.common import WORD, fresh, prefix_sums
 
 #: Hex digits of the random key that name a range; 16**3 ranges per source share its rows evenly.
 RANGE_DIGITS = 3
@@ -154,8 +154,8 @@ def mix(
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of the mix: each row of ``docs`` as often as its mix repeats it."""
-    drawn = mix(docs, **options)
-    out = options.get("out", "_mix")
-    return drawn.filter(F.col(f"`{out}`.repeats") > 0).withColumn(
-        out, F.explode(F.sequence(F.lit(1), F.col(f"`{out}`.repeats")))
-    ).select(*docs.columns)
+    out = fresh(docs, "_mix")
+    drawn = mix(docs, **options, out=out)
+    times = F.col(f"`{out}`.repeats")
+    repeated = drawn.filter(times > 0).withColumn(out, F.explode(F.sequence(F.lit(1), times)))
+    return repeated.select(*docs.columns)
