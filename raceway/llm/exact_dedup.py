@@ -113,7 +113,7 @@ def exact_dedup(
     kept = pool.filter("at = keeper").select("digest", F.col("body").alias("kept_body"))
     hits = pool.filter("at <> keeper")
     clash = staged(
-        hits.join(kept, "digest").filter("body <> kept_body").select("digest").distinct(),
+        hits.join(kept, "digest").filter("body <> kept_body").select("digest"),
         "digest-clashes",
     )
     keys = rows.select("digest", "at", sha256(F.col("body")).alias("text_sha256"))
