@@ -17,6 +17,7 @@ DATA = "/root/testdata"
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE",
     "float": "FLOAT", "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
 }
 
 

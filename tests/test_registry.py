@@ -7,9 +7,10 @@ import pytest
 from conftest import plan
 
 import __spark_entry__ as entry
+from raceway.registry import ORACLES, QUERIES
 
 SF_DIR = f"{oracle.DATA}/sf0.001"
-EAGER = {n for n in entry.queries() if n.startswith("stream_")}
+EAGER = {n for n in QUERIES if n.startswith("stream_")}
 
 
 @pytest.fixture(scope="module")
@@ -18,21 +19,23 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLES.items() <= entry.oracle_sql().items()
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, db, tmp_path, name):
     assert oracle.compare(spark, db, name, SF_DIR, str(tmp_path)) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_plans_hold_no_product_and_no_python(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     assert not re.search("CartesianProduct|NestedLoop|Python|ArrowEval|MapInPandas", text)
 
 
@@ -40,9 +43,9 @@ def test_plans_hold_no_product_and_no_python(spark, name):
 SMALL = {"contract_violations", "surrogate_key", "stints_dim", "weather_dim", "request_manifest"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER - SMALL))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER - SMALL))
 def test_no_task_takes_all_rows(spark, name):
-    assert "SinglePartition" not in plan(entry.queries()[name](spark, SF_DIR))
+    assert "SinglePartition" not in plan(QUERIES[name](spark, SF_DIR))
 
 
 def scanned(text):
@@ -61,7 +64,7 @@ def scanned(text):
     ],
 )
 def test_scans_read_only_what_is_used(spark, name, columns):
-    assert scanned(plan(entry.queries()[name](spark, SF_DIR))) == columns
+    assert scanned(plan(QUERIES[name](spark, SF_DIR))) == columns
 
 
 @pytest.mark.parametrize("name", ["stints_dim", "weather_dim", "results_fact", "drivers_dim"])
