@@ -11,7 +11,7 @@ from raceway.plans.warehouse import TABLES
 from raceway.session import get_session
 from raceway.sources import load_specs, read_source
 
-RAW_SOURCES = sorted({name for names, _ in TABLES.values() for name in names})
+RAW_SOURCES = sorted({name for names, *_ in TABLES.values() for name in names})
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -33,6 +33,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     step = source_step("requests", "list the requests of each source as Parquet")
     step.add_argument("raw")
     step.add_argument("out")
+    step.add_argument("--base-url", help="what precedes the names of sources without an address")
 
     step = steps.add_parser("build", help="raw Parquet to checked tables")
     step.add_argument("raw")
@@ -44,6 +45,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     step = steps.add_parser("export", help="tables to CSV")
     step.add_argument("warehouse")
     step.add_argument("out")
+    step.add_argument("--wide", action="store_true", help="tables that were built wide")
     step.add_argument("--only", nargs="*", choices=list(TABLES), help="tables; all by default")
     return parser.parse_args(arguments)
 
@@ -52,13 +54,16 @@ def main(arguments: list[str] | None = None) -> dict[str, str]:
     """Do one step and return what it wrote, by name."""
     given = parse(arguments)
     spark = get_session(master=given.master)
-    if given.step == "build":
+    if given.step in ("build", "export"):
         contracts = WIDE_WAREHOUSE if given.wide else WAREHOUSE
+    if given.step == "build":
         paths = {name: f"{given.raw}/{name}.parquet" for name in RAW_SOURCES}
         paths["teams"] = given.teams or paths["teams"]
         return plans.build_warehouse(spark, paths, given.warehouse, contracts, given.only or tuple(TABLES))
     if given.step == "export":
-        return plans.export_tables(spark, given.warehouse, given.out, given.only or tuple(WAREHOUSE))
+        return plans.export_tables(
+            spark, given.warehouse, given.out, given.only or tuple(WAREHOUSE), contracts
+        )
 
     specs = load_specs(given.specs.read_text() if given.specs else None)
     specs = [s for s in specs if not given.only or s.name in given.only]
@@ -68,7 +73,7 @@ def main(arguments: list[str] | None = None) -> dict[str, str]:
     sessions, drivers = (read_source(spark, name, paths) for name in ("sessions", "drivers"))
     written = {s.name: f"{given.out}/{s.name}" for s in specs}
     for spec in specs:
-        plans.requests(spec, sessions, drivers).write.mode("overwrite").parquet(written[spec.name])
+        plans.requests(spec, sessions, drivers, given.base_url).write.mode("overwrite").parquet(written[spec.name])
     return written
 
 

@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from datetime import date, timedelta
 
 from pyspark.sql import types as T
 
 UINT8 = (0, 255)
 UINT16 = (0, 65_535)
-# Days that a 16-bit day number can hold, counted from 1970-01-01.
-UINT16_DAYS = (date(1970, 1, 1), date(1970, 1, 1) + timedelta(days=UINT16[1]))
 
 
 @dataclass(frozen=True)
@@ -164,7 +161,7 @@ TEXT, INT, LONG, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.Doubl
 
 # Raw inputs by name. Times arrive as ISO-8601 text.
 RAW = {
-    "position": _raw(driver_number=LONG, session_key=LONG, date=TEXT, position=INT),
+    "position": _raw(driver_number=LONG, session_key=LONG, date=TEXT, position=LONG),
     "drivers": _raw(
         driver_number=LONG, session_key=LONG, meeting_key=LONG, full_name=TEXT,
         name_acronym=TEXT, team_name=TEXT, country_code=TEXT,

@@ -37,7 +37,9 @@ def endpoint_name(url: str | Column) -> Column:
 
 def mapped(column: str | Column, values: Mapping) -> Column:
     """Look a value up in a literal map; an unknown or NULL key gives NULL."""
-    pairs = [F.lit(item) for pair in values.items() for item in pair]
+    # Whole numbers of any width are looked up as 64-bit ones.
+    keys = [F.lit(k).cast("bigint") if isinstance(k, int) else F.lit(k) for k in values]
+    pairs = [item for k, v in zip(keys, values.values()) for item in (k, F.lit(v))]
     return F.create_map(*pairs)[_column(column)]
 
 

@@ -3,15 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-
-from raceway.contracts import UINT8
-
-# A key domain no larger than this is safe to copy to every executor.
-BROADCAST_ROWS = 1 << 16
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def lookup_left(
@@ -19,67 +13,45 @@ def lookup_left(
     dim: DataFrame,
     on: str | Sequence[str],
     take: Sequence[str],
-    key_range: tuple[int, int] | tuple[date, date] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """All rows and columns of ``df`` plus the ``take`` columns of the matching ``dim`` row.
 
     A row without a match gets NULLs. Equal ``dim`` rows count once; a key with two different
-    rows raises, since it would multiply the rows of ``df``.
-
-    Without ``key_range`` one aggregate checks ``dim`` first. The join then gets plain inputs:
-    Spark broadcasts ``dim`` when its size is below the session's threshold, else sorts and
-    merges, where adaptive execution splits a hot key of ``df`` over several tasks.
+    rows fails the job that reads the result, since it would multiply the rows of ``df``. With
+    ``unique`` the caller answers for the keys, as for a table that was written with its check.
 
-    With ``key_range`` (one integer or date key, ends included) nothing runs first. A key outside
-    the range raises, so the range bounds the rows of ``dim``, which makes a broadcast safe.
+    Nothing runs before the result is asked for. The join gets plain inputs: Spark broadcasts
+    ``dim`` when its measured size is below the session's threshold, else sorts and merges, where
+    adaptive execution splits a hot key of ``df`` over several tasks.
     """
     on = [on] if isinstance(on, str) else list(on)
     clash = set(take) & set(df.columns)
     if clash:
         raise ValueError(f"looked-up columns already present: {sorted(clash)}")
     rows = dim.select(*on, *take).dropna(subset=on)  # a NULL key matches nothing
-    rows = _checked(rows, on) if key_range is None else _bounded(rows, on, take, key_range)
-    return df.join(rows, on, "left").select(*df.columns, *take)
-
-
-def _checked(rows: DataFrame, on: list[str]) -> DataFrame:
-    if _repeated(rows, on):
-        # Copies of a row are harmless; two rows that differ are not.
-        rows = rows.distinct()
-        repeated = _repeated(rows, on)
-        if repeated:
-            raise ValueError(f"lookup: {repeated} rows repeat a key ({', '.join(on)})")
-    return rows
+    return df.join(rows if unique else _merged(rows, on, take), on, "left").select(*df.columns, *take)
 
 
-def _repeated(rows: DataFrame, on: list[str]) -> int:
-    return rows.groupBy(*on).count().agg(F.sum(F.col("count") - 1)).first()[0] or 0
+def _merged(rows: DataFrame, on: list[str], take: Sequence[str]) -> DataFrame:
+    """One row per key; a key whose rows differ raises.
 
-
-def _bounded(rows: DataFrame, on: list[str], take: Sequence[str], key_range: tuple) -> DataFrame:
-    if len(on) != 1:
-        raise ValueError("key_range needs exactly one key")
-    low, high = key_range
-    inside = F.col(on[0]).between(F.lit(low), F.lit(high))
+    Grouping by one more column than the join needs keeps an exchange between the two, and with
+    it adaptive splitting: the partitions of an aggregate right under a join cannot be read twice.
+    """
     spread = []
     for c in take:
         spread += [F.min(c).alias(f"_min_{c}"), F.max(c).alias(f"_max_{c}"), F.count(c).alias(f"_set_{c}")]
-    merged = rows.groupBy(*on).agg(F.count("*").alias("_rows"), *spread)
+    merged = rows.groupBy(*on, F.xxhash64(*on).alias("_apart")).agg(F.count("*").alias("_rows"), *spread)
 
     def value(c: str) -> Column:
         same = F.col(f"_min_{c}").eqNullSafe(F.col(f"_max_{c}")) & F.col(f"_set_{c}").isin(
             F.lit(0), F.col("_rows")
         )
-        return (
-            F.when(~inside, F.raise_error(F.lit(f"lookup: {on[0]} outside {low}..{high}")))
-            .when(~same, F.raise_error(F.lit(f"lookup: {c} is not unique for {on[0]}")))
-            .otherwise(F.col(f"_min_{c}"))
-        )
+        message = F.lit(f"lookup: {c} is not unique for {', '.join(on)}")
+        return F.when(~same, F.raise_error(message)).otherwise(F.col(f"_min_{c}"))
 
-    merged = merged.select(*on, *[value(c).alias(c) for c in take])
-    span = (high - low).days if isinstance(low, date) else high - low
-    fixed_width = all(isinstance(rows.schema[c].dataType, (T.NumericType, T.DateType)) for c in take)
-    return F.broadcast(merged) if span < BROADCAST_ROWS and fixed_width else merged
+    return merged.select(*on, *[value(c).alias(c) for c in take])
 
 
 def union_batches(batches: Sequence[DataFrame]) -> DataFrame:
@@ -90,37 +62,17 @@ def union_batches(batches: Sequence[DataFrame]) -> DataFrame:
 
 
 def request_manifest(
-    base_url: str, sessions: DataFrame | None = None, drivers: DataFrame | None = None
+    base_url: str, seen: DataFrame | None = None, keys: Sequence[str] = ()
 ) -> DataFrame:
     """One row per request: the distinct keys it asks for and its URL.
 
-    ``sessions`` has ``session_key``, ``drivers`` has ``driver_number``. With both, every session
-    is asked for every car. Car numbers are 8-bit, so their set is one short list, which each
-    session row expands; more numbers than 8 bits hold raise instead of being cut.
+    ``seen`` holds the ``keys`` that occur together, such as the cars of each session; a row that
+    lacks one asks for nothing. Without keys there is one request.
     """
-    if sessions is None and drivers is None:
+    if not keys:
         return SparkSession.active().range(1).select(F.lit(base_url).alias("url"))
-    if drivers is None:
-        keys = sessions.select("session_key").distinct()
-    elif sessions is None:
-        keys = drivers.select("driver_number").distinct()
-    else:
-        keys = sessions.select("session_key").distinct().select(
-            "session_key", F.explode(_car_numbers(drivers).scalar()).alias("driver_number")
-        )
+    asked = seen.select(*keys).dropna().distinct()
     parts = []
-    for c in keys.columns:
+    for c in keys:
         parts += [F.lit(f"{'&' if parts else '?'}{c}="), F.col(c).cast("string")]
-    return keys.withColumn("url", F.concat(F.lit(base_url), *parts))
-
-
-def _car_numbers(drivers: DataFrame) -> DataFrame:
-    most = UINT8[1] - UINT8[0] + 1
-    # One row beyond the bound is enough to see that it is broken.
-    seen = drivers.select("driver_number").distinct().limit(most + 1)
-    numbers = F.array_sort(F.collect_list("driver_number"))
-    return seen.agg(
-        F.when(F.size(numbers) <= most, numbers)
-        .otherwise(F.raise_error(F.lit(f"manifest: more than {most} driver numbers")))
-        .alias("numbers")
-    )
+    return asked.withColumn("url", F.concat(F.lit(base_url), *parts))

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from raceway.contracts import UINT8
 from raceway.functions import day_number
 from raceway.session import new_folder
 
@@ -26,25 +26,26 @@ def latest_per_key(
 
 
 def latest_narrow(
-    df: DataFrame, keys: Sequence[str], moment: Column, tie: str, take: Mapping[str, Column]
+    df: DataFrame,
+    keys: Sequence[str],
+    moment: Column,
+    tie: str,
+    take: Mapping[str, Column],
+    last: Column | None = None,
 ) -> DataFrame:
-    """``latest_per_key`` without a sort, for rows ordered by a time and then an 8-bit number.
+    """``latest_per_key`` without a sort, for rows ordered by a time and then a 64-bit number.
 
-    Time and number together fit one 64-bit integer. The newest row is then a maximum that Spark
-    keeps in a hash table, before and after the shuffle, as long as ``take`` has no text. A
-    number beyond 8 bits, or a time some five centuries away, raises.
+    ``last`` decides among equal times and numbers, as a whole number from 0 to 3. All three fit
+    one 38-digit number, as times end with the year 9999. The newest row is then a maximum that
+    Spark keeps in a hash table, before and after the shuffle, as long as ``take`` has no text. A
+    missing time comes before all others, a missing number before all numbers.
     """
-    low, high = UINT8
-    number = F.col(tie)
-    # A missing time comes before all others (2^54 microseconds reach back to 1399), a missing
-    # number before 0.
-    micros = F.coalesce(F.unix_micros(moment), F.lit(-(1 << 54)))
-    place = (
-        F.when(number.isNull(), F.lit(0))
-        .when(number.between(low, high), number + 1)
-        .otherwise(F.raise_error(F.concat(F.lit(f"{tie} beyond 8 bits: "), number.cast("string"))))
-    )
-    packed = df.select(*keys, *[c.alias(n) for n, c in take.items()], (micros * 512 + place).alias("_at"))
+    whole = "decimal(38,0)"
+    micros = F.coalesce(F.unix_micros(moment), F.lit(-(10**17))).cast("decimal(18,0)")
+    place = F.coalesce(F.col(tie).cast("decimal(20,0)") + F.lit(Decimal((1 << 63) + 1)), F.lit(0)).cast("decimal(20,0)")
+    place = place * F.lit(4) + F.coalesce(last if last is not None else F.lit(0), F.lit(0)).cast("decimal(1,0)")
+    at = (micros * F.lit(Decimal(1 << 66)) + place.cast("decimal(22,0)")).cast(whole)
+    packed = df.select(*keys, *[c.alias(n) for n, c in take.items()], at.alias("_at"))
     return packed.groupBy(*keys).agg(*[F.max_by(n, "_at").alias(n) for n in take])
 
 
@@ -83,19 +84,28 @@ def surrogate_key(
     ranges.write.mode("overwrite").parquet(staging)
 
     stored = df.sparkSession.read.schema(df.schema).parquet(staging)
-    file = F.col("_metadata.file_name")
-    # One row per file, as many as there are shuffle partitions.
-    sizes = stored.groupBy(file.alias("_file")).agg(F.count("*").alias("_rows"))
     # File names carry the number of their range and of the piece of it: part-00012-...-c000...
-    number, piece = (
-        F.regexp_extract("_file", pattern, 1).cast("int") for pattern in (r"^part-(\d+)", r"-c(\d+)\.")
+    name = F.col("_metadata.file_name")
+    number, piece = (F.regexp_extract(name, p, 1).cast("int") for p in (r"^part-(\d+)", r"-c(\d+)\."))
+    placed = stored.select(
+        "*", number.alias("_number"), piece.alias("_piece"), F.col("_metadata.row_index").alias("_place")
+    )
+    starts = _starts(placed.groupBy("_number", "_piece").agg(F.count("*").alias("_rows")))
+    # Two integers and a count per file: Spark sends them to all tasks if their size allows.
+    return placed.join(starts, ["_number", "_piece"]).select(
+        (F.col("_start") + F.col("_place")).alias(out), *df.columns
     )
-    before = Window.orderBy(number, piece).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
+
+
+def _starts(sizes: DataFrame, width: int = 1000) -> DataFrame:
+    """Rows before each file: summed inside blocks of ``width`` ranges, and over the blocks."""
+    sizes = sizes.withColumn("_block", F.floor(F.col("_number") / width))
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    inside = earlier.partitionBy("_block").orderBy("_number", "_piece")
+    blocks = sizes.groupBy("_block").agg(F.sum("_rows").alias("_rows")).select(
+        "_block", F.coalesce(F.sum("_rows").over(earlier.orderBy("_block")), F.lit(0)).alias("_before")
     )
-    return (
-        stored.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_place"))
-        .join(F.broadcast(starts), "_file")
-        .select((F.col("_start") + F.col("_place")).alias(out), *df.columns)
+    rows = sizes.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
+    return rows.join(blocks, "_block").select(
+        "_number", "_piece", (F.col("_before") + F.col("_inside")).alias("_start")
     )

@@ -137,8 +137,7 @@ ORACLES: dict[str, str] = {
         SELECT session_key, driver_number,
                'https://example.org/v1/car_data?session_key=' || session_key
                || '&driver_number=' || driver_number AS url
-        FROM (SELECT DISTINCT l_suppkey AS session_key FROM lineitem)
-        CROSS JOIN (SELECT DISTINCT CAST(l_quantity AS BIGINT) AS driver_number FROM lineitem)""",
+        FROM (SELECT DISTINCT l_suppkey AS session_key, CAST(l_quantity AS BIGINT) AS driver_number FROM lineitem)""",
     "request_manifest_one_key": """
         SELECT DISTINCT l_suppkey AS session_key,
                'https://example.org/v1/laps?session_key=' || l_suppkey AS url
@@ -169,7 +168,8 @@ ORACLES: dict[str, str] = {
         FROM orders""",
     "contract_violations": """
         WITH pit AS (
-            SELECT COUNT(*) AS n, COUNT(DISTINCT (l_suppkey, l_linenumber, l_shipdate)) AS k,
+            SELECT COUNT(*) AS n, COUNT(DISTINCT (l_suppkey, l_linenumber,
+                       date_trunc('second', l_shipdate - INTERVAL 1 HOUR + to_milliseconds(l_quantity)))) AS k,
                    COUNT(*) FILTER (l_suppkey NOT BETWEEN 0 AND 255) AS driver,
                    COUNT(*) FILTER (l_linenumber NOT BETWEEN 0 AND 65535) AS race,
                    COUNT(*) FILTER (l_quantity NOT BETWEEN 0 AND 255) AS lap
@@ -204,6 +204,27 @@ ORACLES: dict[str, str] = {
         SELECT o_orderkey AS order_id, o_orderstatus AS status, CAST(o_totalprice AS FLOAT) AS price,
                CAST(NULL AS SMALLINT) AS laps, date_trunc('second', o_orderdate) AS ordered
         FROM orders""",
+    "warehouse_append": """
+        SELECT o_orderkey AS order_id, o_orderstatus AS status, CAST(o_totalprice AS FLOAT) AS price,
+               CAST(NULL AS SMALLINT) AS laps, date_trunc('second', o_orderdate) AS ordered
+        FROM orders""",
+    "warehouse_chain": f"""
+        SELECT 'ResultsFactsFT' AS table_name, COUNT(*) AS n, CAST(SUM(driver_id) AS BIGINT) AS ids FROM ({_RESULTS})
+        UNION ALL SELECT 'PitStopsFT', COUNT(*), CAST(SUM(d) AS BIGINT)
+        FROM (SELECT DISTINCT l_suppkey AS d, l_linenumber, l_shipdate FROM lineitem)
+        UNION ALL SELECT 'DriversDT', COUNT(*), CAST(SUM(driver_id) AS BIGINT) FROM ({_DRIVERS})
+        UNION ALL SELECT 'TeamsDT', COUNT(*), CAST(SUM(s_suppkey) AS BIGINT) FROM supplier
+        UNION ALL SELECT 'RacesDT', COUNT(*), CAST(SUM(o_orderkey) AS BIGINT) FROM orders
+        UNION ALL SELECT 'WeatherDT', COUNT(*), CAST(COUNT(*) * (COUNT(*) - 1) // 2 AS BIGINT)
+        FROM (SELECT DISTINCT o_orderdate, {{m}} FROM orders)
+        UNION ALL SELECT 'DailyWeatherDT', COUNT(*), CAST(SUM({_DAY_NUMBER.format(d="d")}) AS BIGINT)
+        FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)
+        UNION ALL SELECT 'StintsDT', COUNT(*), CAST(COUNT(*) * (COUNT(*) - 1) // 2 AS BIGINT)
+        FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber, l_quantity,
+                     CASE WHEN l_returnflag <> 'N' THEN l_returnflag ELSE 'Unknown' END,
+                     CASE WHEN l_linestatus <> 'O' THEN l_discount ELSE 0 END FROM lineitem)""".replace(
+        "{m}", "o_totalprice, o_custkey, o_orderkey, o_orderstatus <> 'P'"
+    ),
     "raw_ingest": """
         SELECT user_id AS driver_number, event_id AS session_key,
                CASE event_type WHEN 'click' THEN '+1 LAP' WHEN 'view' THEN NULL
@@ -211,8 +232,7 @@ ORACLES: dict[str, str] = {
                CAST(value AS VARCHAR) AS interval
         FROM events""",
     "drivers_export": f"""
-        SELECT CAST(driver_id AS INTEGER) AS driver_id, full_name, acronym, country_code,
-               COALESCE(team_id, -1) AS team_id
+        SELECT driver_id, full_name, acronym, country_code, COALESCE(team_id, -1) AS team_id
         FROM ({_DRIVERS})""",
     "results_export": f"""
         SELECT driver_id, race_id, date, final_position, points_earned,

@@ -17,8 +17,9 @@ from raceway.session import new_folder
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# A replay of stored files meets them in any order, so no row of the history counts as late.
-REPLAY_LATENESS = "36500 days"
+# Rows of the live feed arrive within two days. A replay meets its files in one micro-batch, before
+# the watermark moves, so no row of the history is late.
+LATENESS = "2 days"
 
 ORDERS = Contract(
     "Orders",
@@ -116,7 +117,8 @@ def stored_results(spark, sf_dir):
 def latest_narrow(spark, sf_dir):
     take = {"day": written_day("date"), "position": F.col("position")}
     keys = ["driver_number", "session_key"]
-    return ops.latest_narrow(views.positions(spark, sf_dir), keys, instant("date"), "position", take)
+    after = F.date_diff(written_day("date"), F.to_date(instant("date"))) + 1
+    return ops.latest_narrow(views.positions(spark, sf_dir), keys, instant("date"), "position", take, after)
 
 
 @query
@@ -198,24 +200,21 @@ def distinct_keys(spark, sf_dir):
     return ops.distinct_keys(table(spark, sf_dir, "lineitem"), "l_partkey")
 
 
-def _request_keys(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
-    return (
-        lines.select(F.col("l_suppkey").alias("session_key")),
-        lines.select(F.col("l_quantity").cast("bigint").alias("driver_number")),
+def _cars_of_sessions(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("session_key"), F.col("l_quantity").cast("bigint").alias("driver_number")
     )
 
 
 @query
 def request_manifest(spark, sf_dir):
-    sessions, cars = _request_keys(spark, sf_dir)
-    return ops.request_manifest("https://example.org/v1/car_data", sessions, cars)
+    seen = _cars_of_sessions(spark, sf_dir)
+    return ops.request_manifest("https://example.org/v1/car_data", seen, ["session_key", "driver_number"])
 
 
 @query
 def request_manifest_one_key(spark, sf_dir):
-    sessions, _ = _request_keys(spark, sf_dir)
-    return ops.request_manifest("https://example.org/v1/laps", sessions)
+    return ops.request_manifest("https://example.org/v1/laps", _cars_of_sessions(spark, sf_dir), ["session_key"])
 
 
 @query
@@ -276,9 +275,11 @@ def align_contract(spark, sf_dir):
 
 @query
 def contract_violations(spark, sf_dir):
+    """The stops of a session end within one second of its day, so most of their keys are equal once stored."""
     names = {"driver_number": "driver_id", "session_key": "race_id"}
+    end = F.timestamp_micros(F.unix_micros(instant("date")) + F.col("lap_number") * 1000)
     tables = (
-        (ops.reshape(views.pit(spark, sf_dir), rename=names), PIT_STOPS),
+        (ops.reshape(views.pit(spark, sf_dir), derive={"date": end}, rename=names), PIT_STOPS),
         (ops.reshape(views.stints(spark, sf_dir), rename=names), STINTS),
     )
     found = [
@@ -320,6 +321,61 @@ def warehouse_roundtrip(spark, sf_dir):
     return sources.read_warehouse(spark, ORDERS, root)
 
 
+@query
+def warehouse_append(spark, sf_dir):
+    """Orders of even and of odd number, the second part appended to the first."""
+    root, orders = new_folder(spark, "warehouse"), _orders_for_contract(spark, sf_dir)
+    sources.write_warehouse(orders.filter("order_id % 2 = 0"), ORDERS, root)
+    sources.write_warehouse(orders.filter("order_id % 2 = 1"), ORDERS, root, mode="append")
+    return sources.read_warehouse(spark, ORDERS, root)
+
+
+# API descriptions of the six endpoints whose columns are declared.
+CHAIN_SPECS = """[
+    {"base_url": "https://example.org/v1/position?", "attributes_to_remove": [],
+     "driver_numbers_range": {"start": 1, "end": 500}},
+    {"base_url": "https://example.org/v1/drivers", "attributes_to_remove": ["headshot_url"]},
+    {"base_url": "https://example.org/v1/sessions", "attributes_to_remove": []},
+    {"base_url": "https://example.org/v1/pit", "attributes_to_remove": []},
+    {"base_url": "https://example.org/v1/stints", "attributes_to_remove": []},
+    {"base_url": "https://example.org/v1/weather", "attributes_to_remove": []}
+]"""
+
+
+@query
+def warehouse_chain(spark, sf_dir):
+    """Landed JSON to raw tables, to all eight stored tables, to CSV; rows and sum of an id of each export."""
+    landing, raw, root, out = (new_folder(spark, n) for n in ("landing", "raw", "warehouse", "csv"))
+    specs = sources.load_specs(CHAIN_SPECS)
+    for spec in specs:
+        landed = views.VIEWS[spec.name](spark, sf_dir)
+        if spec.name == "weather":
+            # Whole numbers come without a decimal point, and a contract wants every measure.
+            landed = landed.withColumn("rainfall", F.coalesce("rainfall", F.lit(0)).cast("bigint"))
+        if spec.name == "stints":
+            landed = landed.withColumn("tyre_age_at_start", F.coalesce("tyre_age_at_start", F.lit(0)))
+        if spec.name == "drivers":
+            landed = landed.withColumn("headshot_url", F.lit("https://example.org/face.png"))
+        if spec.name == "pit":
+            # One stop per car, session and second.
+            landed = landed.groupBy("driver_number", "session_key", "date").agg(
+                F.min("meeting_key").alias("meeting_key"), F.min("lap_number").alias("lap_number"),
+                F.min("pit_duration").alias("pit_duration"),
+            )
+        if spec.name == "sessions":
+            landed = landed.withColumn("session_name", F.coalesce("session_name", F.lit("")))
+        landed.write.json(f"{landing}/{spec.name}")
+    paths = plans.ingest_all(spark, landing, raw, specs, lines=True)
+    paths["teams"] = sources.write_raw(views.teams(spark, sf_dir), raw, "teams")
+    plans.build_warehouse(spark, paths, root, WIDE_WAREHOUSE)
+    found = []
+    for name, path in plans.export_tables(spark, root, out, contracts=WIDE_WAREHOUSE).items():
+        contract = WIDE_WAREHOUSE[name]
+        rows = sources.read_csv(spark, path, contract.schema)
+        found.append(rows.agg(F.count("*").alias("n"), F.sum(contract.key[0]).alias("ids")).withColumn("table_name", F.lit(name)))
+    return ops.union_batches(found)
+
+
 @query
 def raw_ingest(spark, sf_dir):
     """The gap is a number in some records, text in others and missing in the rest."""
@@ -381,21 +437,16 @@ def stream_latest(spark, sf_dir):
 
 @query
 def stream_window_mean(spark, sf_dir):
-    means = streaming.window_mean(_event_stream(spark, sf_dir), "ts", ["value"], "1 day", REPLAY_LATENESS)
+    means = streaming.window_mean(_event_stream(spark, sf_dir), "ts", ["value"], "1 day", LATENESS)
     out = new_folder(spark, "windows")
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    writer = means.writeStream.outputMode("complete").option("checkpointLocation", new_folder(spark, "checkpoint"))
-    streaming.run_available(writer.foreachBatch(store))
-    return _rounded(spark.read.parquet(out), ["value"])
+    streaming.run_available(streaming.write_changes(means, out, new_folder(spark, "checkpoint")))
+    return _rounded(streaming.read_changes(spark, out, ["window_start"]), ["value"])
 
 
 @query
 def stream_dedupe(spark, sf_dir):
     polled = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))
-    once = streaming.dedupe_stream(polled, ["event_id"], "ts", REPLAY_LATENESS)
+    once = streaming.dedupe_stream(polled, ["event_id"], "ts", LATENESS)
     out = new_folder(spark, "deduped")
     streaming.run_available(streaming.land_stream(once, out, new_folder(spark, "checkpoint")))
     return spark.read.parquet(out)

@@ -36,14 +36,45 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    local = spark.sparkContext.master.startswith("local")
+    if not local and (not root or _file_system(spark, root)[0].getScheme() == "file"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that every executor can reach")
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that every executor can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="raceway-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly below a folder."""
+    files, place = _file_system(spark, path)
+    return [entry.getPath().getName() for entry in files.listStatus(place)]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in the place of another.
+
+    The old folder is set aside first and removed last, so one complete copy exists at any time.
+    """
+    files, place = _file_system(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.old-{uuid.uuid4().hex}")
+    if files.exists(place) and not files.rename(place, aside):
+        raise OSError(f"cannot set {path} aside")
+    if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(new), place):
+        raise OSError(f"cannot put {new} at {path}")
+    files.delete(aside, True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path, not used before, below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -1,4 +1,5 @@
 from raceway.streaming.live import (
+    compact_changes,
     dedupe_stream,
     land_stream,
     latest_stream,
@@ -10,6 +11,7 @@ from raceway.streaming.live import (
 )
 
 __all__ = [
+    "compact_changes",
     "dedupe_stream",
     "land_stream",
     "latest_stream",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from raceway.operators import latest_per_key
+from raceway.session import folder_names, remove_folder, replace_folder
 
 
 def open_stream(
@@ -45,10 +46,32 @@ def write_changes(latest: DataFrame, out: str, checkpoint: str) -> DataStreamWri
 
 
 def read_changes(
-    spark: SparkSession, out: str, keys: Sequence[str], newest: Sequence[str]
+    spark: SparkSession, out: str, keys: Sequence[str], newest: Sequence[str] = ()
 ) -> DataFrame:
-    """The change log reduced to its newest row per key."""
-    return latest_per_key(spark.read.parquet(out).drop("batch"), keys, newest)
+    """The change log reduced to its newest row per key; of equals the later batch's."""
+    return latest_per_key(spark.read.parquet(out), keys, [*newest, "batch"]).drop("batch")
+
+
+def compact_changes(
+    spark: SparkSession, out: str, keys: Sequence[str], newest: Sequence[str] = ()
+) -> None:
+    """Merge all but the last batch of a change log into one row per key.
+
+    The last batch is left alone, since a restarted stream may write it again. The merged rows take
+    the place of the youngest batch they cover before the older ones go, so readers find every key
+    at any time. Run between micro-batches, it keeps what ``read_changes`` reads in proportion to
+    the keys.
+    """
+    batches = sorted(int(n.split("=")[1]) for n in folder_names(spark, out) if n.startswith("batch="))
+    if len(batches) < 3:
+        return
+    old, last = batches[:-1], batches[-2]
+    covered = spark.read.parquet(out).filter(F.col("batch") <= last)
+    merged = f"{out.rstrip('/')}.merged-{last}"
+    latest_per_key(covered, keys, [*newest, "batch"]).drop("batch").write.mode("overwrite").parquet(merged)
+    replace_folder(spark, merged, f"{out}/batch={last}")
+    for batch in old[:-1]:
+        remove_folder(spark, f"{out}/batch={batch}")
 
 
 def window_mean(
@@ -61,14 +84,17 @@ def window_mean(
 
 
 def dedupe_stream(
-    stream: DataFrame, keys: Sequence[str], moment: str, lateness: str, salts: int = 8
+    stream: DataFrame, keys: Sequence[str], moment: str, lateness: str, salts: int = 1
 ) -> DataFrame:
     """Drop rows that repeat a key within the watermark, such as a repeated poll.
 
-    Copies of one key are first thinned out per ``salts`` slices, by the task that read them, so
-    a key with very many copies does not meet in one task until few are left.
+    The state holds the keys of the last ``lateness``. With ``salts`` above 1, copies of one key
+    are first thinned out per slice, by the task that read them, so that a key with very many
+    copies does not meet in one task until few are left; each slice then keeps state as well.
     """
     timed = stream.withWatermark(moment, lateness)
+    if salts < 2:
+        return timed.dropDuplicatesWithinWatermark(list(keys))
     salted = timed.withColumn("_salt", F.spark_partition_id() % salts)
     thinned = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
     return thinned.dropDuplicatesWithinWatermark(list(keys))
