@@ -83,9 +83,6 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             "n": np.asarray(n, np.int64),
         })
 
-    def spell(token: bytes) -> str:
-        return token.decode("utf-8", "surrogateescape")
-
     for batch in batches:
         for run in runs(batch.text):
             for document in run:
@@ -100,13 +97,13 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(codes[0]) > 4_000_000:
                 yield frame(path=codes.pop(0).astype(np.int64), n=counts.pop(0))
             if len(words) > HELD:
-                yield frame(token=[spell(w) for w in words], n=list(words.values()))
+                yield frame(token=[w.decode() for w in words], n=list(words.values()))
                 words = Counter()
     if codes:
         unique, total = flush_paths()
         yield frame(path=unique.astype(np.int64), n=total)
     if words:
-        yield frame(token=[spell(w) for w in words], n=list(words.values()))
+        yield frame(token=[w.decode() for w in words], n=list(words.values()))
 
 
 def gather(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -250,11 +247,13 @@ def grow(counts: DataFrame, order: int = ORDER, room: int = NODES) -> list[tuple
         ).withColumn("k", F.lit(k)) if k < order else full.withColumn("k", F.lit(k))
         levels = level if levels is None else levels.unionByName(level)
     levels = staged(levels, "ppm-levels")
-    kept = levels.filter(F.col("n") >= _fit_count(levels, room)).toPandas()
+    kept = levels.filter(F.col("n") >= _fit_count(levels, room)).toArrow()
+    level, path, n = (kept.column(c).to_numpy() for c in ("k", "path", "n"))
     out = []
     for k in range(order + 1):
-        part = kept[kept.k == k].sort_values("path")
-        out.append((part.path.to_numpy(np.uint64), part.n.to_numpy(np.int64)))
+        own = np.flatnonzero(level == k)
+        own = own[np.argsort(path[own])]
+        out.append((path[own].astype(np.uint64), n[own].astype(np.int64)))
     return out
 
 
@@ -274,11 +273,10 @@ def score_documents(docs: DataFrame, train: Column, text_col: str = "text", out:
     tokens = counts.filter("token IS NOT NULL").select("token", "n")
     size = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     least = _fit_count(tokens, WORDS)
-    frequent = tokens.filter(F.col("n") >= least).toPandas()
-    model = spark.sparkContext.broadcast((
-        grow(counts),
-        {t.encode("utf-8", "surrogateescape"): float(x) for t, x in zip(frequent.token, np.log10(frequent.n + 1.0))},
-    ))
+    frequent = tokens.filter(F.col("n") >= least).toArrow()
+    logs = np.log10(frequent.column("n").to_numpy() + 1.0).tolist()
+    words = {t.as_py().encode(): x for t, x in zip(frequent.column("token"), logs)}
+    model = spark.sparkContext.broadcast((grow(counts), words))
 
     fields = "n_tokens long, n_known long, base double, score double, rare array<string>"
 
