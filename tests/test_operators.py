@@ -5,8 +5,9 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from raceway import operators as ops
-from raceway.contracts import DRIVERS, RESULTS, UINT16_DAYS
-from raceway.functions import instant
+from raceway.contracts import DRIVERS, PIT_STOPS, RESULTS
+from raceway.functions import instant, written_day
+from raceway.sources import write_warehouse
 
 
 def test_latest_per_key_orders_by_instant_not_text(spark):
@@ -35,10 +36,11 @@ def test_latest_per_key_reduces_before_the_shuffle(spark):
 
 def test_latest_narrow_agrees_with_latest_per_key(spark):
     stamps = [None, "1969-12-31T23:59:59.999999+00:00", "2024-01-01T00:00:00+02:00", "2024-01-01T00:00:00Z",
-              "2024-01-01T00:00:00.000001Z", "1500-01-01T00:00:00Z", "2500-01-01T00:00:00Z"]
-    records = [(i % 11, stamps[i * i % 7], None if i % 4 == 0 else i * 37 % 256) for i in range(300)]
-    records += [(90, None, None), (91, None, 0), (91, None, None), (92, stamps[2], 255), (92, stamps[2], 0)]
-    df = spark.createDataFrame(records, "k int, date string, position int")
+              "2024-01-01T00:00:00.000001Z", "0002-01-01T00:00:00Z", "9998-01-01T00:00:00Z"]
+    records = [(i % 11, stamps[i * i % 7], None if i % 4 == 0 else (i - 99) ** 9) for i in range(200)]
+    records += [(90, None, None), (91, None, 0), (91, None, None), (92, stamps[2], 255), (92, stamps[2], 300)]
+    records += [(93, stamps[3], -(1 << 63)), (93, stamps[3], None), (94, stamps[3], (1 << 63) - 1), (94, stamps[3], 5)]
+    df = spark.createDataFrame(records, "k int, date string, position bigint")
     wide = ops.latest_per_key(df, ["k"], [instant("date"), "position", "date"])
     take = {"i": instant("date"), "position": F.col("position")}
     narrow = ops.latest_narrow(df, ["k"], instant("date"), "position", take)
@@ -46,11 +48,14 @@ def test_latest_narrow_agrees_with_latest_per_key(spark):
     assert "Sort" not in plan(narrow)
 
 
-@pytest.mark.parametrize("bad", [("2024-01-01T00:00:00Z", 256), ("2024-01-01T00:00:00Z", -1), ("3000-01-01T00:00:00Z", 1)])
-def test_latest_narrow_raises_instead_of_guessing(spark, bad):
-    df = spark.createDataFrame([(1, *bad)], "k int, date string, position int")
-    with pytest.raises(Exception, match="beyond 8 bits|OVERFLOW"):
-        ops.latest_narrow(df, ["k"], instant("date"), "position", {"p": F.col("position")}).collect()
+@pytest.mark.parametrize("partitions", [1, 2, 32])
+def test_latest_narrow_orders_equal_records_by_written_day(spark, partitions):
+    same = ["2023-08-26T23:30:00+00:00", "2023-08-27T00:30:00+01:00", "2023-08-26T22:30:00-01:00"]
+    df = spark.createDataFrame([(1, d, 3) for d in same], "k int, date string, position int").repartition(partitions)
+    take = {"day": written_day("date"), "position": F.col("position")}
+    last = F.date_diff(written_day("date"), F.to_date(instant("date"))) + 1
+    got = ops.latest_narrow(df, ["k"], instant("date"), "position", take, last)
+    assert rows(got) == [(1, date(2023, 8, 27), 3)] and "Sort" not in plan(got)
 
 
 def test_dedupe_by_keeps_latest_session(spark):
@@ -172,38 +177,32 @@ def test_lookup_left_counts_equal_rows_once_and_refuses_conflicts(spark):
     copies = spark.createDataFrame([*TEAMS, (1, "Alpha")], "team_id int, team string")
     assert ops.lookup_left(cars, copies, "team", ["team_id"]).count() == len(CARS)
     conflict = spark.createDataFrame([*TEAMS, (9, "Alpha")], "team_id int, team string")
-    with pytest.raises(ValueError, match="repeat a key"):
-        ops.lookup_left(cars, conflict, "team", ["team_id"])
+    with pytest.raises(Exception, match="team_id is not unique for team"):
+        ops.lookup_left(cars, conflict, "team", ["team_id"]).collect()
     with pytest.raises(ValueError, match="already present"):
         ops.lookup_left(cars, copies.withColumn("car", F.lit(1)), "team", ["car"])
 
 
-def test_bounded_lookup(spark):
+def test_lookup_left_on_a_date_and_of_null_values(spark):
     day = date(2024, 1, 1)
-    facts = spark.createDataFrame([(1, day), (2, date(2024, 1, 2)), (3, None)], "id int, date date")
-    days = spark.createDataFrame([(day, 19723), (None, 5), (None, 6)], "date date, weather_id int")
-
-    def look(dim):
-        return ops.lookup_left(facts, dim, "date", ["weather_id"], key_range=UINT16_DAYS)
-
-    got = look(days)
-    assert rows(got, "id", "weather_id") == [(1, 19723), (2, None), (3, None)]
-    assert "BroadcastHashJoin" in plan(got)
-    with pytest.raises(Exception, match="outside 1970-01-01"):
-        look(spark.createDataFrame([(date(1969, 12, 31), 1)], "date date, weather_id int")).collect()
-    for other in (7, None):
-        with pytest.raises(Exception, match="not unique"):
-            look(spark.createDataFrame([(day, 1), (day, other)], "date date, weather_id int")).collect()
-    assert look(spark.createDataFrame([(day, 1), (day, 1)], "date date, weather_id int")).count() == 3
-
-
-def test_wide_or_variable_lookup_is_not_forced_to_broadcast(spark, conf):
-    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    facts, dim = spark.range(5), spark.range(5).select("id", F.col("id").cast("string").alias("text"))
-    numbers = dim.select("id", F.col("id").alias("n"))
-    for rows_, take, limits in ((dim, "text", (0, 10)), (numbers, "n", (0, 1 << 40))):
-        got = ops.lookup_left(facts, rows_, "id", [take], key_range=limits)
-        assert "Broadcast" not in plan(got) and got.where(F.col(take).isNull()).count() == 0
+    facts = spark.createDataFrame([(1, day), (2, date(1969, 1, 2)), (3, None)], "id int, date date")
+    days = spark.createDataFrame([(day, 19723), (date(1969, 1, 2), -364), (None, 5), (None, 6)], "date date, weather_id int")
+    for unique in (False, True):
+        got = ops.lookup_left(facts, days, "date", ["weather_id"], unique=unique)
+        assert rows(got, "id", "weather_id") == [(1, 19723), (2, -364), (3, None)]
+    half = spark.createDataFrame([(day, 1), (day, None)], "date date, weather_id int")
+    with pytest.raises(Exception, match="not unique"):
+        ops.lookup_left(facts, half, "date", ["weather_id"]).collect()
+
+
+def test_lookup_runs_nothing_while_planning(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lookup-plan", "planning only")
+    try:
+        ops.lookup_left(spark.range(5), spark.range(5).withColumn("n", F.lit(1)), "id", ["n"])
+        assert list(tracker.getJobIdsForGroup("lookup-plan")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_lookup_splits_a_hot_key(spark, conf):
@@ -238,30 +237,20 @@ def test_union_batches(spark):
 
 
 def test_request_manifest(spark):
-    sessions = spark.createDataFrame([(9001,), (9002,), (9001,)], "session_key int")
-    cars = spark.createDataFrame([(1,), (44,), (44,)], "driver_number int")
+    seen = spark.createDataFrame(
+        [(9001, 1), (9001, 44), (9002, 44), (9001, 44), (9003, None), (None, 1)], "session_key int, driver_number int"
+    )
     base = "https://a.example/v1/car_data"
-    both = ops.request_manifest(base, sessions, cars)
+    both = ops.request_manifest(base, seen, ["session_key", "driver_number"])
     assert rows(both) == [
-        (s, d, f"{base}?session_key={s}&driver_number={d}") for s in (9001, 9002) for d in (1, 44)
-    ]
-    text = plan(both)
-    assert "CartesianProduct" not in text and "NestedLoop" not in text
-    assert rows(ops.request_manifest(base, sessions=sessions)) == [
-        (s, f"{base}?session_key={s}") for s in (9001, 9002)
+        (s, d, f"{base}?session_key={s}&driver_number={d}") for s, d in ((9001, 1), (9001, 44), (9002, 44))
     ]
-    assert rows(ops.request_manifest(base, drivers=cars)) == [
-        (d, f"{base}?driver_number={d}") for d in (1, 44)
+    assert rows(ops.request_manifest(base, seen, ["session_key"])) == [
+        (s, f"{base}?session_key={s}") for s in (9001, 9002, 9003)
     ]
     assert rows(ops.request_manifest(base)) == [(base,)]
-
-
-def test_request_manifest_refuses_what_no_car_number_holds(spark):
-    sessions = spark.createDataFrame([(1,)], "session_key int")
-    numbers = spark.range(257).select(F.col("id").alias("driver_number"))
-    assert ops.request_manifest("u", sessions, numbers.where("driver_number < 256")).count() == 256
-    with pytest.raises(Exception, match="more than 256 driver numbers"):
-        ops.request_manifest("u", sessions, numbers).collect()
+    many = spark.range(300).select(F.lit(1).alias("session_key"), F.col("id").alias("driver_number"))
+    assert ops.request_manifest(base, many, ["session_key", "driver_number"]).count() == 300
 
 
 DRIVER_ROWS = [(1, "A B", "AB", None, None), (255, None, "CD", "NED", 2)]
@@ -276,8 +265,6 @@ def test_contract_alignment(spark):
 
 
 def test_contract_seconds_are_cut(spark):
-    from raceway.contracts import PIT_STOPS
-
     df = spark.createDataFrame(
         [(1, 2.5, datetime(2024, 1, 1, 10, 0, 0, 900000), 1, 2)],
         "lap_number int, pit_duration double, date timestamp_ntz, driver_id int, race_id int",
@@ -331,3 +318,21 @@ def test_require_rows_and_unique(spark):
         ops.check_unique(df, ["k"], "x")
     assert ops.check_unique(df.distinct(), ["k"], "x").count() == 2
     assert ops.check_unique(df.where("k > 5"), ["k"], "x").count() == 0
+
+
+def test_keys_are_compared_as_stored(spark, tmp_path):
+    """Two stops within one second are one key for the check as for the table."""
+    stops = [(1, 2.5, datetime(2024, 1, 1, 10, 0, 0, f), 1, 2) for f in (100000, 900000)]
+    df = spark.createDataFrame(stops, "lap_number int, pit_duration double, date timestamp, driver_id int, race_id int")
+    with pytest.raises(ops.ContractError, match="date key x1$"):
+        ops.enforce_contract(df, PIT_STOPS)
+    with pytest.raises(ops.ContractError, match="1 rows repeat"):
+        write_warehouse(df, PIT_STOPS, str(tmp_path))
+
+
+def test_violations_read_their_table_once(spark, tmp_path):
+    spark.createDataFrame(DRIVER_ROWS, DRIVER_DDL).write.parquet(str(tmp_path / "t"))
+    text = plan(ops.contract_violations(spark.read.parquet(str(tmp_path / "t")), DRIVERS))
+    assert text.count("FileScan parquet") == 1
+    nothing = spark.createDataFrame([], DRIVER_DDL)
+    assert ops.contract_violations(nothing, DRIVERS).where("breaches <> 0").count() == 0

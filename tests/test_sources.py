@@ -15,7 +15,8 @@ from raceway.session import get_session, new_folder, shared_folder
 class FakeSession:
     """Stands in for a session, whose core settings cannot change once it runs."""
 
-    def __init__(self, master, **conf):
+    def __init__(self, master, _jvm=None, _jsc=None, **conf):
+        self._jvm, self._jsc = _jvm, _jsc
         self.conf, self.sparkContext, self.master, self.folder = conf, self, master, None
 
     def setCheckpointDir(self, folder):
@@ -25,16 +26,19 @@ class FakeSession:
         return self.folder
 
 
-def test_scratch_lies_below_the_named_folder():
-    named = FakeSession("yarn", **{"spark.checkpoint.dir": "hdfs://shared/cp/"})
+def test_scratch_lies_below_the_named_folder(spark):
+    named = FakeSession("local[2]", **{"spark.checkpoint.dir": "hdfs://shared/cp/"})
     assert shared_folder(named) == "hdfs://shared/cp/"
     assert new_folder(named, "x").startswith("hdfs://shared/cp/x-")
     assert new_folder(named, "x") != new_folder(named, "x")
 
 
-def test_only_a_local_session_makes_its_own_scratch_folder():
+def test_only_a_local_session_makes_its_own_scratch_folder(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(FakeSession("spark://host:7077"))
+    for local_path in ("file:/tmp/cp", "/tmp/cp"):
+        with pytest.raises(RuntimeError, match="every executor"):
+            shared_folder(FakeSession("yarn", _jvm=spark._jvm, _jsc=spark._jsc, **{"spark.checkpoint.dir": local_path}))
     local = FakeSession("local[4]")
     assert os.path.isdir(shared_folder(local)) and shared_folder(local) == local.folder
 
@@ -176,8 +180,19 @@ def test_append_checks_keys_against_the_table(spark, tmp_path):
     sources.write_warehouse(df.where("team_id <= 10"), TEAMS, root, mode="append")
     sources.write_warehouse(df.where("team_id > 10"), TEAMS, root, mode="append")
     assert sources.read_warehouse(spark, TEAMS, root).count() == 30
-    with pytest.raises(ContractError):
-        sources.write_warehouse(df.where("team_id = 5"), TEAMS, root, mode="append")
+    for again in ("team_id = 5", "team_id IN (10, 11)"):
+        with pytest.raises(ContractError, match="repeat a key"):
+            sources.write_warehouse(df.where(again), TEAMS, root, mode="append")
+    assert sources.read_warehouse(spark, TEAMS, root).count() == 30
+
+
+def test_a_write_leaves_one_copy(spark, tmp_path):
+    df = spark.createDataFrame(TEAM_ROWS, TEAM_DDL)
+    scratch = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(scratch))
+    for _ in range(2):
+        sources.write_warehouse(df, TEAMS, str(tmp_path / "dw"))
+    assert os.listdir(tmp_path / "dw") == ["TeamsDT"] and set(os.listdir(scratch)) == before
 
 
 def test_missing_nullable_column_is_null(spark, tmp_path):

@@ -93,12 +93,13 @@ def test_window_means_take_late_rows_within_the_watermark_only(spark, feed):
     assert rows(got) == [(at(0), 15.0), (at(10), 2.0)]
 
 
-def test_repeated_polls_count_once(spark, feed):
+@pytest.mark.parametrize("salts", [1, 8])
+def test_repeated_polls_count_once(spark, feed, salts):
     first = [(i, 1, at(i), i) for i in range(5)]
     feed.land(*first)
     feed.land(*first, (5, 1, at(5), 5))  # the poll again, with one new row
     feed.land(*[(7, 1, at(6), 7)] * 50)  # one row many times
-    once = streaming.dedupe_stream(feed.open(), ["id"], "at", "1 hour")
+    once = streaming.dedupe_stream(feed.open(), ["id"], "at", "1 hour", salts)
     streaming.run_available(streaming.land_stream(once, feed.path("out"), feed.path("cp")))
     assert rows(spark.read.parquet(feed.path("out")), "id") == [(i,) for i in (0, 1, 2, 3, 4, 5, 7)]
 
@@ -113,3 +114,50 @@ def test_landing_counts_each_file_once(spark, feed):
     feed.land((2, 1, at(0), 1), (3, 1, at(0), 1))
     assert run() == 3
     assert run() == 3
+
+
+def test_changed_windows_take_the_place_of_their_older_means(spark, feed):
+    out = feed.path("out")
+    feed.land((1, 1, at(0), 10))
+    feed.land((2, 1, at(5), 20), (3, 1, at(12), 7))
+    feed.land((4, 1, at(13), 9))
+    means = streaming.window_mean(feed.open(), "at", ["position"], "10 minutes", "1 hour")
+    streaming.run_available(streaming.write_changes(means, out, feed.path("cp")))
+    want = [(at(0), 15.0), (at(10), 8.0)]
+    assert rows(ntz(streaming.read_changes(spark, out, ["window_start"]), "window_start")) == want
+
+
+def state_rows(query):
+    return sum(s["numRowsTotal"] for s in query.lastProgress["stateOperators"])
+
+
+def test_old_state_is_freed(spark, feed):
+    for k in range(6):
+        feed.land((k, 1, at(k * 600), k))
+    for stream in (
+        streaming.dedupe_stream(feed.open(), ["id"], "at", "1 hour"),
+        streaming.window_mean(feed.open(), "at", ["position"], "10 minutes", "1 hour"),
+    ):
+        path = feed.path(f"out-{len(stream.columns)}")
+        query = streaming.land_stream(stream, path, f"{path}-cp").trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert state_rows(query) <= 2
+
+
+def test_a_compacted_log_reads_the_same(spark, feed):
+    out, keys, newest = feed.path("out"), ["car"], ["at", "position"]
+
+    def run():
+        latest = streaming.latest_stream(feed.open(), keys, newest)
+        streaming.run_available(streaming.write_changes(latest, out, feed.path("cp")))
+        return rows(ntz(streaming.read_changes(spark, out, keys, newest)), "car", "at", "position")
+
+    for k in range(5):
+        feed.land((k, k % 2, at(k), k))
+    before = run()
+    streaming.compact_changes(spark, out, keys, newest)
+    assert sorted(os.listdir(out)) == ["batch=3", "batch=4"] and run() == before
+    feed.land((9, 0, at(60), 3))
+    assert run() == [(0, at(60), 3), before[1]]
+    streaming.compact_changes(spark, out, keys, newest)
+    assert len([n for n in os.listdir(out) if n.startswith("batch")]) == 2 and run() == [(0, at(60), 3), before[1]]
