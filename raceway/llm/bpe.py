@@ -8,11 +8,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from raceway.llm.common import shipped
+from raceway.llm.common import shipped, slices
 
 #: Fixed values of the public byte-level format: how a text is cut before merging, and which bytes
 #: stand for themselves in the vocabulary (the others follow from 256 on, in order).
@@ -203,16 +202,6 @@ def _shared(vocabulary) -> Callable[[], Vocabulary]:
     return load
 
 
-def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows that hold about ``RUN`` bytes in one column, at least one row each."""
-    size = pc.fill_null(pc.binary_length(batch.column(column)), 0) if pa.types.is_string(
-        batch.schema.field(column).type
-    ) else pc.fill_null(pc.list_value_length(batch.column(column)), 0)
-    run = np.cumsum(size.to_numpy(zero_copy_only=False)) // RUN
-    edges = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
-    return (batch.slice(x, y - x) for x, y in zip(edges, edges[1:]) if y > x)
-
-
 class Codec:
     """Encoding and decoding of DataFrame columns with the byte-level BPE file at ``path``.
 
@@ -253,7 +242,7 @@ class Codec:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vocabulary = load()
             for batch in batches:
-                for part in slices(batch, place):
+                for part in slices(batch, place, RUN):
                     arrays = make(vocabulary, part.column(place))
                     yield pa.RecordBatch.from_arrays([*part.columns, *arrays], names=names)
 

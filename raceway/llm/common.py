@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from raceway.session import new_folder
@@ -54,12 +57,13 @@ def remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % divisor
 
 
-def all_equal(pairs: Sequence[tuple[Column, Column]]) -> Column:
-    """NULL-safe equality of each pair."""
-    out = F.lit(True)
-    for a, b in pairs:
-        out = out & a.eqNullSafe(b)
-    return out
+def slices(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows that hold about ``size`` bytes (or list items) in one column."""
+    values = batch.column(column)
+    length = pc.binary_length(values) if pa.types.is_string(values.type) else pc.list_value_length(values)
+    run = np.cumsum(pc.fill_null(length, 0).to_numpy(zero_copy_only=False), dtype=np.int64) // size
+    edges = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(x, y - x) for x, y in zip(edges, edges[1:]) if y > x)
 
 
 def ranged(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:

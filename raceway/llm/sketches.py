@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from raceway.llm.common import all_equal, ranged, staged
+from raceway.llm.common import ranged, staged
 
 #: Hash tables per sketch: an item has one cell in each.
 TABLES = 3
@@ -14,7 +14,9 @@ CELLS, FACTOR = 16, 4
 ROUNDS = 12
 #: Bits of an item: digest, then check.
 DIGEST, CHECK = 40, 16
-KEY = ["id", "h"]
+#: A distinct document: whether its id is NULL, its id (else 0), and the hash of its text. None is NULL, so
+#: all joins, windows and groups of documents share one partitioning.
+KEY = ["no", "id", "h"]
 
 
 def paragraphs(text: Column) -> Column:
@@ -32,23 +34,24 @@ def _place(digest: Column, table: int, cells: int) -> Column:
     return (F.xxhash64(digest, F.lit(table)).bitwiseAND(F.lit(cells - 1)) + table * cells).cast("int")
 
 
+def _key(row: Column | str) -> list[Column]:
+    return [F.col(f"{row}.{k}").alias(k) for k in KEY]
+
+
 def _neighbours(keys: DataFrame) -> DataFrame:
-    """Distinct documents ``(id, h, n)`` with the key and length of the one before and the next.
+    """Distinct documents with their length, and the key and length of the one before and the next.
 
     Order is ascending id (NULL last), then h; after the last comes the first. Ranges are stored
     sorted, neighbours are found inside each, and one row per range bridges to the next range.
     """
-    order = [F.col("id").asc_nulls_last(), F.col("h").asc()]
+    order = [F.col(k) for k in KEY]
     rows = ranged(keys, order, "sketch-order")
     inside = Window.partitionBy("_part").orderBy(*order)
     here = F.struct(*KEY, "n")
     placed = rows.withColumns({"next": F.lead(here).over(inside), "prev": F.lag(here).over(inside)})
-    # NULL ids are last, so an end of a range is a smallest or largest (is NULL, id, h).
-    rank = F.struct(F.col("id").isNull().alias("no"), "id", "h")
-    ends = rows.groupBy("_part").agg(F.min_by(here, rank).alias("first"), F.max_by(here, rank).alias("last"))
-    across, whole = Window.orderBy("_part"), Window.orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
+    ends = rows.groupBy("_part").agg(F.min(here).alias("first"), F.max(here).alias("last"))
+    across = Window.orderBy("_part")
+    whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     bridge = ends.select(
         "_part",
         F.coalesce(F.lead("first").over(across), F.first("first").over(whole)).alias("after"),
@@ -60,49 +63,37 @@ def _neighbours(keys: DataFrame) -> DataFrame:
 
 
 def edited(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Documents with their neighbours' paragraphs, one row per distinct ``(id, text)``, stored.
+    """Documents with their neighbours' paragraphs, one row per row of ``docs``, stored.
 
-    ``copies`` counts the rows that share id and text, ``n`` is the length in code points. The
+    ``copy`` numbers the rows that share id and text, ``n`` is the length in code points. The
     edited text is the text with its last floor(n/2) code points replaced by the first as many (or
-    all) of the next document. Only the lengths are ordered and joined; of a neighbour's text just
-    that beginning is sent. ``d0``, ``d1``, ``d2`` are the paragraphs of the text, of the edited
-    text and of the next document.
+    all) of the next document. Only the lengths are ordered; texts are sent once, by their key, and
+    of a neighbour's text just that beginning. ``d0``, ``d1``, ``d2`` are the paragraphs of the
+    text, of the edited text and of the next document.
     """
     body = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).alias("id"), body.alias("text")).withColumn("h", F.xxhash64("text"))
+    keyed = docs.select(
+        F.col(id_col).isNull().alias("no"), F.coalesce(F.col(id_col), F.lit(0)).alias("id"), body.alias("text")
+    ).withColumn("h", F.xxhash64("text"))
     keys = keyed.groupBy(*KEY).agg(F.max(F.char_length("text")).cast("long").alias("n"))
     near = staged(_neighbours(keys), "sketch-neighbours")
-    where = near.select(F.col("id").alias("i"), F.col("h").alias("g"), "n", "next", "prev")
-    met = keyed.join(where, all_equal([(F.col("id"), F.col("i")), (F.col("h"), F.col("g"))]))
-    copy = Window.partitionBy(*KEY).orderBy("h")
-    one = met.withColumn("copy", F.row_number().over(copy))
+    copies = F.row_number().over(Window.partitionBy(*KEY).orderBy("n"))
+    own = keyed.join(near, KEY).withColumn("copy", copies)
     half = F.floor(F.col("prev.n") / 2).cast("int")
-    heads = one.filter("copy = 1").select(
-        F.col("prev.id").alias("i"), F.col("prev.h").alias("g"),
-        F.substring(F.col("text"), F.lit(1), half).alias("head"),
-    )
-    left = one.select("id", "h", "n", "next", "prev", "text", "copy").join(
-        heads, all_equal([(F.col("id"), F.col("i")), (F.col("h"), F.col("g"))])
-    )
+    heads = own.filter("copy = 1").select(*_key("prev"), F.substring(F.col("text"), F.lit(1), half).alias("head"))
     keep = (F.col("n") - F.floor(F.col("n") / 2)).cast("int")
-    changed = left.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), keep), F.col("head")))
-    own = staged(
+    changed = own.join(heads, KEY).withColumn(
+        "edited", F.concat(F.substring(F.col("text"), F.lit(1), keep), F.col("head"))
+    )
+    sides = staged(
         changed.select(
-            *KEY, "n", "copy", F.col("prev.id").alias("prev_id"), F.col("prev.h").alias("prev_h"),
-            F.unhex(F.sha2(F.col("edited").cast("binary"), 256)).alias("sha"),
+            *KEY, "n", "copy", "prev", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)).alias("sha"),
             paragraphs(F.col("text")).alias("d0"), paragraphs(F.col("edited")).alias("d1"),
         ),
         "sketch-paragraphs",
     )
-    following = own.filter("copy = 1").select(
-        F.col("prev_id").alias("i"), F.col("prev_h").alias("g"), F.col("d0").alias("d2")
-    )
-    return staged(
-        own.drop("prev_id", "prev_h").join(
-            following, all_equal([(F.col("id"), F.col("i")), (F.col("h"), F.col("g"))])
-        ).drop("i", "g"),
-        "sketch-sides",
-    )
+    following = sides.filter("copy = 1").select(*_key("prev"), F.col("d0").alias("d2"))
+    return staged(sides.drop("prev").join(following, KEY), "sketch-sides")
 
 
 def _items(sides: DataFrame) -> DataFrame:
@@ -175,10 +166,7 @@ def peel(cells: DataFrame, size: int) -> DataFrame:
 
 def _among(rows: DataFrame, wanted: DataFrame | None, columns: list[str]) -> DataFrame:
     """The rows whose key is wanted; all of them without ``wanted``."""
-    if wanted is None:
-        return rows
-    named = wanted.select(*[F.col(c).alias(f"w_{c}") for c in columns]).distinct()
-    return rows.join(named, all_equal([(rows[c], named[f"w_{c}"]) for c in columns]), "left_semi")
+    return rows if wanted is None else rows.join(wanted.select(*columns).distinct(), columns, "left_semi")
 
 
 def differences(sides: DataFrame, cells: int = CELLS) -> DataFrame:
@@ -222,9 +210,7 @@ def likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ce
     apart = differences(first, cells).groupBy(*KEY).agg(
         *[F.max(F.when(F.col("pair") == s, F.col("found"))).alias(f"apart{s}") for s in (1, 2)]
     )
-    rename = lambda df, p: df.withColumnsRenamed({"id": f"{p}_id", "h": f"{p}_h"})
-    same = lambda p: all_equal([(F.col("id"), F.col(f"{p}_id")), (F.col("h"), F.col(f"{p}_h"))])
-    out = sides.join(rename(wide, "p"), same("p"), "left").join(rename(apart, "a"), same("a"), "left")
+    out = sides.join(wide, KEY, "left").join(apart, KEY, "left")
     sizes = {s: F.size(F.array_distinct(f"d{s}")) for s in range(3)}
 
     def near(other: int) -> Column:
@@ -232,7 +218,7 @@ def likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ce
         return F.when(both == 0, F.lit(1.0)).otherwise((both - gap) / (both + gap))
 
     return out.select(
-        "id",
+        F.when(~F.col("no"), F.col("id")).alias("id"),
         F.col("n").alias("n_chars"),
         F.lower(F.hex("sha")).alias("edited_sha256"),
         F.coalesce("f0", F.lit("")).alias("fingerprint"),
