@@ -7,9 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from raceway.llm.common import shipped, staged
+from raceway.llm.common import shipped, slices, staged
 from raceway.llm.simhash import LOWER
 
 #: Bytes of context of the longest trie path.
@@ -19,7 +20,7 @@ NODES, WORDS = 1 << 20, 1 << 17
 #: The end of a text. No word holds it; before a text stand as many of it as the context is long.
 END = b"\n"
 #: Bytes worked on at once; distinct words a task holds before it passes their counts on.
-RUN, HELD = 4_000_000, 400_000
+RUN, HELD = 1_000_000, 400_000
 COLUMNS = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -233,6 +234,16 @@ class Trie:
         return out
 
 
+_TRIES: list[tuple[object, Trie]] = []
+
+
+def _trie(nodes: list[tuple[np.ndarray, np.ndarray]]) -> Trie:
+    """The trie of broadcast nodes, built once per worker."""
+    if not _TRIES or _TRIES[0][0] is not nodes:
+        _TRIES[:] = [(nodes, Trie(nodes))]
+    return _TRIES[0][1]
+
+
 def grow(counts: DataFrame, order: int = ORDER, room: int = NODES) -> list[tuple[np.ndarray, np.ndarray]]:
     """Trie nodes per context length, from the counts of all longest paths.
 
@@ -279,26 +290,32 @@ def score_documents(docs: DataFrame, train: Column, text_col: str = "text", out:
     model = spark.sparkContext.broadcast((grow(counts), words))
 
     fields = "n_tokens long, n_known long, base double, score double, rare array<string>"
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.StructType.fromDDL(fields))])
+    place, names = docs.columns.index(text_col), [*docs.columns, out]
 
-    @F.pandas_udf(fields)
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, known = model.value
-        trie = Trie(nodes)
+        trie = _trie(nodes)
         for batch in batches:
-            found = []
-            for run in runs(batch):
-                code, starts = paths([spelled(d) for d in run])
+            for part in slices(batch, place, RUN):
+                texts = [words_of(t) for t in part.column(place).to_pylist()]
+                code, starts = paths([spelled(t) for t in texts])
                 sums = np.add.reduceat(trie.score(code), starts)
-                for words, total in zip(run, sums.tolist()):
+                for words in texts:
                     words.append(END)
-                    common = [known[w] for w in words if w in known]
-                    rare = [w.decode() for w in words if w not in known]
-                    found.append((len(words), len(common), sum(common), total, rare))
-            yield pd.DataFrame(found, columns=["n_tokens", "n_known", "base", "score", "rare"])
+                common = [[known[w] for w in words if w in known] for words in texts]
+                rare = [[w.decode() for w in words if w not in known] for words in texts]
+                columns = {
+                    "n_tokens": pa.array(map(len, texts), pa.int64()), "n_known": pa.array(map(len, common), pa.int64()),
+                    "base": pa.array(map(sum, common), pa.float64()), "score": pa.array(sums),
+                    "rare": pa.array(rare, pa.list_(pa.string())),
+                }
+                found = pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
+                yield pa.RecordBatch.from_arrays([*part.columns, found], names=names)
 
     row = f"{out}_row"
     scored = staged(
-        docs.withColumns({out: score(F.col(text_col)), row: F.monotonically_increasing_id()}), "ppm-scored"
+        docs.mapInArrow(score, schema).withColumn(row, F.monotonically_increasing_id()), "ppm-scored"
     )
     seldom = scored.select(F.col(row).alias("row"), F.explode(f"{out}.rare").alias("token"))
     met = seldom.join(tokens.filter(F.col("n") < least), "token").groupBy("row").agg(
