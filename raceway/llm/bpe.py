@@ -11,7 +11,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from raceway.llm.common import shipped, slices
+from raceway.llm.batches import slices
+from raceway.llm.common import shipped
 
 #: Fixed values of the public byte-level format: how a text is cut before merging, and which bytes
 #: stand for themselves in the vocabulary (the others follow from 256 on, in order).

@@ -10,7 +10,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from raceway.llm.common import shipped, slices, staged
+from raceway.llm.batches import slices
+from raceway.llm.common import shipped, staged
 from raceway.llm.simhash import LOWER
 
 #: Bytes of context of the longest trie path.
