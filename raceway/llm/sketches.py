@@ -169,6 +169,11 @@ def _among(rows: DataFrame, wanted: DataFrame | None, columns: list[str]) -> Dat
     return rows if wanted is None else rows.join(wanted.select(*columns).distinct(), columns, "left_semi")
 
 
+def _spread(sides: DataFrame) -> DataFrame:
+    """Rows by key over all shuffle partitions, however small they are: cells take far more room."""
+    return sides.repartition(int(sides.sparkSession.conf.get("spark.sql.shuffle.partitions")), *KEY)
+
+
 def differences(sides: DataFrame, cells: int = CELLS) -> DataFrame:
     """``(key, pair, found)``: how many items differ, per document and comparison where any does.
 
@@ -177,7 +182,7 @@ def differences(sides: DataFrame, cells: int = CELLS) -> DataFrame:
     """
     done, wanted = None, None
     while True:
-        spread = _among(sides, wanted, KEY).repartition(*KEY)
+        spread = _spread(_among(sides, wanted, KEY))
         peeled = _among(peel(subtract(sketches(_items(spread), cells)), cells), wanted, [*KEY, "pair"])
         peeled = staged(peeled, "sketch-peeled")
         whole = peeled.filter("left = 0").select(*KEY, "pair", "found")
@@ -202,7 +207,7 @@ def likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ce
     """
     sides = edited(docs, id_col, text_col)
     first = sides.filter("copy = 1").select(*KEY, "d0", "d1", "d2")
-    own = first.withColumn("d2", F.array().cast("array<bigint>")).repartition(*KEY)
+    own = _spread(first.withColumn("d2", F.array().cast("array<bigint>")))
     prints = printed(sketches(_items(own), cells))
     wide = prints.groupBy(*KEY).agg(
         *[F.max(F.when(F.col("side") == s, F.col("fingerprint"))).alias(f"f{s}") for s in (0, 1)]
