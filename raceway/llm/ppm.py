@@ -6,7 +6,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -20,8 +19,8 @@ ORDER = 5
 NODES, WORDS = 1 << 20, 1 << 17
 #: The end of a text. No word holds it; before a text stand as many of it as the context is long.
 END = b"\n"
-#: Bytes worked on at once; distinct words a task holds before it passes their counts on.
-RUN, HELD = 1_000_000, 400_000
+#: Bytes worked on at once; distinct words, and distinct paths, a task holds before it passes their counts on.
+RUN, HELD = 400_000, 250_000
 COLUMNS = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -56,62 +55,55 @@ def spelled(words: list[bytes]) -> bytes:
     return b" ".join(words) + END
 
 
-def runs(texts: pd.Series) -> Iterator[list[list[bytes]]]:
-    run, size = [], 0
-    for text in texts:
-        run.append(words_of(text))
-        size += len(text or "") + 1
-        if size >= RUN:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+def _counts(n, path=None, token=None) -> pa.RecordBatch:
+    size = len(n)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.nulls(size, pa.int64()) if path is None else pa.array(path.astype(np.int64)),
+            pa.nulls(size, pa.string()) if token is None else pa.array(token, pa.string()),
+            pa.array(n, pa.int64()),
+        ],
+        names=["path", "token", "n"],
+    )
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of trie paths and of words, summed within the task as far as memory allows."""
     words, codes, counts = Counter(), [], []
 
-    def flush_paths() -> tuple[np.ndarray, np.ndarray]:
-        every, many = np.concatenate(codes), np.concatenate(counts)
-        unique, inverse = np.unique(every, return_inverse=True)
-        return unique, np.bincount(inverse, weights=many).astype(np.int64)
-
-    def frame(path=None, token=None, n=None) -> pd.DataFrame:
-        size = len(n)
-        return pd.DataFrame({
-            "path": pd.array([None] * size if path is None else path, "Int64"),
-            "token": pd.Series([None] * size if token is None else token, dtype=object),
-            "n": np.asarray(n, np.int64),
-        })
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        unique, inverse = np.unique(np.concatenate(codes), return_inverse=True)
+        return unique, np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)
 
     for batch in batches:
-        for run in runs(batch.text):
-            for document in run:
-                words.update(document)
-            words[END] += len(run)
-            code, many = np.unique(paths([spelled(d) for d in run])[0], return_counts=True)
+        for part in slices(batch, 0, RUN):
+            texts = [words_of(t) for t in part.column(0).to_pylist()]
+            for text in texts:
+                words.update(text)
+            words[END] += len(texts)
+            code, many = np.unique(paths([spelled(t) for t in texts])[0], return_counts=True)
             codes.append(code)
             counts.append(many)
-            if sum(map(len, codes)) > 4_000_000:
-                unique, total = flush_paths()
-                codes, counts = [unique], [total]
-            if len(codes[0]) > 4_000_000:
-                yield frame(path=codes.pop(0).astype(np.int64), n=counts.pop(0))
+            if sum(map(len, codes)) > 2 * HELD:
+                code, many = merged()
+                codes, counts = [code], [many]
+                if len(code) > HELD:
+                    yield _counts(many, path=code)
+                    codes, counts = [], []
             if len(words) > HELD:
-                yield frame(token=[w.decode() for w in words], n=list(words.values()))
+                yield _counts(list(words.values()), token=[w.decode() for w in words])
                 words = Counter()
     if codes:
-        unique, total = flush_paths()
-        yield frame(path=unique.astype(np.int64), n=total)
+        code, many = merged()
+        yield _counts(many, path=code)
     if words:
-        yield frame(token=[w.decode() for w in words], n=list(words.values()))
+        yield _counts(list(words.values()), token=[w.decode() for w in words])
 
 
 def gather(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(path, token, n)``: counts of all trie paths of the longest order, and of all words."""
     shipped(docs.sparkSession)
-    counted = docs.select(F.col(text_col).alias("text")).mapInPandas(_count, "path long, token string, n long")
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(_count, "path long, token string, n long")
     return staged(counted.groupBy("path", "token").agg(F.sum("n").alias("n")), "ppm-counts")
 
 
