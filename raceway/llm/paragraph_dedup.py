@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from raceway.llm.common import shipped, staged
 from raceway.llm.components import components
@@ -18,7 +18,8 @@ SHINGLE, SIMILAR, LEAST = 5, 0.8, 21
 BANDS, ROWS = 10, 3
 #: Bytes of text worked on at once.
 RUN = 1_000_000
-MASK = (1 << 64) - 1
+#: 64-bit words of a set's bitmap.
+WORDS = 8
 
 
 def _draws() -> tuple[np.ndarray, np.ndarray]:
@@ -115,12 +116,35 @@ def _banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         })
 
 
+def bitmaps(code: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Per paragraph a bitmap in which each shingle sets one bit."""
+    owner = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(code)]))
+    bits = np.zeros((len(starts), 64 * WORDS), bool)
+    bits[owner, (_mixed(code) % np.uint64(64 * WORDS)).astype(np.int64)] = True
+    return np.packbits(bits, axis=1, bitorder="little").view("<i8")
+
+
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     known: dict[bytes, int] = {}
     for run in _runs(batches):
         code, starts = shingles([r[5] for r in run], _kept(known))
         parts = [np.unique(p) for p in np.split(code.astype(np.int64), starts[1:])]
-        yield pd.DataFrame({"node": [_node(r[5]) for r in run], "set": parts})
+        yield pd.DataFrame({
+            "node": [_node(r[5]) for r in run], "set": parts, "size": list(map(len, parts)),
+            "bits": list(bitmaps(code, starts)),
+        })
+
+
+def _may_be_similar(least: float) -> Column:
+    """Whether two sets, by size and bitmap, can have Jaccard similarity ``least``; never wrong with no.
+
+    Every bit in which the bitmaps differ stems from a shingle that one set lacks, and similar sets
+    lack few: with J = least, (1 - J) / (1 + J) of the sum of their sizes.
+    """
+    differ = sum(
+        (F.bit_count(F.col("x.bits")[k].bitwiseXOR(F.col("y.bits")[k])) for k in range(WORDS)), F.lit(0)
+    )
+    return differ <= (F.col("x.size") + F.col("y.size")) * ((1 - least) / (1 + least)) + 1e-9
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -145,7 +169,7 @@ def repeated_paragraphs(
     space evened out; equal ones are one node (a 64-bit hash). Nodes that share a band are verified
     by the Jaccard similarity of their five-word shingles, and linked ones form components.
 
-    In each bucket all nodes are first compared with the smallest. Only buckets that then still
+    In each bucket all nodes are first compared with the one that occurs most. Only buckets that then still
     hold several components are looked at again, and there only nodes outside the bucket's largest
     component are compared, with those of other components: links inside a component add nothing,
     so none that matters is lost, and a bucket of thousands alike costs one comparison each.
@@ -161,22 +185,31 @@ def repeated_paragraphs(
         ),
         "paragraphs",
     )
-    buckets = seen.select("node", F.explode("bands").alias("band")).distinct()
-    least = buckets.groupBy("band").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n"))
+    buckets = seen.select("node", F.explode("bands").alias("band")).groupBy("node", "band").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    # Which of equally frequent nodes is taken changes the pairs compared, not the components.
+    reps = buckets.groupBy("band").agg(F.max_by("node", "n").alias("rep"), F.count(F.lit(1)).alias("nodes"))
     members = staged(
-        buckets.join(least.filter("n > 1").select("band", "rep"), "band"), "paragraph-buckets"
+        buckets.join(reps.filter("nodes > 1").select("band", "rep"), "band").select("node", "band", "rep"),
+        "paragraph-buckets",
     )
-    stars = members.filter("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
     compared = members.select("node").distinct()
     # Texts are read again only for what shares a bucket; a node's words are the same everywhere.
     wanted = seen.join(compared, "node", "left_semi").groupBy("node").agg(F.min(F.struct("id", "paragraph")).alias("at"))
     places = wanted.select("node", F.col("at.id").alias("id")).filter("id IS NOT NULL")
     holders = rows.join(places.select("id").distinct(), "id", "left_semi").unionByName(rows.filter("id IS NULL"))
     sets = staged(
-        holders.mapInPandas(_sets, "node long, set array<long>").join(compared, "node", "left_semi")
+        holders.mapInPandas(_sets, "node long, set array<long>, size int, bits array<long>").join(compared, "node", "left_semi")
         .dropDuplicates(["node"]),
         "paragraph-sets",
     )
+    known = sets.select("node", "size", "bits")
+    spokes = members.filter("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
+    x, y = known.withColumnRenamed("node", "a").alias("x"), known.withColumnRenamed("node", "b").alias("y")
+    stars = spokes.join(x, "a").join(y, (F.col("y.b") == spokes["b"]) & _may_be_similar(similar)).select(
+        "a", F.col("y.b").alias("b")
+    )
     first = staged(_verified(stars, sets, similar), "paragraph-links")
     roots = components(first)
     rooted = staged(
@@ -186,14 +219,14 @@ def repeated_paragraphs(
     open_ = sizes.groupBy("band").agg(
         F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")
     ).filter("roots > 1").select("band", F.col("top.root").alias("top"))
-    x = rooted.join(open_, "band").filter("root <> top").select(
-        "band", F.col("node").alias("a"), F.col("root").alias("ra"), "rep"
-    )
-    y = rooted.select(F.col("band").alias("band"), F.col("node").alias("b"), F.col("root").alias("rb"))
-    # The smallest node of a bucket was compared with all others already.
-    more = x.join(y, "band").filter("ra <> rb AND a <> rep AND b <> rep").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    )
+    left = staged(rooted.join(open_, "band").join(known, "node"), "paragraph-open")
+    x, y = left.filter("root <> top").alias("x"), left.alias("y")
+    # The most frequent node of a bucket was compared with all others already.
+    more = x.join(
+        y,
+        (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root"))
+        & (F.col("x.node") != F.col("x.rep")) & (F.col("y.node") != F.col("y.rep")) & _may_be_similar(similar),
+    ).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     links = first.unionByName(_verified(more, sets, similar))
     classes = components(links)
     occurrences = staged(
