@@ -9,10 +9,12 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from raceway.llm.common import shipped, staged
+from raceway.llm.common import WORD, shipped, staged
 
 #: A line is rare if at most so many different texts hold it; one shared rare line makes a pair.
 RARE = 10
+#: Words in the lines shared with one earlier holder that make a pair, however many texts hold them.
+WORDS = 20
 #: Lines of any kind that make a pair when a text shares them with one earlier holder.
 COMMON = 3
 #: A line of fewer letters neither pairs documents nor is deleted without a longer neighbour.
@@ -107,26 +109,31 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     are one class, so groups of copies are not compared with each other.
 
     Each line is tied to its earliest holder only, so a line in most documents gives one link per
-    document. A text and an earlier one are aligned if they share a rare line, or several lines.
+    document. A text and an earlier one are aligned if they share a rare line, several lines, or
+    lines of enough words: how many texts hold a line matters for short ones only.
     Hashes are 64-bit; the lowest bit says whether the line is long.
     """
     shipped(docs.sparkSession)
     body = F.coalesce(F.col(text_col), F.lit(""))
     line = lambda x: F.xxhash64(x).bitwiseAND(F.lit(-2)) + (F.char_length(x) >= LONG).cast("long")
+    sized = lambda x: F.struct(line(x).alias("line"), F.regexp_count(x, F.lit(WORD)).alias("words"))
+    long = F.array_distinct(F.filter(F.split(body, "\n"), lambda x: F.char_length(x) >= LONG))
     texts = docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(body).alias("h"), F.transform(F.split(body, "\n"), line).alias("lines")
+        F.col(id_col).alias("id"), F.xxhash64(body).alias("h"), F.transform(F.split(body, "\n"), line).alias("lines"),
+        F.transform(long, sized).alias("long"),
     )
     first = texts.groupBy("h").agg(F.min(_place()).alias("first"))
     rows = staged(
-        texts.join(first, "h").filter(_place() == F.col("first")).dropDuplicates(["h"]).select("h", "first", "lines"),
+        texts.join(first, "h").filter(_place() == F.col("first")).dropDuplicates(["h"])
+        .select("h", "first", "lines", "long"),
         "line-texts",
     )
-    held = rows.select("h", "first", F.explode(F.array_distinct("lines")).alias("line")).filter("line % 2 <> 0")
+    held = rows.select("h", "first", F.inline("long"))
     shared = held.groupBy("line").agg(F.min("first").alias("earliest"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     links = held.join(shared, "line").filter("first <> earliest")
     pairs = links.groupBy("h", F.col("earliest.h").alias("g")).agg(
-        F.count_if(F.col("n") <= RARE).alias("rare"), F.count(F.lit(1)).alias("lines")
-    ).filter((F.col("rare") > 0) | (F.col("lines") >= COMMON)).select("h", "g")
+        F.count_if(F.col("n") <= RARE).alias("rare"), F.count(F.lit(1)).alias("lines"), F.sum("words").alias("words")
+    ).filter((F.col("rare") > 0) | (F.col("lines") >= COMMON) | (F.col("words") >= WORDS)).select("h", "g")
     later = rows.select("h", F.col("lines").alias("later"))
     earlier = rows.select(F.col("h").alias("g"), F.col("lines").alias("earlier"), F.col("first.id").alias("partner"))
     blocks = pairs.join(later, "h").join(earlier, "g").select(

@@ -242,6 +242,18 @@ def test_line_dedup(edge, empty):
     assert text[7] == PASSAGE and text[8] == "and another line that stands alone here"
 
 
+def test_long_lines_of_many_texts_are_deleted(spark):
+    short, halves = "a short line that many hold", [" ".join(f"{h}{k}" for k in range(10)) for h in "ab"]
+    docs = [(k, f"own line of the text number {k}\n{PASSAGE}\nother line of number {k}") for k in range(50)]
+    docs += [(100 + k, f"{short}\nown line of text number {100 + k}") for k in range(50)]
+    docs += [(200 + k, "\n".join([halves[0], f"own line of text number {200 + k}", halves[1]])) for k in range(50)]
+    rows = line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    gone = {r.doc_id: (r._lines.gone, r._lines.partners) for r in rows}
+    assert {k: gone[k] for k in range(50)} == {0: ([], []), **{k: ([1], [0]) for k in range(1, 50)}}
+    assert {str(gone[100 + k]) for k in range(50)} == {"([], [])"}
+    assert {k: gone[200 + k] for k in range(50)} == {0: ([], []), **{k: ([0, 2], [200]) for k in range(1, 50)}}
+
+
 @settings(max_examples=60, deadline=None)
 @given(a=st.lists(st.integers(0, 6), max_size=14), b=st.lists(st.integers(0, 6), max_size=14))
 def test_patience_aligns_equal_lines_in_order(a, b):
