@@ -1,4 +1,4 @@
-"""Prediction by partial matching over bytes: counts from the corpus, a bounded trie, log probabilities."""
+"""Prediction by partial matching over bytes: counts from the corpus, a trie of them, log probabilities."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from raceway.llm.simhash import LOWER
 
 #: Bytes of context of the longest trie path.
 ORDER = 5
-#: Most trie nodes, and most words, that are sent to every worker; both are picked by count.
+#: Most trie nodes, and most words, that are sent to every worker, picked by count; a join finds the rest.
 NODES, WORDS = 1 << 20, 1 << 17
 #: The end of a text. No word holds it; before a text stand as many of it as the context is long.
 END = b"\n"
@@ -227,22 +227,32 @@ class Trie:
         return out
 
 
-_TRIES: list[tuple[object, Trie]] = []
+class Cache:
+    """Log probabilities of the most frequent paths of the longest order."""
 
+    def __init__(self, paths_: np.ndarray, logs: np.ndarray) -> None:
+        self.table, self.logs = Table(paths_), logs
 
-def _trie(nodes: list[tuple[np.ndarray, np.ndarray]]) -> Trie:
-    """The trie of broadcast nodes, built once per worker."""
-    if not _TRIES or _TRIES[0][0] is not nodes:
-        _TRIES[:] = [(nodes, Trie(nodes))]
-    return _TRIES[0][1]
+    def score(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability per path, 0 where it is not held; and where it is held."""
+        row = self.table.find(code)
+        out, held = np.zeros(len(code)), row >= 0
+        out[held] = self.logs[row[held]]
+        return out, held
 
 
-def grow(counts: DataFrame, order: int = ORDER, room: int = NODES) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Trie nodes per context length, from the counts of all longest paths.
+_BUILT: list[tuple[object, Trie | Cache]] = []
 
-    Shorter paths sum the longer ones. Of all nodes those with the highest counts are kept, at most
-    ``room``; a kept node's shorter forms are kept with it, as their counts are no smaller.
-    """
+
+def _built(nodes, whole: bool) -> Trie | Cache:
+    """The trie, or the cache, of what was broadcast, built once per worker."""
+    if not _BUILT or _BUILT[0][0] is not nodes:
+        _BUILT[:] = [(nodes, Trie(nodes) if whole else Cache(*nodes))]
+    return _BUILT[0][1]
+
+
+def nodes_of(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """``(k, path, n)``: all trie nodes, from the counts of all longest paths. Shorter paths sum the longer ones."""
     full = counts.filter("path IS NOT NULL").select("path", "n")
     levels = None
     for k in range(order + 1):
@@ -250,8 +260,12 @@ def grow(counts: DataFrame, order: int = ORDER, room: int = NODES) -> list[tuple
             F.sum("n").alias("n")
         ).withColumn("k", F.lit(k)) if k < order else full.withColumn("k", F.lit(k))
         levels = level if levels is None else levels.unionByName(level)
-    levels = staged(levels, "ppm-levels")
-    kept = levels.filter(F.col("n") >= _fit_count(levels, room)).toArrow()
+    return staged(levels, "ppm-levels")
+
+
+def grow(levels: DataFrame, order: int = ORDER) -> list[tuple[np.ndarray, np.ndarray]]:
+    """All trie nodes per context length, on the driver."""
+    kept = levels.toArrow()
     level, path, n = (kept.column(c).to_numpy() for c in ("k", "path", "n"))
     out = []
     for k in range(order + 1):
@@ -261,11 +275,86 @@ def grow(counts: DataFrame, order: int = ORDER, room: int = NODES) -> list[tuple
     return out
 
 
-def score_documents(docs: DataFrame, train: Column, text_col: str = "text", out: str = "_lm") -> DataFrame:
+def _last(x: Column, length: Column) -> Column:
+    """The last so many bytes of a path."""
+    return x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (8 * length).cast("int")) - 1)
+
+
+def contexts_of(levels: DataFrame) -> DataFrame:
+    """``(k, context, total, escape, rest, escape_rest)``: what ``Trie`` works out per context, as logarithms."""
+    shorter = levels.select((F.col("k") + 1).alias("k"), F.col("path").alias("tail"), F.col("n").alias("m"))
+    own = levels.withColumn("tail", _last(F.col("path"), F.col("k"))).join(shorter, ["k", "tail"], "left").groupBy(
+        "k", F.shiftright("path", 8).alias("context")
+    ).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("size"), F.sum("m").alias("seen"))
+    own = staged(own, "ppm-followers")
+    above = own.select(
+        (F.col("k") + 1).alias("k"), F.col("context").alias("tail"), F.col("n").alias("t"), F.col("size").alias("u")
+    )
+    # Of the shorter context, what the followers of the longer one leave; 0 kinds cost nothing.
+    kinds = F.col("u") - F.col("size")
+    total, rest = F.log10(F.col("n") + F.col("size")), F.log10(F.col("t") - F.col("seen") + kinds)
+    return staged(
+        own.withColumn("tail", _last(F.col("context"), F.greatest(F.col("k") - 1, F.lit(0))))
+        .join(above, ["k", "tail"], "left")
+        .select(
+            "k", "context", total.alias("total"), (F.log10("size") - total).alias("escape"), rest.alias("rest"),
+            F.when(kinds > 0, F.log10(kinds) - rest).otherwise(0.0).alias("escape_rest"),
+        ),
+        "ppm-contexts",
+    )
+
+
+def cached(levels: DataFrame, contexts: DataFrame, order: int, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent longest paths, at most ``room``, and their log probabilities."""
+    top = levels.filter(F.col("k") == order)
+    found = top.filter(F.col("n") >= _fit_count(top, room)).withColumn("context", F.shiftright("path", 8)).join(
+        contexts.filter(F.col("k") == order).select("context", "total"), "context"
+    ).select("path", (F.log10("n") - F.col("total")).alias("log")).toArrow()
+    return found.column("path").to_numpy().astype(np.uint64), found.column("log").to_numpy()
+
+
+def solved(wanted: DataFrame, levels: DataFrame, contexts: DataFrame, order: int = ORDER) -> DataFrame:
+    """``(path, log)``: log10 probability of each of the different paths ``wanted``, from all nodes.
+
+    As ``Trie.score``, by joins. Paths of one or two bytes are few whatever the input, and crowded, so
+    they are broadcast.
+    """
+    steps = wanted.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(order)))).withColumn(
+        "own", _last(F.col("path"), F.col("k") + 1)
+    ).withColumn("context", F.shiftright("own", 8))
+    nodes = levels.withColumnRenamed("path", "own")
+    low, high = (lambda x: F.broadcast(x.filter("k < 2"))), (lambda x: x.filter("k >= 2"))
+    found = steps.filter("k < 2").join(low(nodes), ["k", "own"], "left").join(low(contexts), ["k", "context"], "left")
+    found = found.unionByName(
+        steps.filter("k >= 2").join(high(nodes), ["k", "own"], "left").join(high(contexts), ["k", "context"], "left")
+    )
+    steps = found.groupBy("path").agg(
+        F.coalesce(F.max(F.when(F.col("n").isNotNull(), F.col("k"))), F.lit(-1)).alias("hit"),
+        F.max(F.when(F.col("total").isNotNull(), F.col("k"))).alias("known"),
+        F.array_sort(F.collect_list(F.struct("k", "n", "total", "escape", "rest", "escape_rest"))).alias("at"),
+    )
+    at = lambda k, c: F.get("at", k).getField(c)
+    hit, known = F.col("hit"), F.col("known")
+    floor = -float(np.log10(max(256 - levels.filter("k = 0").count(), 1)))
+    passed = sum(
+        (F.when((known >= k) & (hit < k - 1), at(F.lit(k), "escape_rest")).otherwise(0.0) for k in range(1, order + 1)),
+        at(known, "escape"),
+    )
+    last = F.when(hit >= 0, F.log10(at(hit, "n")) - at(hit + 1, "rest")).otherwise(floor)
+    return steps.select(
+        "path", F.when(hit == known, F.log10(at(hit, "n")) - at(hit, "total")).otherwise(passed + last).alias("log")
+    )
+
+
+def score_documents(
+    docs: DataFrame, train: Column, text_col: str = "text", out: str = "_lm", room: int = NODES
+) -> DataFrame:
     """Every row of ``docs`` with a struct ``out``: n_tokens, n_known, train_tokens, base_score, score.
 
     Rows where ``train`` holds are learned from. ``score`` is the log10 probability of the words,
-    one space apart, and the end of the text, under the trie. ``base_score`` uses word counts with
+    one space apart, and the end of the text, under the trie of all paths. A trie of up to ``room`` nodes
+    is sent to the workers. Of a larger one they get the most frequent longest paths, and all other paths are
+    looked up by joins, so the score does not depend on ``room``. ``base_score`` uses word counts with
     one added: the most frequent words are looked up in the worker, the rest by a join on the word.
     NULL counts as empty, whose only token is the end. Without a row to learn from the byte model
     is uniform. Other columns pass through, except one called ``out``.
@@ -280,20 +369,26 @@ def score_documents(docs: DataFrame, train: Column, text_col: str = "text", out:
     frequent = tokens.filter(F.col("n") >= least).toArrow()
     logs = np.log10(frequent.column("n").to_numpy() + 1.0).tolist()
     words = {t.as_py().encode(): x for t, x in zip(frequent.column("token"), logs)}
-    model = spark.sparkContext.broadcast((grow(counts), words))
+    levels = nodes_of(counts)
+    whole = levels.count() <= room
+    contexts = None if whole else contexts_of(levels)
+    nodes = grow(levels) if whole else cached(levels, contexts, ORDER, room)
+    model = spark.sparkContext.broadcast((nodes, words))
 
-    fields = "n_tokens long, n_known long, base double, score double, rare array<string>"
+    fields = "n_tokens long, n_known long, base double, score double, rare array<string>, open array<long>"
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.StructType.fromDDL(fields))])
     place, names = docs.columns.index(text_col), [*docs.columns, out]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, known = model.value
-        trie = _trie(nodes)
+        built = _built(nodes, whole)
         for batch in batches:
             for part in slices(batch, place, RUN):
                 texts = [words_of(t) for t in part.column(place).to_pylist()]
                 code, starts = paths([spelled(t) for t in texts])
-                sums = np.add.reduceat(trie.score(code), starts)
+                logs, held = (built.score(code), np.ones(len(code), bool)) if whole else built.score(code)
+                sums = np.add.reduceat(logs, starts)
+                ends = np.r_[0, np.cumsum(np.add.reduceat((~held).astype(np.int32), starts))].astype(np.int32)
                 for words in texts:
                     words.append(END)
                 common = [[known[w] for w in words if w in known] for words in texts]
@@ -302,6 +397,7 @@ def score_documents(docs: DataFrame, train: Column, text_col: str = "text", out:
                     "n_tokens": pa.array(map(len, texts), pa.int64()), "n_known": pa.array(map(len, common), pa.int64()),
                     "base": pa.array(map(sum, common), pa.float64()), "score": pa.array(sums),
                     "rare": pa.array(rare, pa.list_(pa.string())),
+                    "open": pa.ListArray.from_arrays(ends, code[~held].astype(np.int64)),
                 }
                 found = pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
                 yield pa.RecordBatch.from_arrays([*part.columns, found], names=names)
@@ -314,15 +410,21 @@ def score_documents(docs: DataFrame, train: Column, text_col: str = "text", out:
     met = seldom.join(tokens.filter(F.col("n") < least), "token").groupBy("row").agg(
         F.count(F.lit(1)).alias("k"), F.sum(F.log10(F.col("n") + 1.0)).alias("s")
     ).select(F.col("row").alias(row), F.struct("k", "s").alias(f"{out}_met"))
+    if whole:
+        looked = scored.select(row).limit(0).withColumn(f"{out}_log", F.lit(0.0))
+    else:
+        missed = scored.select(F.col(row), F.explode(f"{out}.open").alias("path"))
+        logs = solved(missed.select("path").distinct(), levels, contexts)
+        looked = missed.join(logs, "path").groupBy(row).agg(F.sum("log").alias(f"{out}_log"))
     at, extra = (lambda c: F.col(f"`{out}`.{c}")), (lambda c: F.coalesce(F.col(f"`{out}_met`.{c}"), F.lit(0)))
     unseen = float(np.log10(size.n + size.v + 1.0))
-    return scored.join(met, row, "left").withColumn(
+    return scored.join(met, row, "left").join(looked, row, "left").withColumn(
         out,
         F.struct(
             at("n_tokens").alias("n_tokens"),
             (at("n_known") + extra("k")).alias("n_known"),
             F.lit(size.n).cast("long").alias("train_tokens"),
             (at("base") + extra("s") - at("n_tokens") * unseen).alias("base_score"),
-            at("score").alias("score"),
+            (at("score") + F.coalesce(F.col(f"`{out}_log`"), F.lit(0.0))).alias("score"),
         ),
     ).select(*docs.columns, out)

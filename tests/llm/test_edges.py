@@ -220,6 +220,20 @@ def test_ppm(edge, empty):
     assert {(r.n_known, r.train_tokens, r.base_score) for r in nothing} == {(0, 0, 0.0)}
 
 
+@pytest.mark.parametrize("room", [1, 40, 1 << 20])
+def test_ppm_uses_all_counts_whatever_the_room(spark, room):
+    from pyspark.sql import functions as F
+
+    draw = random.Random(4)
+    texts = ["".join(draw.choice("aab bé ") for _ in range(draw.randint(0, 60))) for _ in range(30)] + ["xyz", "", "abzab \U0001f600"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    train = [ppm.spelled(ppm.words_of(t)) for t in texts[:20]]
+    got = {r.doc_id: r.score for r in ppm.score_documents(docs, F.col("doc_id") < 20, room=room).select("doc_id", "_lm.score").collect()}
+    assert got == {
+        k: pytest.approx(plain_ppm(train, ppm.spelled(ppm.words_of(t)), ppm.ORDER)) for k, t in enumerate(texts)
+    }
+
+
 @settings(max_examples=40, deadline=None)
 @given(train=st.lists(st.text("abc ", max_size=30), max_size=4), text=st.text("abcd ", max_size=12))
 def test_trie_matches_plain_ppm(train, text):
