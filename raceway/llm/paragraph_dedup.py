@@ -13,7 +13,7 @@ from raceway.llm.components import components
 from raceway.llm.simhash import LOWER
 
 #: Words per shingle, least similarity of linked paragraphs, least words of a paragraph that counts.
-SHINGLE, SIMILAR, LEAST = 5, 0.8, 21
+SHINGLE, SIMILAR, LEAST = 5, 0.8, 5
 #: Bands of rows each: paragraphs as similar as SIMILAR share a band with probability 0.9992.
 BANDS, ROWS = 10, 3
 #: Bytes of text worked on at once.
@@ -165,7 +165,7 @@ def repeated_paragraphs(
 
     One row per occurrence: id, paragraph (line number), start and length in characters, class_id
     and class_paragraph (id and line of the class's first occurrence), class_size, removed (all but
-    the first occurrence). Paragraphs are lines of 21 words or more, with A-Z lower-cased and white
+    the first occurrence). Paragraphs are lines of five words or more, with A-Z lower-cased and white
     space evened out; equal ones are one node (a 64-bit hash). Nodes that share a band are verified
     by the Jaccard similarity of their five-word shingles, and linked ones form components.
 

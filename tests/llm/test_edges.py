@@ -5,7 +5,8 @@ import random
 import numpy as np
 import pytest
 from brute import (
-    bpe as plain_bpe, edited, forward_backward, paragraph_likeness, ppm as plain_ppm, simhash_components, targets,
+    bpe as plain_bpe, edited, forward_backward, paragraph_likeness, ppm as plain_ppm, repeated_paragraphs,
+    simhash_components, targets,
 )
 from hypothesis import given, settings, strategies as st
 
@@ -204,6 +205,18 @@ def test_paragraphs(edge, empty):
     ]
 
 
+def test_short_paragraphs(spark):
+    lines = [" ".join(f"w{n}x{k}" for k in range(n)) for n in (3, 4, 5, 9, 20, 21)]
+    near = lines[4].replace("w20x19", "other")  # 15 of 17 shingles
+    docs = [(1, "\n".join(lines)), (2, "\n".join([*lines[::-1], near])), (3, f"{lines[2]} more\n{lines[3].upper()}")]
+    got = {
+        (r.id, r.paragraph): ((r.class_id, r.class_paragraph), r.class_size, r.removed)
+        for r in paragraph_dedup.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    }
+    assert got == repeated_paragraphs(docs, least=5) and {(1, 2), (2, 3), (1, 4), (2, 6), (3, 1)} <= got.keys()
+    assert not {(1, 0), (1, 1), (3, 0)} & got.keys()
+
+
 def test_ppm(edge, empty):
     from pyspark.sql import functions as F
 
