@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from raceway.llm import bpe, exact_dedup, language, line_dedup, mixing, paragraph_dedup, ppm, quality, simhash, sketches
+from raceway.llm import (
+    bpe, exact_dedup, language, line_dedup, mixing, paragraph_dedup, ppm, quality, repair, simhash, sketches,
+)
 from raceway.llm.common import documents, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +161,10 @@ def op10_bpe(spark, sf_dir):
         exact_dedup.sha256(bpe.ids_text(F.col("ids"))).alias("ids_sha256"),
         exact_dedup.sha256(F.col("decoded")).alias("decoded_sha256"),
     )
+
+
+@query
+def op12_repair(spark, sf_dir):
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    found = repair.Repair(repair.damaged(conversations), conversations).digests()
+    return found.withColumnRenamed("conv", "conv_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
 import zlib
@@ -222,3 +223,48 @@ def forward_backward(scores, transitions):
         for a, b in zip(y, y[1:]):
             moves[a, b] += weight
     return shares / total, moves / total
+
+
+def damaged(rows):
+    """conv -> rows (turn, role, text) in order, after the damage told by the crc32 of conversation and turn."""
+    out, plain = {}, lambda x: " " if x is None else str(x)
+    for conv, turn, role, text in rows:
+        held, what = out.setdefault(conv, []), zlib.crc32(f"{plain(conv)}:{plain(turn)}".encode()) % 20
+        role, text = "user" if what == 4 else plain(role), "" if what == 1 else plain(text)
+        text = re.sub("[.!?]", "", text) if what == 2 else text
+        held.extend([(turn, role, text)] * (0 if what == 0 else 2 if what == 3 else 1))
+    return {c: sorted(v, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2])) for c, v in out.items()}
+
+
+def repaired(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, digest) of a conversation's ordered rows, by Dijkstra."""
+    seen, faults = set(), []
+    for _, role, text in rows:
+        body = text.strip(" \t\n\x0b\x0c\r")
+        cut = "truncated" if body and body[-1] not in ".!?" else None
+        faults.append("blank" if not body else "duplicate" if (role, text) in seen else cut)
+        seen.add((role, text))
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    after = {"": "su", "s": "u", "u": "a", "a": "u"}
+    heap, done = [(0, "", 0, "", ())], set()
+    while True:
+        cost, audit, i, last, said = heapq.heappop(heap)
+        if (i, last) in done:
+            continue
+        done.add((i, last))
+        if i == len(rows) and last in ("", "a"):
+            counts = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
+            return (gaps, *counts, illegal, cost, audit, sha("\n".join(said)))
+        for role in (r for r in ("user", "assistant") if r[0] in after[last]):
+            heapq.heappush(heap, (cost + 5, audit + "I", i, role[0], (*said, f"{role}:")))
+        if i == len(rows):
+            continue
+        heapq.heappush(heap, (cost + 2, audit + "D", i + 1, last, said))
+        if faults[i] in (None, "truncated"):
+            (_, own, text), late = rows[i], 5 * (faults[i] is not None)
+            for edit, role in (("K", own), ("R", "user"), ("R", "assistant")):
+                if role and role[0] in after[last]:
+                    step = (cost + late + (edit == "R"), audit + edit, i + 1, role[0], (*said, f"{role}:{text}"))
+                    heapq.heappush(heap, step)

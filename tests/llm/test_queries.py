@@ -6,7 +6,8 @@ import duckdb
 import oracle
 import pytest
 from brute import (
-    crc, edited, line_removals, paragraph_likeness, repeated_paragraphs, sha, simhash, simhash_components, unigram,
+    crc, damaged, edited, line_removals, paragraph_likeness, repaired, repeated_paragraphs, sha, simhash,
+    simhash_components, unigram,
 )
 
 from raceway.llm import line_dedup
@@ -125,3 +126,11 @@ def test_op10(result, docs):
         ids = library.encode(t, add_special_tokens=False).ids
         listed = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert rows[i] == (len(ids), listed, sha(library.decode(ids, skip_special_tokens=False)))
+
+
+def test_op12(spark):
+    for size in ("sf0.001", "sf0.01"):
+        table = f"'{oracle.DATA}/{size}/conversations.parquet'"
+        rows = duckdb.sql(f"SELECT conv_id, turn, role, text FROM {table}").fetchall()
+        got = {r.conv_id: tuple(r)[1:] for r in QUERIES["op12_repair"](spark, f"{oracle.DATA}/{size}").collect()}
+        assert got == {c: repaired(v) for c, v in damaged(rows).items()}

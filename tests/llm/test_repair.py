@@ -1,0 +1,60 @@
+"""Conversation repair: the automaton, long conversations, NULLs, ties, empty tables, the repaired turns."""
+
+import itertools
+import random
+
+import pytest
+from brute import damaged, repaired, sha
+
+from raceway.llm import repair
+
+SCHEMA = "conv_id long, turn long, role string, text string, kind int, at string, block long"
+
+
+def spoken(draw, conversations, sizes):
+    texts = [None, "", "ok.", "no", "yes! ", "x\t\n", "\x0b", "é?", "a "]
+    rows = []
+    for conv in conversations:
+        for k in range(draw.choice(sizes)):
+            text = draw.choice(texts) if draw.random() < 0.5 else f"text {k}{draw.choice(['.', ''])}"
+            turn = draw.choice([None, *range(-3, 900)])
+            rows.append((conv, turn, draw.choice(["user", "assistant", "system", "tool", "u2", "", None]), text, 1, "x", 2))
+    return rows
+
+
+def test_every_word_is_solved_as_by_search():
+    words = ["".join(w) for n in range(4) for w in itertools.product("xsuaoSUAO", repeat=n)]
+    automaton = repair.Automaton()
+    role = {"s": "system", "u": "user", "a": "assistant", "o": "tool"}
+    for word in sorted(words, key=lambda w: w[::-1]):
+        table = automaton.table(word)
+        rows = [(k, role.get(c.lower(), "user"), "" if c == "x" else f"{k}" + "." * c.islower()) for k, c in enumerate(word)]
+        assert min(table[0][e] for e in repair.ENDINGS if table[0][e]) == repaired(rows)[5:7]
+
+
+@pytest.mark.parametrize("block", [1, 16, 256])
+def test_conversations_of_any_length(spark, monkeypatch, block):
+    monkeypatch.setattr(repair, "BLOCK", block)
+    rows = spoken(random.Random(block), [None, *range(25)], [1, 3, 8, 300])
+    table = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = {r.conv: tuple(r)[1:] for r in repair.Repair(repair.damaged(table), table).digests().collect()}
+    assert got == {c: repaired(v) for c, v in damaged([r[:4] for r in rows]).items()}
+
+
+def test_the_repaired_turns_give_the_digest(spark):
+    rows = spoken(random.Random(9), range(30), [1, 5, 40])
+    found = repair.Repair(spark.createDataFrame(rows, SCHEMA))
+    said = {}
+    for r in sorted(found.turns().collect(), key=lambda r: (r.conv, r.place)):
+        assert r.place == len(said.setdefault(r.conv, [])) and r.edit in "KRI"
+        said[r.conv].append(f"{r.role}:{r.text}")
+    digests = {r.conv: r.repaired_sha256 for r in found.digests().collect()}
+    assert digests == {c: sha("\n".join(said.get(c, []))) for c in digests}
+
+
+def test_no_rows_and_conversations_without_turns(spark):
+    nothing = spark.createDataFrame([], SCHEMA)
+    assert repair.Repair(nothing).digests().count() == 0 and repair.Repair(nothing).turns().count() == 0
+    known = spark.createDataFrame([(1, 0, "user", "x.", 1, "", 1), (None, None, None, None, 1, "", 1)], SCHEMA)
+    got = {r.conv: tuple(r)[1:] for r in repair.Repair(nothing, known).digests().collect()}
+    assert got == {c: (0, 0, 0, 0, 0, 0, "", sha("")) for c in (1, None)}
