@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from raceway.llm import (
-    bpe, exact_dedup, language, line_dedup, mixing, paragraph_dedup, ppm, quality, repair, simhash, sketches,
+    bpe, exact_dedup, language, line_dedup, mixing, paragraph_dedup, ppm, quality, repair, setjoin, simhash, sketches,
 )
 from raceway.llm.common import documents, remainder
 
@@ -163,6 +163,11 @@ def op10_bpe(spark, sf_dir):
     )
 
 
+@query
+def op11_setjoin(spark, sf_dir):
+    return setjoin.near_duplicates(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op12_repair(spark, sf_dir):
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")

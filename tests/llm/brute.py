@@ -268,3 +268,21 @@ def repaired(rows):
                 if role and role[0] in after[last]:
                     step = (cost + late + (edit == "R"), audit + edit, i + 1, role[0], (*said, f"{role}:{text}"))
                     heapq.heappush(heap, step)
+
+
+def shingle_classes(docs, size=4, similar=80):
+    """doc_id -> (set size, smallest id reachable, whether kept), for distinct ids."""
+    docs, groups, holders, sets = sorted(docs), Groups(), defaultdict(list), {}
+    for i, text in docs:
+        w = words(lower(text))
+        grams = {tuple(w[k : k + size]) for k in range(len(w) - size + 1)} or ({tuple(w)} if w else set())
+        sets[i], shared = grams, Counter(j for g in grams for j in holders[g])
+        for j, both in shared.items():
+            if 100 * both >= similar * (len(grams) + len(sets[j]) - both):
+                groups.join(i, j)
+        for g in grams:
+            holders[g].append(i)
+    least = {}
+    for i, _ in docs:
+        least.setdefault(groups.find(i), i)
+    return {i: (len(sets[i]), least[groups.find(i)], i == least[groups.find(i)]) for i, _ in docs}

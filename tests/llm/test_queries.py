@@ -6,8 +6,8 @@ import duckdb
 import oracle
 import pytest
 from brute import (
-    crc, damaged, edited, line_removals, paragraph_likeness, repaired, repeated_paragraphs, sha, simhash,
-    simhash_components, unigram,
+    crc, damaged, edited, line_removals, paragraph_likeness, repaired, repeated_paragraphs, sha,
+    shingle_classes, simhash, simhash_components, unigram,
 )
 
 from raceway.llm import line_dedup
@@ -128,6 +128,10 @@ def test_op10(result, docs):
         assert rows[i] == (len(ids), listed, sha(library.decode(ids, skip_special_tokens=False)))
 
 
+def test_op11(result, docs):
+    assert by_id(result("op11_setjoin"), "n_shingles", "component_id", "kept") == shingle_classes(docs)
+
+
 def test_op12(spark):
     for size in ("sf0.001", "sf0.01"):
         table = f"'{oracle.DATA}/{size}/conversations.parquet'"
