@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +24,11 @@ TREES, BRANCHES = 4, 2
 #: Minwise shingles drawn per set, from which a node chooses the ones it branches on.
 DRAWN = 64
 #: Sets of a node outside its largest component up to which they are compared with the whole node.
-FEW = 32
+FEW = 256
 #: Levels of branching after which whatever is left in a node is compared, in the same way.
 DEPTH = 6
 #: 64-bit words of a set's bitmap; bytes of text worked on at once; bits of the filter of wanted texts.
-WORDS, RUN, FILTER = 8, 1_000_000, 1 << 26
+WORDS, RUN, FILTER = 32, 1_000_000, 1 << 26
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -167,14 +168,13 @@ def _may_link(similar: int) -> Column:
 
 
 class _Join:
-    """One run: the nodes (different sets), the links found, and the component each node is in so far."""
+    """One run: the nodes (different sets), and the component each is in so far."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, similar: int) -> None:
         self.docs, self.similar = docs, similar
         # A set of few shingles has no similar one but itself: one more makes it too different.
         self.nodes = nodes.filter(100 * F.col("size") >= similar * (F.col("size") + 1))
         self.looks = self.nodes.select("node", "size", "bits")
-        self.links: DataFrame | None = None
         self.roots: DataFrame | None = None
 
     def rooted(self, rows: DataFrame) -> DataFrame:
@@ -241,9 +241,11 @@ class _Join:
         ).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
     def confirm(self, pairs: DataFrame) -> None:
-        """Add those of the pairs whose whole sets are similar enough."""
+        """Link those of the pairs whose whole sets are similar enough."""
         spark: SparkSession = self.docs.sparkSession
         pairs = staged(pairs.distinct(), "setjoin-pairs")
+        if pairs.isEmpty():
+            return
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         wanted = staged(self.nodes.select("node", "digest", "least").join(ends, "node", "left_semi"), "setjoin-wanted")
         bits = spark.sparkContext.broadcast(id_filter(wanted.select("least").filter("least IS NOT NULL")))
@@ -256,8 +258,9 @@ class _Join:
             .filter(100 * both >= self.similar * (F.size("x") + F.size("y") - both)).select("a", "b"),
             "setjoin-links",
         )
-        self.links = found if self.links is None else self.links.unionByName(found)
-        self.roots = staged(components(self.links), "setjoin-roots")
+        # The components so far are as good as all the links that made them.
+        before = [] if self.roots is None else [self.roots.filter("node <> root").toDF("a", "b")]
+        self.roots = staged(components(reduce(DataFrame.unionByName, before, found)), "setjoin-roots")
 
     def run(self) -> None:
         """Find all links and components."""
