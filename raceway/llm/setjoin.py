@@ -24,7 +24,10 @@ TREES, BRANCHES = 4, 2
 #: Minwise shingles drawn per set, from which a node chooses the ones it branches on.
 DRAWN = 64
 #: Sets of a node outside its largest component up to which they are compared with the whole node.
-FEW = 256
+FEW = 2048
+#: Larger nodes are compared as well where branching would leave more than this share of their comparisons,
+#: that is where their sets are alike on average, but not enough for a link.
+SPARED = 0.7
 #: Levels of branching after which whatever is left in a node is compared, in the same way.
 DEPTH = 6
 #: 64-bit words of a set's bitmap; bytes of text worked on at once; bits of the filter of wanted texts.
@@ -162,7 +165,7 @@ def _may_link(similar: int) -> Column:
     Where the bitmaps differ, a set has a shingle that the other lacks, and of those similar sets
     have few: (1 - J) / (1 + J) of both sizes.
     """
-    apart = sum((F.bit_count(F.col("x.bits")[k].bitwiseXOR(F.col("y.bits")[k])) for k in range(WORDS)), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"x.b{k}").bitwiseXOR(F.col(f"y.b{k}"))) for k in range(WORDS)), F.lit(0))
     x, y = F.col("x.size"), F.col("y.size")
     return (100 * F.least(x, y) >= similar * F.greatest(x, y)) & (apart * (100 + similar) <= (x + y) * (100 - similar))
 
@@ -174,7 +177,9 @@ class _Join:
         self.docs, self.similar = docs, similar
         # A set of few shingles has no similar one but itself: one more makes it too different.
         self.nodes = nodes.filter(100 * F.col("size") >= similar * (F.col("size") + 1))
-        self.looks = self.nodes.select("node", "size", "bits")
+        # Plain columns: a join's condition over arrays is too much code for the JVM to compile.
+        bits = [F.get("bits", F.lit(k)).alias(f"b{k}") for k in range(WORDS)]
+        self.looks = staged(self.nodes.select("node", "size", *bits), "setjoin-bits")
         self.roots: DataFrame | None = None
 
     def rooted(self, rows: DataFrame) -> DataFrame:
@@ -182,11 +187,10 @@ class _Join:
             return rows.withColumn("root", F.col("node"))
         return rows.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
-    def branched(self, front: DataFrame | None) -> DataFrame:
-        """``(path, node, rep)``: members of the children of the given tree nodes, the roots' if none are given.
+    def children(self, front: DataFrame | None) -> DataFrame:
+        """``(parent, path, node, copies)``: where the members of the given tree nodes go, of the roots if none are given.
 
-        A tree node chooses by a hash of its path on which of a set's minwise shingles it branches. Children
-        of one set, or of one component, are left out. ``rep`` is the member with the most copies.
+        A tree node chooses by a hash of its path on which of a set's minwise shingles it branches.
         """
         if front is None:
             trees = F.explode(F.array(*[F.xxhash64(F.lit("tree"), F.lit(t)) for t in range(TREES)]))
@@ -198,14 +202,25 @@ class _Join:
             chosen = F.pmod(F.xxhash64("path", F.lit(b)), F.lit(DRAWN)).cast("int")
             return F.xxhash64("path", F.lit(b), F.get("drawn", chosen))
 
-        rows = self.rooted(rows.select(
-            "node", "copies", F.explode(F.array(*[child(b) for b in range(BRANCHES)])).alias("path")
-        ))
+        paths = F.explode(F.array(*[child(b) for b in range(BRANCHES)]))
+        return rows.select(F.col("path").alias("parent"), paths.alias("path"), "node", "copies")
+
+    def members(self, children: DataFrame) -> DataFrame:
+        """``(path, node, rep)`` of tree nodes with more than one component; ``rep`` has the most copies."""
+        rows = self.rooted(children)
         held = rows.groupBy("path").agg(
             F.max(F.struct("copies", "node")).alias("top"), F.min("root").alias("low"), F.max("root").alias("high")
         ).filter("low <> high").select("path", F.col("top.node").alias("rep"))
         return staged(rows.join(held, "path").select("path", "node", "rep"), "setjoin-nodes")
 
+    def alike(self, children: DataFrame) -> DataFrame:
+        """Parents whose children have nearly as many pairs together as they have: sets in them do not part."""
+        size = F.count(F.lit(1)).cast("double")
+        pairs = children.groupBy("parent", "path").agg(size.alias("n")).groupBy("parent").agg(
+            F.sum(F.col("n") * F.col("n")).alias("below"), (F.sum("n") / BRANCHES).alias("n")
+        )
+        return pairs.filter(F.col("below") > SPARED * F.col("n") * F.col("n")).select(F.col("parent").alias("path"))
+
     def stars(self, members: DataFrame) -> DataFrame:
         """Pairs of a tree node's members with its representative that may be links."""
         tied = self.rooted(members.filter("node <> rep").select("node", "rep").distinct())
@@ -264,21 +279,21 @@ class _Join:
 
     def run(self) -> None:
         """Find all links and components."""
-        members, pending, depth = self.branched(None), None, 1
+        members, pending, depth = self.members(self.children(None)), None, 1
         while True:
             pairs = self.stars(members)
             self.confirm(pairs if pending is None else pairs.unionByName(pending))
             rows = self.opened(members)
-            if depth == DEPTH:
+            many = rows.filter(F.col("outside") > FEW).select("path", "node")
+            if depth == DEPTH or many.isEmpty():
                 self.confirm(self.crossed(rows))
                 return
-            pending = self.crossed(rows.filter(F.col("outside") <= FEW))
-            front = rows.filter(F.col("outside") > FEW).select("path", "node")
-            members, depth = self.branched(front), depth + 1
-            if members.isEmpty():
-                if not rows.isEmpty():
-                    self.confirm(pending)
-                return
+            children = staged(self.children(many), "setjoin-children")
+            alike = staged(self.alike(children), "setjoin-alike")
+            parting = many.select("path").distinct().join(alike, "path", "left_anti")
+            pending = self.crossed(rows.join(parting, "path", "left_anti"))
+            members = self.members(children.join(alike.withColumnRenamed("path", "parent"), "parent", "left_anti"))
+            depth += 1
 
 
 def near_duplicates(
