@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from raceway.session import new_folder
+from raceway.session import new_folder, remove_folder
 
 # Words are runs without these white-space bytes.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -41,14 +41,25 @@ def fresh(df: DataFrame, base: str) -> str:
     return base
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: a cut of its lineage."""
+def staged(df: DataFrame, label: str, made: list[str] | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back: a cut of its lineage.
+
+    The folder is added to ``made``, for ``discard`` once nothing reads it any more.
+    """
     spark = df.sparkSession
     path = new_folder(spark, label)
     df.write.parquet(path)
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, made: list[str]) -> None:
+    """Remove staged folders that all their readers are done with."""
+    while made:
+        remove_folder(spark, made.pop())
+
+
 def remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % divisor

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from raceway.llm.common import staged
+from raceway.llm.common import discard, staged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -28,14 +28,18 @@ def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)``: root is the smallest node reachable.
 
     Edges have two different, non-NULL ends. Each round is stored in the shared folder; nothing
-    but a checksum reaches the driver. Rounds grow with the logarithm of the longest path.
+    but a checksum reaches the driver. Rounds grow with the logarithm of the longest path. The folders
+    of all rounds but the last are removed.
     """
-    edges, seen = staged(edges.select("a", "b").distinct(), "edges"), None
+    spark, made, seen = edges.sparkSession, [], None
+    edges = staged(edges.select("a", "b").distinct(), "edges", made)
     while True:
         mark = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if mark == seen:
             break
         seen = mark
-        edges = staged(_small_star(_large_star(edges)), "edges")
+        older, made = made, []
+        edges = staged(_small_star(_large_star(edges)), "edges", made)
+        discard(spark, older)
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from raceway.llm.batches import slices
-from raceway.llm.common import shipped, staged
+from raceway.llm.common import discard, shipped, staged
 from raceway.llm.components import components
 from raceway.llm.simhash import LOWER
 
@@ -30,8 +30,12 @@ FEW = 2048
 SPARED = 0.7
 #: Levels of branching after which whatever is left in a node is compared, in the same way.
 DEPTH = 6
-#: 64-bit words of a set's bitmap; bytes of text worked on at once; bits of the filter of wanted texts.
-WORDS, RUN, FILTER = 32, 1_000_000, 1 << 26
+#: 64-bit words of a set's bitmap. Bitmaps of long sets are full; those are told apart by their sketches:
+#: of the 64 drawn shingles APART may differ in their last four bits. Of two sets of similarity 0.8 more differ
+#: less than once in 10 ** 8 times (binomial, 64 of 0.19), which the trees' own misses outweigh.
+WORDS, APART = 16, 32
+#: Bytes of text worked on at once; bits of the filter of wanted texts.
+RUN, FILTER = 1_000_000, 1 << 26
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -82,6 +86,12 @@ def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view("<i8")
 
 
+def sketches(drawn: np.ndarray) -> np.ndarray:
+    """The last four bits of the 64 drawn shingles, a 64-bit word for each of the four."""
+    bits = (drawn[:, None, :] >> np.arange(4)[:, None]) & 1
+    return np.packbits(bits.astype(bool), axis=2, bitorder="little").reshape(len(drawn), -1).view("<i8")
+
+
 def _digest(codes: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(codes.tobytes()) if len(codes) else None
 
@@ -97,10 +107,11 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, 1, RUN):
             sets = shingle_sets(part.column(1).to_pylist(), known)
             some = [s if len(s) else np.zeros(1, np.uint64) for s in sets]
+            drawn = minwise(some)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0), pa.array(map(_digest, sets), pa.binary()), pa.array(map(len, sets), pa.int64()),
-                    _lists(minwise(some), pa.int32()), _lists(bitmaps(some), pa.int64()),
+                    _lists(drawn, pa.int32()), _lists(np.hstack([bitmaps(some), sketches(drawn)]), pa.int64()),
                 ],
                 names=["id", "digest", "size", "drawn", "bits"],
             )
@@ -160,14 +171,17 @@ def id_filter(ids: DataFrame, most: int = FILTER) -> np.ndarray:
 
 
 def _may_link(similar: int) -> Column:
-    """Whether x and y can be as similar, by size and bitmap; never wrong with no.
+    """Whether x and y are worth comparing whole, by size, bitmap and sketch.
 
     Where the bitmaps differ, a set has a shingle that the other lacks, and of those similar sets
     have few: (1 - J) / (1 + J) of both sizes.
     """
-    apart = sum((F.bit_count(F.col(f"x.b{k}").bitwiseXOR(F.col(f"y.b{k}"))) for k in range(WORDS)), F.lit(0))
+    differ = [F.col(f"x.b{k}").bitwiseXOR(F.col(f"y.b{k}")) for k in range(WORDS + 4)]
+    bits = reduce(Column.__add__, map(F.bit_count, differ[:WORDS]))
+    apart = F.bit_count(reduce(Column.bitwiseOR, differ[WORDS:]))
     x, y = F.col("x.size"), F.col("y.size")
-    return (100 * F.least(x, y) >= similar * F.greatest(x, y)) & (apart * (100 + similar) <= (x + y) * (100 - similar))
+    near = bits * (100 + similar) <= (x + y) * (100 - similar)
+    return (100 * F.least(x, y) >= similar * F.greatest(x, y)) & (apart <= APART) & near
 
 
 class _Join:
@@ -178,9 +192,12 @@ class _Join:
         # A set of few shingles has no similar one but itself: one more makes it too different.
         self.nodes = nodes.filter(100 * F.col("size") >= similar * (F.col("size") + 1))
         # Plain columns: a join's condition over arrays is too much code for the JVM to compile.
-        bits = [F.get("bits", F.lit(k)).alias(f"b{k}") for k in range(WORDS)]
+        bits = [F.get("bits", F.lit(k)).alias(f"b{k}") for k in range(WORDS + 4)]
         self.looks = staged(self.nodes.select("node", "size", *bits), "setjoin-bits")
         self.roots: DataFrame | None = None
+        #: Folders read by the next confirmation, and folders that nothing reads after this one.
+        self.held: list[str] = []
+        self.made: list[str] = []
 
     def rooted(self, rows: DataFrame) -> DataFrame:
         if self.roots is None:
@@ -211,7 +228,7 @@ class _Join:
         held = rows.groupBy("path").agg(
             F.max(F.struct("copies", "node")).alias("top"), F.min("root").alias("low"), F.max("root").alias("high")
         ).filter("low <> high").select("path", F.col("top.node").alias("rep"))
-        return staged(rows.join(held, "path").select("path", "node", "rep"), "setjoin-nodes")
+        return staged(rows.join(held, "path").select("path", "node", "rep"), "setjoin-nodes", self.held)
 
     def alike(self, children: DataFrame) -> DataFrame:
         """Parents whose children have nearly as many pairs together as they have: sets in them do not part."""
@@ -234,13 +251,13 @@ class _Join:
 
     def opened(self, members: DataFrame) -> DataFrame:
         """Members of tree nodes with several components, with the largest one and the number of sets outside it."""
-        rows = staged(self.rooted(members), "setjoin-rooted")
+        rows = staged(self.rooted(members), "setjoin-rooted", self.made)
         sizes = rows.groupBy("path", "root").agg(F.count(F.lit(1)).alias("n"))
         still = sizes.groupBy("path").agg(
             F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots")
         ).filter("roots > 1")
         still = still.select("path", F.col("top.root").alias("top"), (F.col("n") - F.col("top.n")).alias("outside"))
-        return staged(rows.join(still, "path"), "setjoin-open")
+        return staged(rows.join(still, "path"), "setjoin-open", self.held)
 
     def crossed(self, rows: DataFrame) -> DataFrame:
         """Pairs across the components of a tree node that may be links, its largest component not with itself.
@@ -258,24 +275,25 @@ class _Join:
     def confirm(self, pairs: DataFrame) -> None:
         """Link those of the pairs whose whole sets are similar enough."""
         spark: SparkSession = self.docs.sparkSession
-        pairs = staged(pairs.distinct(), "setjoin-pairs")
+        pairs = staged(pairs.distinct(), "setjoin-pairs", self.made)
         if pairs.isEmpty():
             return
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = staged(self.nodes.select("node", "digest", "least").join(ends, "node", "left_semi"), "setjoin-wanted")
+        wanted = staged(self.nodes.select("node", "digest", "least").join(ends, "node", "left_semi"), "setjoin-wanted", self.made)
         bits = spark.sparkContext.broadcast(id_filter(wanted.select("least").filter("least IS NOT NULL")))
         read = self.docs.mapInArrow(_sets(bits), "digest binary, codes array<long>").dropDuplicates(["digest"])
-        sets = staged(read.join(wanted.select("node", "digest"), "digest").select("node", "codes"), "setjoin-sets")
+        sets = staged(read.join(wanted.select("node", "digest"), "digest").select("node", "codes"), "setjoin-sets", self.made)
         both = F.size(F.array_intersect("x", "y"))
         found = staged(
             pairs.join(sets.select(F.col("node").alias("a"), F.col("codes").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("codes").alias("y")), "b")
             .filter(100 * both >= self.similar * (F.size("x") + F.size("y") - both)).select("a", "b"),
-            "setjoin-links",
+            "setjoin-links", self.made,
         )
         # The components so far are as good as all the links that made them.
         before = [] if self.roots is None else [self.roots.filter("node <> root").toDF("a", "b")]
         self.roots = staged(components(reduce(DataFrame.unionByName, before, found)), "setjoin-roots")
+        discard(spark, self.made)
 
     def run(self) -> None:
         """Find all links and components."""
@@ -287,12 +305,15 @@ class _Join:
             many = rows.filter(F.col("outside") > FEW).select("path", "node")
             if depth == DEPTH or many.isEmpty():
                 self.confirm(self.crossed(rows))
+                discard(self.docs.sparkSession, self.held)
                 return
-            children = staged(self.children(many), "setjoin-children")
-            alike = staged(self.alike(children), "setjoin-alike")
+            self.held, read = [], self.held
+            children = staged(self.children(many), "setjoin-children", self.made)
+            alike = staged(self.alike(children), "setjoin-alike", self.held)
             parting = many.select("path").distinct().join(alike, "path", "left_anti")
             pending = self.crossed(rows.join(parting, "path", "left_anti"))
             members = self.members(children.join(alike.withColumnRenamed("path", "parent"), "parent", "left_anti"))
+            self.made += read
             depth += 1
 
 
