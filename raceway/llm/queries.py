@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from raceway.llm import (
-    bpe, exact_dedup, language, line_dedup, mixing, paragraph_dedup, ppm, quality, repair, setjoin, simhash, sketches,
+    alignment, bpe, exact_dedup, language, line_dedup, mixing, paragraph_dedup, ppm, quality, repair, setjoin, simhash, sketches,
 )
 from raceway.llm.common import documents, remainder
 
@@ -173,3 +173,12 @@ def op12_repair(spark, sf_dir):
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     found = repair.Repair(repair.damaged(conversations), conversations).digests()
     return found.withColumnRenamed("conv", "conv_id")
+
+
+@query
+def op13_alignment(spark, sf_dir):
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    found = alignment.aligned_counts(documents(spark, sf_dir), *paths, whole=False)
+    return found.withColumnsRenamed({"id": "doc_id", "groups": "groups_sha256"})

@@ -286,3 +286,51 @@ def shingle_classes(docs, size=4, similar=80):
     for i, _ in docs:
         least.setdefault(groups.find(i), i)
     return {i: (len(sets[i]), least[groups.find(i)], i == least[groups.find(i)]) for i, _ in docs}
+
+
+def alignments(texts):
+    """Per text (n_a, n_b, n_groups, n_links, n_best, count_sum, groups as text), token by token."""
+    import public_tokenizers as files
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a_of = Tokenizer.from_file(files.path("byte_bpe_50k.json"))
+    a_of.encode_special_tokens = True
+    b_of = sentencepiece.SentencePieceProcessor(model_file=files.path("piece_bpe_32k.model"))
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(plain)))}
+
+    def piece(i):
+        p = b_of.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode()
+
+    rows, counts = [], Counter()
+    for text in texts:
+        want = f" {text}".encode()
+        tokens = [
+            [(i, bytes(letters[c] for c in a_of.id_to_token(i))) for i in a_of.encode(f" {text}", add_special_tokens=False).ids],
+            [(i, piece(i)) for i in b_of.encode(text)],
+        ] if text else [[], []]
+        if not text or any(b"".join(t for _, t in side) != want for side in tokens):
+            rows.append(None)
+            continue
+        spans = []
+        for side in tokens:
+            ends = np.cumsum([len(t) for _, t in side]).tolist()
+            spans.append([(i, s, e) for (i, _), s, e in zip(side, [0, *ends], ends)])
+        shared = sorted({e for _, _, e in spans[0]} & {e for _, _, e in spans[1]})
+        listed = [
+            "|".join(",".join(str(i) for i, _, e in side if low < e <= high) for side in spans)
+            for low, high in zip([0, *shared], shared)
+        ]
+        linked = [(a, b) for a, s, e in spans[0] for b, s2, e2 in spans[1] if s < e2 and s2 < e]
+        counts.update(linked)
+        rows.append((len(spans[0]), len(spans[1]), len(shared), linked, ";".join(listed)))
+    most = defaultdict(int)
+    for (_, b), n in counts.items():
+        most[b] = max(most[b], n)
+    return [
+        (0, 0, 0, 0, 0, 0, "") if r is None else
+        (*r[:3], len(r[3]), sum(counts[p] == most[p[1]] for p in r[3]), sum(counts[p] for p in r[3]), r[4])
+        for r in rows
+    ]

@@ -6,7 +6,7 @@ import duckdb
 import oracle
 import pytest
 from brute import (
-    crc, damaged, edited, line_removals, paragraph_likeness, repaired, repeated_paragraphs, sha,
+    alignments, crc, damaged, edited, line_removals, paragraph_likeness, repaired, repeated_paragraphs, sha,
     shingle_classes, simhash, simhash_components, unigram,
 )
 
@@ -138,3 +138,11 @@ def test_op12(spark):
         rows = duckdb.sql(f"SELECT conv_id, turn, role, text FROM {table}").fetchall()
         got = {r.conv_id: tuple(r)[1:] for r in QUERIES["op12_repair"](spark, f"{oracle.DATA}/{size}").collect()}
         assert got == {c: repaired(v) for c, v in damaged(rows).items()}
+
+
+def test_op13(result, docs):
+    rows = by_id(
+        result("op13_alignment"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+    want = {i: (*w[:6], sha(w[6]) if w[6] else "") for (i, _), w in zip(docs, alignments([t for _, t in docs]))}
+    assert rows == want
