@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import os
+import re
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -20,14 +24,21 @@ RUN, HELD = 400_000, 1_000_000
 PAIRS = 1 << 20
 #: A linked pair as one number: A id, then B id in the low bits.
 LOW = 20
+#: Before a space after a letter both encodings have an end: A's words begin there, and no piece of B goes on.
+WORD = re.compile(r"(?<=\S)(?= )")
+#: Stretches encoded together, and letters of the stretches that a worker remembers.
+MANY, KEPT = 4000, 7_000_000
 
 Group = tuple[int, int, int, int]
+#: n_a, n_b, n_groups, groups as text and linked pairs (64-bit numbers) of a stretch of text.
+Stretch = tuple[int, int, int, str, bytes]
 
 
 class Tokenizers:
-    """The two encoders, and the bytes of each of their tokens. Made once per worker, from the files."""
+    """The two encoders, the bytes of each of their tokens, and stretches aligned before. One per worker."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one worker per core already
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -42,7 +53,10 @@ class Tokenizers:
         for token, i in entries.items():
             self.bytes_a[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
-        self.size_a, self.size_b = (np.array(list(map(len, t)), np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.size_a, self.size_b = ([*map(len, t)] for t in (self.bytes_a, self.bytes_b))
+        self.apart = not any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(len(self.bytes_b)))
+        self.known: dict[str, Stretch | None] = {}
+        self.letters = 0
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -50,16 +64,31 @@ class Tokenizers:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
-        """Ids of both encodings per text; none where the tokens do not spell a space and the text."""
-        texts = [t or "" for t in texts]
-        found_a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        out = []
-        for text, a, b in zip(texts, found_a, self.b.encode(texts, num_threads=1)):
-            want, ids = (" " + text).encode(), a.ids
-            same = text and b"".join([self.bytes_a[i] for i in ids]) == want == b"".join([self.bytes_b[i] for i in b])
-            out.append((ids, b) if same else ([], []))
-        return out
+    def _learn(self, stretches: list[str]) -> None:
+        """Align stretches that each begin with the space that B puts itself; None where tokens spell another text."""
+        encoded_a = self.a.encode_batch_fast(stretches, add_special_tokens=False)
+        encoded_b = self.b.encode([s[1:] for s in stretches], num_threads=1)
+        for text, a, b in zip(stretches, encoded_a, encoded_b):
+            a, b = a.ids, b or [self.b.piece_to_id("▁")]
+            spelled_a, spelled_b = (b"".join([t[i] for i in ids]) for t, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+            found = self._stretch(a, b) if spelled_a == text.encode() == spelled_b else None
+            self.known[text], self.letters = found, self.letters + len(text)
+
+    def _stretch(self, a: list[int], b: list[int]) -> Stretch:
+        ends_a, ends_b = ([*accumulate([size[i] for i in ids])] for size, ids in ((self.size_a, a), (self.size_b, b)))
+        cut, pairs = groups(ends_a, ends_b), array("q", links(a, b, ends_a, ends_b)).tobytes()
+        return len(a), len(b), len(cut), spelled([*map(str, a)], [*map(str, b)], cut), pairs
+
+    def align(self, texts: list[str | None]) -> list[list[Stretch]]:
+        """The aligned stretches of each text; none where the tokens do not spell a space and the text."""
+        if self.letters > KEPT:
+            self.known, self.letters = {}, 0
+        cut = [(WORD.split(" " + t) if self.apart else [" " + t]) if t else [] for t in texts]
+        new = list({s for stretches in cut for s in stretches}.difference(self.known))
+        for at in range(0, len(new), MANY):
+            self._learn(new[at : at + MANY])
+        found = [[self.known[s] for s in stretches] for stretches in cut]
+        return [[] if None in stretches else stretches for stretches in found]
 
 
 def groups(ends_a: list[int], ends_b: list[int]) -> list[Group]:
@@ -72,7 +101,7 @@ def groups(ends_a: list[int], ends_b: list[int]) -> list[Group]:
     while open_:
         a, a2, b, b2 = open_.pop()
         middle, cut = (a + a2 - 1) // 2, -1
-        if b2 - b > 1:
+        if a2 - a > 1 and b2 - b > 1:
             for far in range(a2 - a):
                 i = middle + (far + 1) // 2 if far & 1 else middle - far // 2
                 if a <= i < a2 - 1:
@@ -94,14 +123,14 @@ def spelled(a: list[str], b: list[str], cut: list[Group]) -> str:
     return ";".join([f"{','.join(a[i:j])}|{','.join(b[k:l])}" for i, j, k, l in cut])
 
 
-def links(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ends of the stretches that lie in one token of each, and the id pair of each as one number.
-
-    Overlapping tokens share exactly one such stretch.
-    """
-    ends = np.union1d(ends_a, ends_b)
-    pairs = (ids_a[np.searchsorted(ends_a, ends)] << LOW) | ids_b[np.searchsorted(ends_b, ends)]
-    return ends, pairs
+def links(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> list[int]:
+    """The id pair, as one number, of each two tokens that overlap, once: by going along both encodings."""
+    out, i, j = [], 0, 0
+    while i < len(a):
+        out.append(a[i] << LOW | b[j])
+        here, there = ends_a[i], ends_b[j]
+        i, j = i + (here <= there), j + (there <= here)
+    return out
 
 
 def _int_lists(parts: list[np.ndarray]) -> pa.ListArray:
@@ -120,20 +149,13 @@ def _aligned(paths: tuple[str, str], whole: bool):
         both = _MADE[paths]
         for batch in batches:
             for part in slices(batch, 1, RUN):
-                found = both.encode(part.column(1).to_pylist())
                 rows: list[tuple] = []
-                for a, b in found:
-                    if not a:
-                        rows.append((0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)))
-                        continue
-                    ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-                    ends_a, ends_b = np.cumsum(both.size_a[ids_a]), np.cumsum(both.size_b[ids_b])
-                    cut = groups(ends_a.tolist(), ends_b.tolist())
-                    text = spelled(list(map(str, a)), list(map(str, b)), cut)
-                    text = text if whole else hashlib.sha256(text.encode()).hexdigest()
-                    stretches, pairs = links(ids_a, ids_b, ends_a, ends_b)
-                    pairs, times = np.unique(pairs, return_counts=True)
-                    rows.append((len(a), len(b), len(cut), len(stretches), text, pairs, times))
+                for found in both.align(part.column(1).to_pylist()):
+                    a, b, cut = (sum([s[k] for s in found]) for k in range(3))
+                    text = ";".join([s[3] for s in found])
+                    text = text if whole or not found else hashlib.sha256(text.encode()).hexdigest()
+                    pairs = np.frombuffer(b"".join([s[4] for s in found]), np.int64)
+                    rows.append((a, b, cut, len(pairs), text, *np.unique(pairs, return_counts=True)))
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -155,7 +177,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     A is a byte-level file of the tokenizers library, which reads a space and the text; B a
     sentencepiece model, which reads the text and puts the space itself. NULL and empty texts, and those
     whose tokens do not spell space and text, have no tokens: zeros and ''. The strings of special tokens
-    are plain text. Repeated rows and NULL ids are rows like others; other columns are not read.
+    are plain text. Where both are known to end, before a space after a letter, a text is cut first; each different
+    stretch is then aligned by divide and conquer, once while a worker remembers it. Repeated rows and NULL ids are rows like others; other columns are not read.
     """
     shipped(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))

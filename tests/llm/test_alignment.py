@@ -14,7 +14,7 @@ PATHS = files.path("byte_bpe_50k.json"), files.path("piece_bpe_32k.model")
 COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
 TEXTS = [
     None, "", " ", "a", "hello  world\n\tx", "<|endoftext|> and <s> </s><unk>", "naïve café \U0001f600\U0001f469‍\U0001f467 中文字",
-    "▁ is not a space", "tail ▁", "x" * 300, " leading", "trailing  \n\n", "\r\n\x00\x01 1234567,89.00", "Ωmega ñandú ßtraße",
+    "▁ is not a space", "tail ▁", "tail ", "tail\n ", "a\n  b \n c\u00a0 d\x1c e", "x\u3000 y\u2028 z  ", "x" * 300, " leading", "trailing  \n\n", "\r\n\x00\x01 1234567,89.00", "Ωmega ñandú ßtraße",
     "same text twice", "same text twice", "é ﬁ Å", " ".join(f"word{k} {k * k}" for k in range(2000)),
 ]
 
@@ -56,3 +56,16 @@ def test_a_long_text_without_shared_cuts_is_one_group():
     ends_a = np.cumsum([2] * 30_000).tolist()
     ends_b = [1, *(e + 1 for e in ends_a[:-1] if draw.random() < 0.9), ends_a[-1]]
     assert alignment.groups(ends_a, ends_b) == [(0, len(ends_a), 0, len(ends_b))]
+
+
+def test_stretches_give_what_whole_texts_give():
+    """Cutting before spaces changes nothing, as no piece of B holds a space after a letter."""
+    both, draw = alignment.Tokenizers(*PATHS), random.Random(3)
+    assert both.apart
+    letters = ["a", "B", "é", "中", "\U0001f600", " ", " ", "  ", "\n", "\t", "'s", "1", ".", "<s>", "\u00a0", "\x1d"]
+    texts = ["".join(draw.choices(letters, k=draw.randint(1, 60))) for _ in range(400)]
+    cut = both.align(texts)
+    both.apart, both.known = False, {}
+    for parts, whole in zip(cut, both.align(texts)):
+        assert [sum(s[k] for s in parts) for k in range(3)] == [sum(s[k] for s in whole) for k in range(3)]
+        assert ";".join(s[3] for s in parts) == ";".join(s[3] for s in whole)
