@@ -65,6 +65,14 @@ def remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % divisor
 
 
+def sampled(doc_id: Column, share: float) -> Column:
+    """Whether the hash of an id is among the lowest ``share`` of all, told on a scale of 2^62 steps.
+
+    At 10^12 times a sample's bound there are still steps enough to hold it.
+    """
+    return F.shiftrightunsigned(F.xxhash64(doc_id), 2) < F.lit(int(share * (1 << 62)))
+
+
 def ranged(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
     """``df`` stored in ranges of ``order``; ``_part`` numbers the ranges in that order."""
     parts = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())

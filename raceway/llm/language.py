@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from raceway.llm.common import remainder, shipped, staged
+from raceway.llm.common import remainder, sampled, shipped, staged
 
 #: Slots of hashed n-gram weights; lengths of n-grams, which with word ends are affixes as well.
 SLOTS, GRAMS = 1 << 15, (2, 3, 4)
@@ -180,8 +180,7 @@ def fit(
     by_label = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(by_label)
     share = min(1.0, max_texts / max(sum(by_label.values()), 1))
-    unit = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
-    rows = staged(known.filter(unit < int(share * 1_000_000)).select("label", "text"), "language-rows")
+    rows = staged(known.filter(sampled(F.col("id"), share)).select("label", "text"), "language-rows")
     width = len(languages)
 
     word = F.explode(F.split(F.lower("text"), r"\s+")).alias("word")

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from raceway.llm.common import remainder, shipped, staged
+from raceway.llm.common import remainder, sampled, shipped, staged
 
 #: Bytes of one kind; their share of a text is a feature.
 KINDS = {
@@ -123,8 +123,7 @@ def fit(
         F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")
     )
     share = min(1.0, max_rows / max(known.count(), 1))
-    unit = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
-    picked = known.filter(unit < int(share * 1_000_000))
+    picked = known.filter(sampled(F.col("id"), share))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = staged(
         texts.join(F.broadcast(picked), "id").select(

@@ -322,3 +322,13 @@ def test_merges_are_leftmost_of_lowest_rank(path):
     for word, ids in zip(texts, got):
         want = [model["vocab"][p] for p in plain_bpe([letters[b] for b in word], ranks)]
         assert np.frombuffer(ids, "<i4").tolist() == want
+
+
+def test_a_sample_far_below_the_table_is_not_empty(spark):
+    """The share of 4000 in 5 * 10^10 texts, which a scale of a million steps rounds to nothing."""
+    from raceway.llm.common import sampled
+
+    ids = spark.range(3_000_000)
+    for share, low, high in ((1.0, 3_000_000, 3_000_000), (1e-3, 2700, 3300), (8e-7, 0, 12), (0.0, 0, 0)):
+        assert low <= ids.filter(sampled(ids.id, share)).count() <= high
+    assert int(4000 / 5e10 * (1 << 62)) > 10**11
