@@ -1,4 +1,5 @@
 from raceway.operators.combine import lookup_left, request_manifest, union_batches
+from raceway.operators.history import asof_left, intervals
 from raceway.operators.keyed import (
     day_key,
     dedupe_by,
@@ -7,6 +8,7 @@ from raceway.operators.keyed import (
     latest_narrow,
     latest_per_key,
     surrogate_key,
+    surrogate_key_append,
 )
 from raceway.operators.quality import (
     ContractError,
@@ -30,6 +32,7 @@ from raceway.operators.shape import (
 __all__ = [
     "ContractError",
     "align_to_contract",
+    "asof_left",
     "check_unique",
     "contract_violations",
     "daily_mean",
@@ -41,6 +44,7 @@ __all__ = [
     "fill_sentinel",
     "fill_text",
     "guard_contract",
+    "intervals",
     "latest_narrow",
     "latest_per_key",
     "lookup_left",
@@ -51,5 +55,6 @@ __all__ = [
     "stringify",
     "strip_attributes",
     "surrogate_key",
+    "surrogate_key_append",
     "union_batches",
 ]

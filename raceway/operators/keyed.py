@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from raceway.functions import day_number
-from raceway.session import new_folder
+from raceway.session import exists, folder_names, new_folder, remove_folder, replace_folder
 
 
 def latest_per_key(
@@ -97,6 +97,40 @@ def surrogate_key(
     )
 
 
+def surrogate_key_append(
+    df: DataFrame, order: Sequence[str], out: str, registry: str, load: int
+) -> DataFrame:
+    """Number the rows that earlier loads have not numbered; all rows that any load up to this one gave.
+
+    ``registry`` is a folder of ``load=<n>`` tables, each the rows that load first brought, with their
+    numbers. New rows are those that no earlier load holds (all columns compared, NULL equal to
+    NULL). They continue after the largest number given, in the order of ``surrogate_key``, so a row keeps its
+    number whatever comes later and wherever it would sort. A load's table appears by one rename.
+    Repeating the last load gives the same numbers; repeating an older one is refused, since a later one
+    has counted on it.
+    """
+    spark, columns = df.sparkSession, list(df.columns)
+    names = folder_names(spark, registry) if exists(spark, registry) else []
+    loads = [int(n[5:]) for n in names if n[:5] == "load=" and n[5:].isdigit()]
+    if any(n > load for n in loads):
+        raise ValueError(f"load {max(loads)} of {registry} came after load {load}")
+    schema = df.select(F.lit(0).cast("long").alias(out), *columns).schema
+    earlier = [f"{registry}/load={n}" for n in sorted(loads) if n < load]
+    rows, start = df.distinct(), 0
+    if earlier:
+        known = spark.read.schema(schema).parquet(*earlier)
+        start = known.agg(F.coalesce(F.max(out) + 1, F.lit(0))).first()[0]
+        same = [F.col(f"new.{c}").eqNullSafe(F.col(f"known.{c}")) for c in columns]
+        rows = rows.alias("new").join(known.select(*columns).alias("known"), same, "left_anti")
+    ordered = new_folder(spark, "ordered")
+    numbered = surrogate_key(rows, order, out, ordered).withColumn(out, F.col(out) + F.lit(start))
+    made = f"{registry}/making-{load}"
+    numbered.select(*schema.names).write.mode("overwrite").parquet(made)
+    remove_folder(spark, ordered)
+    replace_folder(spark, made, f"{registry}/load={load}")
+    return spark.read.schema(schema).parquet(*earlier, f"{registry}/load={load}")
+
+
 def _starts(sizes: DataFrame, width: int = 1000) -> DataFrame:
     """Rows before each file: summed inside blocks of ``width`` ranges, and over the blocks."""
     sizes = sizes.withColumn("_block", F.floor(F.col("_number") / width))

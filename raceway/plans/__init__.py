@@ -1,5 +1,7 @@
 from raceway.plans.dimensions import (
+    append_stints,
     build_daily_weather,
+    build_driver_history,
     build_drivers,
     build_races,
     build_stints,
@@ -7,13 +9,15 @@ from raceway.plans.dimensions import (
     build_weather,
 )
 from raceway.plans.export import export_table, export_tables, export_view
-from raceway.plans.facts import POINTS, build_pit_stops, build_results
+from raceway.plans.facts import POINTS, build_pit_stops, build_results, results_by_team
 from raceway.plans.ingest import ingest, ingest_all, requests
 from raceway.plans.warehouse import build_warehouse, table_rows
 
 __all__ = [
     "POINTS",
+    "append_stints",
     "build_daily_weather",
+    "build_driver_history",
     "build_drivers",
     "build_pit_stops",
     "build_races",
@@ -28,5 +32,6 @@ __all__ = [
     "ingest",
     "ingest_all",
     "requests",
+    "results_by_team",
     "table_rows",
 ]

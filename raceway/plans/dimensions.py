@@ -12,9 +12,11 @@ from raceway.operators import (
     dedupe_by,
     dedupe_rows,
     fill_text,
+    intervals,
     lookup_left,
     reshape,
     surrogate_key,
+    surrogate_key_append,
 )
 
 # Session attributes that the dimension leaves out.
@@ -40,6 +42,13 @@ def build_drivers(drivers: DataFrame, teams: DataFrame) -> DataFrame:
     return lookup_left(current, named, "team_name", ["team_id"]).drop("team_name")
 
 
+def build_driver_history(drivers: DataFrame, teams: DataFrame) -> DataFrame:
+    """Stints of each car number with one team: the session it begins in and the one that ends it, or NULL."""
+    seen = drivers.select(drivers["driver_number"].alias("driver_id"), "session_key", "team_name")
+    named = teams.select("team_id", teams["name"].alias("team_name"))
+    return intervals(lookup_left(seen, named, "team_name", ["team_id"]), ["driver_id"], "session_key", ["team_id"])
+
+
 def build_races(sessions: DataFrame) -> DataFrame:
     races = reshape(
         sessions,
@@ -57,15 +66,22 @@ def build_races(sessions: DataFrame) -> DataFrame:
     return dedupe_rows(races)
 
 
+STINT_ORDER = ("race_id", "driver_id", "stint_number")
+
+
+def _stints(stints: DataFrame) -> DataFrame:
+    names = {"driver_number": "driver_id", "session_key": "race_id"}
+    return dedupe_rows(fill_text(reshape(stints, drop=("meeting_key",), rename=names)))
+
+
 def build_stints(stints: DataFrame, staging: str | None = None) -> DataFrame:
     """Distinct stints, numbered in the order of race, driver and stint."""
-    rows = reshape(
-        stints,
-        drop=("meeting_key",),
-        rename={"driver_number": "driver_id", "session_key": "race_id"},
-    )
-    rows = dedupe_rows(fill_text(rows))
-    return surrogate_key(rows, ["race_id", "driver_id", "stint_number"], "stint_id", staging)
+    return surrogate_key(_stints(stints), STINT_ORDER, "stint_id", staging)
+
+
+def append_stints(stints: DataFrame, registry: str, load: int) -> DataFrame:
+    """All stints of this load and those before; a stint keeps the number that it first got."""
+    return surrogate_key_append(_stints(stints), STINT_ORDER, "stint_id", registry, load)
 
 
 def build_weather(weather: DataFrame, staging: str | None = None) -> DataFrame:

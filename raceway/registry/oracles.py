@@ -35,6 +35,19 @@ SELECT driver_id, full_name, acronym, country_code, CAST(s_suppkey AS INTEGER) A
 FROM seen LEFT JOIN supplier ON team_name = s_name WHERE rn = 1
 """
 
+_HISTORY = """
+WITH seen AS (
+    SELECT o_custkey AS driver_id, o_orderkey AS session_key, MAX(CAST(s_suppkey AS INTEGER)) AS team_id
+    FROM orders LEFT JOIN supplier ON printf('Supplier#%09d', CAST(floor(o_totalprice / 1000) AS BIGINT)) = s_name
+    GROUP BY ALL),
+begun AS (
+    SELECT * FROM seen WINDOW w AS (PARTITION BY driver_id ORDER BY session_key)
+    QUALIFY ROW_NUMBER() OVER w = 1 OR team_id IS DISTINCT FROM LAG(team_id) OVER w)
+SELECT driver_id, team_id, session_key AS valid_from,
+       LEAD(session_key) OVER (PARTITION BY driver_id ORDER BY session_key) AS valid_to
+FROM begun
+"""
+
 _LATEST_EVENTS = """
 SELECT event_id, ts, user_id, event_type, value FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
@@ -79,6 +92,10 @@ ORACLES: dict[str, str] = {
                      tyre_age_at_start NULLS FIRST) - 1 AS stint_id
         FROM (SELECT DISTINCT * FROM ({_STINTS.format(driver="driver_id", session="race_id")}
               FROM lineitem))""",
+    "drivers_history": _HISTORY,
+    "results_by_team_then": f"""
+        SELECT r.*, h.team_id FROM ({_RESULTS.replace("l_linenumber", "l_orderkey")}) r
+        ASOF LEFT JOIN ({_HISTORY}) h ON r.driver_id = h.driver_id AND r.race_id >= h.valid_from""",
     "weather_dim": f"""
         SELECT *, ROW_NUMBER() OVER (
             ORDER BY timestamp, humidity, pressure, rainfall NULLS FIRST, air_temperature,
@@ -158,6 +175,13 @@ ORACLES: dict[str, str] = {
     "surrogate_key": """
         SELECT *, ROW_NUMBER() OVER (ORDER BY l_suppkey, l_shipdate, l_partkey) - 1 AS sk
         FROM (SELECT DISTINCT l_shipdate, l_suppkey, l_partkey FROM lineitem)""",
+    "surrogate_key_append": f"""
+        WITH stints AS (SELECT DISTINCT * FROM ({_STINTS.format(driver="driver_id", session="race_id")} FROM lineitem))
+        SELECT *, (race_id % 2 = 0)::INT * (SELECT COUNT(*) FROM stints WHERE race_id % 2 = 1) + ROW_NUMBER() OVER (
+            PARTITION BY race_id % 2
+            ORDER BY race_id, driver_id, stint_number, lap_start, lap_end, compound,
+                     tyre_age_at_start NULLS FIRST) - 1 AS stint_id
+        FROM stints""",
     "day_key": f"""
         SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day,
                {_DAY_NUMBER.format(d="CAST(o_orderdate AS DATE)")} AS day_key
@@ -239,6 +263,7 @@ ORACLES: dict[str, str] = {
                COALESCE(weather_id, -1) AS weather_id
         FROM ({_RESULTS})""",
     "stream_latest": _LATEST_EVENTS,
+    "stream_upsert": _LATEST_EVENTS,
     "stream_window_mean": """
         SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, ROUND(AVG(value), 6) AS value
         FROM events GROUP BY 1""",

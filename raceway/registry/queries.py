@@ -87,6 +87,20 @@ def stints_dim(spark, sf_dir):
     return plans.build_stints(views.stints(spark, sf_dir))
 
 
+@query
+def drivers_history(spark, sf_dir):
+    return plans.build_driver_history(views.drivers(spark, sf_dir), views.teams(spark, sf_dir))
+
+
+@query
+def results_by_team_then(spark, sf_dir):
+    results = plans.build_results(
+        views.race_positions(spark, sf_dir), plans.build_daily_weather(views.weather(spark, sf_dir))
+    )
+    history = plans.build_driver_history(views.drivers(spark, sf_dir), views.teams(spark, sf_dir))
+    return plans.results_by_team(results, history)
+
+
 @query
 def weather_dim(spark, sf_dir):
     return plans.build_weather(views.weather(spark, sf_dir))
@@ -252,6 +266,15 @@ def surrogate_key(spark, sf_dir):
     return ops.surrogate_key(ops.dedupe_rows(lines), ["l_suppkey", "l_shipdate"], "sk")
 
 
+@query
+def surrogate_key_append(spark, sf_dir):
+    """Stints of odd sessions, then of all, then the second load again."""
+    registry, rows = new_folder(spark, "registry"), views.stints(spark, sf_dir)
+    plans.append_stints(rows.filter("session_key % 2 = 1"), registry, 1)
+    plans.append_stints(rows, registry, 2)
+    return plans.append_stints(rows, registry, 2)
+
+
 @query
 def day_key(spark, sf_dir):
     days = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
@@ -435,6 +458,22 @@ def stream_latest(spark, sf_dir):
     return streaming.read_changes(spark, out, keys, newest)
 
 
+@query
+def stream_upsert(spark, sf_dir):
+    """Events in four micro-batches, then the four again; the second time none counts."""
+    events = table(spark, sf_dir, "events")
+    raw, out = new_folder(spark, "events"), new_folder(spark, "snapshot")
+    events.repartition(4).write.parquet(raw)
+    for _ in range(2):
+        stream = streaming.open_stream(spark, raw, events.schema, max_files=1)
+        streaming.run_available(
+            streaming.write_snapshot(
+                stream, out, new_folder(spark, "checkpoint"), ["user_id", "event_type"], ["ts", "event_id"], buckets=8
+            )
+        )
+    return streaming.read_snapshot(spark, out, events.schema).select("event_id", "ts", "user_id", "event_type", "value")
+
+
 @query
 def stream_window_mean(spark, sf_dir):
     means = streaming.window_mean(_event_stream(spark, sf_dir), "ts", ["value"], "1 day", LATENESS)

@@ -30,6 +30,16 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def race_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``positions``, with an order as the session, as in ``drivers``."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("driver_number"),
+        F.col("l_orderkey").alias("session_key"),
+        iso_text("l_shipdate").alias("date"),
+        F.col("l_quantity").cast("int").alias("position"),
+    )
+
+
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders stop some months before the last shipping date, so some days have no weather."""
     price, customer = F.col("o_totalprice"), F.col("o_custkey").cast("double")

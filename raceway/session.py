@@ -50,6 +50,11 @@ def _file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of what lies directly below a folder."""
     files, place = _file_system(spark, path)

@@ -9,6 +9,7 @@ from raceway.streaming.live import (
     window_mean,
     write_changes,
 )
+from raceway.streaming.snapshot import read_snapshot, upsert, write_snapshot
 
 __all__ = [
     "compact_changes",
@@ -17,7 +18,10 @@ __all__ = [
     "latest_stream",
     "open_stream",
     "read_changes",
+    "read_snapshot",
     "run_available",
+    "upsert",
     "window_mean",
     "write_changes",
+    "write_snapshot",
 ]

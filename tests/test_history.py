@@ -1,0 +1,161 @@
+"""Keys that stay, values that held at a moment, and the live snapshot; stops between any two steps."""
+
+import random
+from bisect import bisect_right
+
+import pytest
+from conftest import plan, rows
+from pyspark.sql import functions as F
+
+from raceway.operators import asof_left, intervals, surrogate_key_append
+from raceway.streaming import open_stream, read_snapshot, run_available, snapshot, upsert, write_snapshot
+
+
+# Intervals and the as-of join
+
+
+def test_intervals_join_equal_neighbours(spark):
+    seen = spark.createDataFrame(
+        [(1, 10, "a"), (1, 20, "a"), (1, 30, None), (1, 40, None), (1, 50, "a"), (1, 5, "b"), (1, 5, "c"), (2, None, "x"),
+         (2, 7, "z"), (2, 7, "z"), (None, 3, "n")],
+        "driver int, session int, team string",
+    )
+    got = rows(intervals(seen, ["driver"], "session", ["team"]), "driver", "valid_from", "valid_to", "team")
+    assert got == [
+        (None, 3, None, "n"), (1, 5, 10, "c"), (1, 10, 30, "a"), (1, 30, 50, None), (1, 50, None, "a"), (2, 7, None, "z"),
+    ]
+
+
+def as_of(facts, changes):
+    held = {}
+    for k, t, v in sorted((c for c in changes if None not in c[:2]), key=lambda c: (c[0], c[1], c[2] or "")):
+        held.setdefault(k, []).append((t, v))
+    out = []
+    for k, t, n in facts:
+        known = held.get(k, []) if t is not None else []
+        at = bisect_right([x for x, _ in known], t) if known else 0
+        out.append((k, t, n, known[at - 1][1] if at else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("partitions", ["1", "13"])
+def test_asof_equals_search_for_hot_keys_ties_and_nulls(spark, conf, partitions):
+    conf("spark.sql.shuffle.partitions", partitions)
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    draw = random.Random(int(partitions))
+    keys = [1] * 6 + [2, 3, None]
+    facts = [(draw.choice(keys), draw.choice([None, *range(50)]), n % 40) for n in range(900)]
+    changes = [(draw.choice(keys), draw.choice([None, *range(0, 50, 3)]), draw.choice("abc")) for _ in range(80)]
+    left = spark.createDataFrame(facts, "k int, t int, part int")
+    right = spark.createDataFrame([(*c, 1) for c in changes], "k int, since int, value string, row int")
+    found = asof_left(left, right, ["k"], "t", "since", ["value"])
+    assert sorted(map(tuple, found.collect()), key=str) == as_of(facts, changes)
+    assert "CartesianProduct" not in plan(found) and "NestedLoop" not in plan(found)
+
+
+def test_asof_without_rows_or_changes(spark):
+    left = spark.createDataFrame([(1, 5)], "k int, t int")
+    right = spark.createDataFrame([(1, 2, "a")], "k int, since int, team string")
+    assert rows(asof_left(left, right.limit(0), ["k"], "t", "since", ["team"])) == [(1, 5, None)]
+    assert rows(asof_left(left.limit(0), right, ["k"], "t", "since", ["team"])) == []
+    with pytest.raises(ValueError, match="already present"):
+        asof_left(left, right.withColumnRenamed("team", "t"), ["k"], "t", "since", ["t"])
+
+
+# Keys that stay
+
+
+def test_numbers_stay_when_earlier_rows_arrive(spark, tmp_path):
+    registry, make = str(tmp_path / "registry"), lambda v: spark.createDataFrame(v, "race int, lap int")
+    first = rows(surrogate_key_append(make([(5, 1), (7, None), (7, 1), (7, 1)]), ["race"], "id", registry, 1))
+    assert first == [(0, 5, 1), (1, 7, None), (2, 7, 1)]
+    second = make([(1, 1), (7, None), (7, 1), (None, 3), (9, 9)])
+    want = [*first, (3, None, 3), (4, 1, 1), (5, 9, 9)]
+    for _ in range(2):  # the last load may be repeated
+        assert rows(surrogate_key_append(second, ["race"], "id", registry, 2)) == want
+    assert rows(surrogate_key_append(second.limit(0), ["race"], "id", registry, 3)) == want
+    with pytest.raises(ValueError, match="came after load 1"):
+        surrogate_key_append(second, ["race"], "id", registry, 1)
+
+
+def test_a_load_that_stopped_is_done_anew(spark, tmp_path, monkeypatch):
+    from raceway.operators import keyed
+
+    registry, make = str(tmp_path / "registry"), lambda v: spark.createDataFrame(v, "race int")
+    surrogate_key_append(make([(3,)]), ["race"], "id", registry, 1)
+    with monkeypatch.context() as patch:
+        patch.setattr(keyed, "replace_folder", lambda *a: (_ for _ in ()).throw(OSError("stop")))
+        with pytest.raises(OSError):
+            surrogate_key_append(make([(1,), (2,)]), ["race"], "id", registry, 2)
+    assert rows(surrogate_key_append(make([(1,), (2,)]), ["race"], "id", registry, 2)) == [(0, 3), (1, 1), (2, 2)]
+
+
+# The snapshot
+
+SCHEMA = "car int, at int, place int"
+
+
+def newest(batches):
+    best = {}
+    for n, batch in enumerate(batches):
+        for car, at, place in batch:
+            key = (at is not None, at, n)
+            if car not in best or key >= best[car][0]:
+                best[car] = (key, (car, at, place))
+    return sorted((v for _, v in best.values()), key=lambda r: [(v is not None, v) for v in r])
+
+
+def batches(draw, count):
+    return [[(car, draw.randrange(30), n) for car in draw.sample(range(12), 5)] for n in range(count)]
+
+
+def put(spark, out, batch, n):
+    return upsert(spark.createDataFrame(batch, SCHEMA), n, out, ["car"], ["at"], 4)
+
+
+def test_upserts_keep_the_newest_and_skip_repeats(spark, tmp_path):
+    out, feed = str(tmp_path / "snapshot"), batches(random.Random(2), 6)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    assert read_snapshot(spark, out, schema).count() == 0
+    for n, batch in enumerate(feed):
+        assert put(spark, out, batch, n) and not put(spark, out, batch[:1], n)
+        assert rows(read_snapshot(spark, out, schema)) == newest(feed[: n + 1])
+    text = plan(read_snapshot(spark, out, schema))
+    assert "Window" not in text and "Exchange" not in text and "Aggregate" not in text
+    held = [p for p in (tmp_path / "snapshot" / "data").glob("batch=*/_bucket=*")]
+    assert len(held) <= 2 * 4  # what the last two ledgers name
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    out = str(tmp_path / "snapshot")
+    put(spark, out, [(c, 1, 0) for c in range(40)], 0)
+    put(spark, out, [(7, 2, 5)], 1)
+    assert len(list((tmp_path / "snapshot" / "data" / "batch=1").glob("_bucket=*"))) == 1
+
+
+@pytest.mark.parametrize("step", ["replace_folder", "remove_folder"])
+def test_a_batch_that_stopped_is_repeated(spark, tmp_path, monkeypatch, step):
+    out, feed = str(tmp_path / "snapshot"), batches(random.Random(3), 5)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for n, batch in enumerate(feed):
+        with monkeypatch.context() as patch:
+            patch.setattr(snapshot, step, lambda *a: (_ for _ in ()).throw(OSError("stop")))
+            try:
+                put(spark, out, batch, n)
+            except OSError:
+                assert rows(read_snapshot(spark, out, schema)) in (newest(feed[:n]), newest(feed[: n + 1]))
+        put(spark, out, batch, n)
+        assert rows(read_snapshot(spark, out, schema)) == newest(feed[: n + 1])
+
+
+def test_a_stream_into_a_snapshot(spark, tmp_path):
+    feed = batches(random.Random(4), 4)
+    for n, batch in enumerate(feed):
+        spark.createDataFrame(batch, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "raw"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    out = str(tmp_path / "snapshot")
+    stream = open_stream(spark, str(tmp_path / "raw"), schema, max_files=1)
+    run_available(write_snapshot(stream, out, str(tmp_path / "checkpoint"), ["car"], ["at", "place"], 4))
+    want = {c: max((a, p) for b in feed for car, a, p in b if car == c) for b in feed for c, _, _ in b}
+    got = read_snapshot(spark, out, schema).select("car", F.struct("at", "place")).collect()
+    assert {r[0]: tuple(r[1]) for r in got} == want

@@ -40,7 +40,7 @@ def test_plans_hold_no_product_and_no_python(spark, name):
 
 
 # Single-task steps over one row per column, file or car number, never over table rows.
-SMALL = {"contract_violations", "surrogate_key", "stints_dim", "weather_dim", "warehouse_chain"}
+SMALL = {"contract_violations", "surrogate_key", "results_by_team_then", "stints_dim", "weather_dim", "warehouse_chain"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER - SMALL))
