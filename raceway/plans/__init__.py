@@ -10,7 +10,7 @@ from raceway.plans.dimensions import (
 )
 from raceway.plans.export import export_table, export_tables, export_view
 from raceway.plans.facts import POINTS, build_pit_stops, build_results, results_by_team
-from raceway.plans.ingest import ingest, ingest_all, requests
+from raceway.plans.ingest import ingest, ingest_all, ingest_all_new, ingest_new, requests
 from raceway.plans.warehouse import build_warehouse, table_rows
 
 __all__ = [
@@ -31,6 +31,8 @@ __all__ = [
     "export_view",
     "ingest",
     "ingest_all",
+    "ingest_all_new",
+    "ingest_new",
     "requests",
     "results_by_team",
     "table_rows",

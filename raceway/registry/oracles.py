@@ -255,6 +255,13 @@ ORACLES: dict[str, str] = {
                     ELSE CAST(value AS VARCHAR) END AS gap_to_leader,
                CAST(value AS VARCHAR) AS interval
         FROM events""",
+    "ingest_incremental": """
+        SELECT CASE WHEN event_id % 10 > 1 THEN user_id END AS driver_number, event_id AS session_key,
+               CASE WHEN event_id % 10 <= 1 OR event_type = 'view' THEN NULL WHEN event_type = 'click' THEN '+1 LAP'
+                    ELSE CAST(value AS VARCHAR) END AS gap_to_leader,
+               CASE WHEN event_id % 10 > 1 THEN CAST(value AS VARCHAR) END AS interval,
+               CASE event_id % 10 WHEN 0 THEN 'corrupt' WHEN 1 THEN 'no driver_number' END AS reason
+        FROM events""",
     "drivers_export": f"""
         SELECT driver_id, full_name, acronym, country_code, COALESCE(team_id, -1) AS team_id
         FROM ({_DRIVERS})""",

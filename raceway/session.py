@@ -66,6 +66,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def move_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Let a finished folder appear, by one rename, at a path where nothing is yet."""
+    files, place = _file_system(spark, path)
+    if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(new), place):
+        raise OSError(f"cannot put {new} at {path}")
+
+
 def replace_folder(spark: SparkSession, new: str, path: str) -> None:
     """Put a finished folder in the place of another.
 

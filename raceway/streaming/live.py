@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from raceway.operators import latest_per_key
-from raceway.session import folder_names, remove_folder, replace_folder
+from raceway.session import folder_names, move_folder, remove_folder
 
 
 def open_stream(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files: int = 1000
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files: int = 1000,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Files landing below a path; ``max_files`` bounds the work of one micro-batch."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.schema(schema).options(**(options or {})).option("maxFilesPerTrigger", max_files)
     return reader.format(fmt).load(path)
 
 
@@ -57,20 +59,25 @@ def compact_changes(
 ) -> None:
     """Merge all but the last batch of a change log into one row per key.
 
-    The last batch is left alone, since a restarted stream may write it again. The merged rows take
-    the place of the youngest batch they cover before the older ones go, so readers find every key
-    at any time. Run between micro-batches, it keeps what ``read_changes`` reads in proportion to
-    the keys.
+    The last batch is left alone, since a restarted stream may write it again. The merged rows are made outside
+    the log and appear in it by one rename, as batch N.5 after the youngest batch N that they cover; then
+    the covered ones go. Readers find every key at any time, and order what they find as before. A compaction
+    that stopped anywhere leaves nothing that the next one does not clear. Run between micro-batches, it
+    keeps what ``read_changes`` reads in proportion to the keys.
     """
-    batches = sorted(int(n.split("=")[1]) for n in folder_names(spark, out) if n.startswith("batch="))
-    if len(batches) < 3:
+    names = [n[6:] for n in folder_names(spark, out) if re.fullmatch(r"batch=\d+(\.5)?", n)]
+    batches = sorted(names, key=float)[:-1]
+    if len(batches) < 2:
         return
-    old, last = batches[:-1], batches[-2]
-    covered = spark.read.parquet(out).filter(F.col("batch") <= last)
-    merged = f"{out.rstrip('/')}.merged-{last}"
-    latest_per_key(covered, keys, [*newest, "batch"]).drop("batch").write.mode("overwrite").parquet(merged)
-    replace_folder(spark, merged, f"{out}/batch={last}")
-    for batch in old[:-1]:
+    last = batches[-1]
+    if not last.endswith(".5"):  # else all that lies before was merged into it, and only has to go
+        folders = [f"{out}/batch={n}" for n in batches]
+        covered = spark.read.option("basePath", out).parquet(*folders)
+        merged = f"{out.rstrip('/')}.merged"
+        latest_per_key(covered, keys, [*newest, "batch"]).drop("batch").write.mode("overwrite").parquet(merged)
+        move_folder(spark, merged, f"{out}/batch={last}.5")
+        batches.append(last)
+    for batch in batches[:-1]:
         remove_folder(spark, f"{out}/batch={batch}")
 
 

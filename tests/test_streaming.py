@@ -7,7 +7,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from raceway import streaming
+from raceway import session, streaming
+from raceway.streaming import live
 from raceway.operators import latest_per_key
 
 START = datetime(2024, 3, 2, 15)
@@ -156,8 +157,41 @@ def test_a_compacted_log_reads_the_same(spark, feed):
         feed.land((k, k % 2, at(k), k))
     before = run()
     streaming.compact_changes(spark, out, keys, newest)
-    assert sorted(os.listdir(out)) == ["batch=3", "batch=4"] and run() == before
+    assert sorted(os.listdir(out)) == ["batch=3.5", "batch=4"] and run() == before
     feed.land((9, 0, at(60), 3))
     assert run() == [(0, at(60), 3), before[1]]
     streaming.compact_changes(spark, out, keys, newest)
     assert len([n for n in os.listdir(out) if n.startswith("batch")]) == 2 and run() == [(0, at(60), 3), before[1]]
+
+
+@pytest.mark.parametrize("stop", ["move_folder", "remove_folder"])
+def test_a_compaction_that_stopped_is_cleared_by_the_next(spark, feed, monkeypatch, stop):
+    out, keys, newest = feed.path("out"), ["car"], ["at", "position"]
+
+    def run():
+        latest = streaming.latest_stream(feed.open(), keys, newest)
+        streaming.run_available(streaming.write_changes(latest, out, feed.path("cp")))
+        return rows(ntz(streaming.read_changes(spark, out, keys, newest)), "car", "at", "position")
+
+    for k in range(12):  # batch 10 must come after batch 9
+        feed.land((k, k % 2, at(k // 3), k))
+    want = run()
+    done = []
+
+    def stopped(*a):
+        if len(done) == (stop == "remove_folder"):
+            raise OSError("stop")
+        done.append(getattr(session, stop)(*a))
+
+    with monkeypatch.context() as patch:
+        patch.setattr(live, stop, stopped)
+        with pytest.raises(OSError):
+            streaming.compact_changes(spark, out, keys, newest)
+    assert run() == want
+    streaming.compact_changes(spark, out, keys, newest)
+    assert run() == want and len([n for n in os.listdir(out) if n.startswith("batch")]) == 2
+    feed.land((99, 0, at(60), 3))
+    want = [(0, at(60), 3), want[1]]
+    assert run() == want
+    streaming.compact_changes(spark, out, keys, newest)
+    assert run() == want and len([n for n in os.listdir(out) if n.startswith("batch")]) == 2
