@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from raceway.llm.common import shipped, staged
+from raceway.llm.common import discard, shipped, staged
 from raceway.llm.components import components
 from raceway.llm.simhash import LOWER
 
@@ -105,15 +105,22 @@ def _kept(known: dict) -> dict:
     return known
 
 
-def _banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    known: dict[bytes, int] = {}
-    for run in _runs(batches):
-        keys = signatures([r[5] for r in run], _kept(known))
-        yield pd.DataFrame({
-            "id": pd.array([r[0] for r in run], "Int64"), "paragraph": [r[1] for r in run],
-            "start": [r[2] for r in run], "length": [r[3] for r in run],
-            "node": [_node(r[5]) for r in run], "bands": list(keys),
-        })
+def _banded(least: float):
+    """Paragraphs with their bands. A set too small to be similar to any but an equal one, which is one node, has none."""
+    words = SHINGLE - 1 + least / (1 - least) - 1e-9 if least < 1 else np.inf
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[bytes, int] = {}
+        for found in _runs(batches):
+            keys = signatures([r[5] for r in found], _kept(known))
+            yield pd.DataFrame({
+                "id": pd.array([r[0] for r in found], "Int64"), "paragraph": [r[1] for r in found],
+                "start": [r[2] for r in found], "length": [r[3] for r in found],
+                "node": [_node(r[5]) for r in found],
+                "bands": [k if len(r[5]) >= words else k[:0] for k, r in zip(keys, found)],
+            })
+
+    return run
 
 
 def bitmaps(code: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -179,20 +186,24 @@ def repeated_paragraphs(
     """
     shipped(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    made: list[str] = []  # folders that nothing reads once the links are found
     seen = staged(
         rows.mapInPandas(
-            _banded, "id long, paragraph int, start long, length long, node long, bands array<long>"
+            _banded(similar), "id long, paragraph int, start long, length long, node long, bands array<long>"
         ),
         "paragraphs",
     )
-    buckets = seen.select("node", F.explode("bands").alias("band")).groupBy("node", "band").agg(
-        F.count(F.lit(1)).alias("n")
+    # One row per different paragraph before any is multiplied by its bands.
+    nodes = staged(
+        seen.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")).filter(F.size("bands") > 0),
+        "paragraph-nodes", made,
     )
+    buckets = nodes.select("node", "n", F.explode("bands").alias("band"))
     # Which of equally frequent nodes is taken changes the pairs compared, not the components.
     reps = buckets.groupBy("band").agg(F.max_by("node", "n").alias("rep"), F.count(F.lit(1)).alias("nodes"))
     members = staged(
         buckets.join(reps.filter("nodes > 1").select("band", "rep"), "band").select("node", "band", "rep"),
-        "paragraph-buckets",
+        "paragraph-buckets", made,
     )
     compared = members.select("node").distinct()
     # Texts are read again only for what shares a bucket; a node's words are the same everywhere.
@@ -202,7 +213,7 @@ def repeated_paragraphs(
     sets = staged(
         holders.mapInPandas(_sets, "node long, set array<long>, size int, bits array<long>").join(compared, "node", "left_semi")
         .dropDuplicates(["node"]),
-        "paragraph-sets",
+        "paragraph-sets", made,
     )
     known = sets.select("node", "size", "bits")
     spokes = members.filter("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
@@ -210,16 +221,16 @@ def repeated_paragraphs(
     stars = spokes.join(x, "a").join(y, (F.col("y.b") == spokes["b"]) & _may_be_similar(similar)).select(
         "a", F.col("y.b").alias("b")
     )
-    first = staged(_verified(stars, sets, similar), "paragraph-links")
+    first = staged(_verified(stars, sets, similar), "paragraph-links", made)
     roots = components(first)
     rooted = staged(
-        members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "paragraph-roots"
+        members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "paragraph-roots", made
     )
     sizes = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
     open_ = sizes.groupBy("band").agg(
         F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")
     ).filter("roots > 1").select("band", F.col("top.root").alias("top"))
-    left = staged(rooted.join(open_, "band").join(known, "node"), "paragraph-open")
+    left = staged(rooted.join(open_, "band").join(known, "node"), "paragraph-open", made)
     x, y = left.filter("root <> top").alias("x"), left.alias("y")
     # The most frequent node of a bucket was compared with all others already.
     more = x.join(
@@ -229,6 +240,7 @@ def repeated_paragraphs(
     ).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     links = first.unionByName(_verified(more, sets, similar))
     classes = components(links)
+    discard(docs.sparkSession, made)
     occurrences = staged(
         seen.drop("bands").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
         .withColumn("at", F.struct(F.col("id").isNull().alias("no"), "id", "paragraph")),
