@@ -27,7 +27,7 @@ LOW = 20
 #: Before a space after a letter both encodings have an end: A's words begin there, and no piece of B goes on.
 WORD = re.compile(r"(?<=\S)(?= )")
 #: Stretches encoded together, and letters of the stretches that a worker remembers.
-MANY, KEPT = 4000, 7_000_000
+MANY, KEPT = 4000, 8_000_000
 
 Group = tuple[int, int, int, int]
 #: n_a, n_b, n_groups, groups as text and linked pairs (64-bit numbers) of a stretch of text.
@@ -66,16 +66,17 @@ class Tokenizers:
 
     def _learn(self, stretches: list[str]) -> None:
         """Align stretches that each begin with the space that B puts itself; None where tokens spell another text."""
+        token_a, token_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
         encoded_a = self.a.encode_batch_fast(stretches, add_special_tokens=False)
         encoded_b = self.b.encode([s[1:] for s in stretches], num_threads=1)
         for text, a, b in zip(stretches, encoded_a, encoded_b):
             a, b = a.ids, b or [self.b.piece_to_id("▁")]
-            spelled_a, spelled_b = (b"".join([t[i] for i in ids]) for t, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+            spelled_a, spelled_b = b"".join(map(token_a, a)), b"".join(map(token_b, b))
             found = self._stretch(a, b) if spelled_a == text.encode() == spelled_b else None
             self.known[text], self.letters = found, self.letters + len(text)
 
     def _stretch(self, a: list[int], b: list[int]) -> Stretch:
-        ends_a, ends_b = ([*accumulate([size[i] for i in ids])] for size, ids in ((self.size_a, a), (self.size_b, b)))
+        ends_a, ends_b = [*accumulate(map(self.size_a.__getitem__, a))], [*accumulate(map(self.size_b.__getitem__, b))]
         cut, pairs = groups(ends_a, ends_b), array("q", links(a, b, ends_a, ends_b)).tobytes()
         return len(a), len(b), len(cut), spelled([*map(str, a)], [*map(str, b)], cut), pairs
 
@@ -84,10 +85,10 @@ class Tokenizers:
         if self.letters > KEPT:
             self.known, self.letters = {}, 0
         cut = [(WORD.split(" " + t) if self.apart else [" " + t]) if t else [] for t in texts]
-        new = list({s for stretches in cut for s in stretches}.difference(self.known))
+        new = list(set().union(*cut).difference(self.known))
         for at in range(0, len(new), MANY):
             self._learn(new[at : at + MANY])
-        found = [[self.known[s] for s in stretches] for stretches in cut]
+        found = [list(map(self.known.__getitem__, stretches)) for stretches in cut]
         return [[] if None in stretches else stretches for stretches in found]
 
 
@@ -126,10 +127,15 @@ def spelled(a: list[str], b: list[str], cut: list[Group]) -> str:
 def links(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> list[int]:
     """The id pair, as one number, of each two tokens that overlap, once: by going along both encodings."""
     out, i, j = [], 0, 0
-    while i < len(a):
+    for _ in range(len(a) + len(b)):
         out.append(a[i] << LOW | b[j])
         here, there = ends_a[i], ends_b[j]
-        i, j = i + (here <= there), j + (there <= here)
+        if here <= there:
+            i += 1
+        if there <= here:
+            j += 1
+        if i == len(a):
+            break
     return out
 
 
@@ -151,11 +157,11 @@ def _aligned(paths: tuple[str, str], whole: bool):
             for part in slices(batch, 1, RUN):
                 rows: list[tuple] = []
                 for found in both.align(part.column(1).to_pylist()):
-                    a, b, cut = (sum([s[k] for s in found]) for k in range(3))
-                    text = ";".join([s[3] for s in found])
+                    a, b, cut, parts, pairs = zip(*found) if found else ((),) * 5
+                    text = ";".join(parts)
                     text = text if whole or not found else hashlib.sha256(text.encode()).hexdigest()
-                    pairs = np.frombuffer(b"".join([s[4] for s in found]), np.int64)
-                    rows.append((a, b, cut, len(pairs), text, *np.unique(pairs, return_counts=True)))
+                    pairs = np.frombuffer(b"".join(pairs), np.int64)
+                    rows.append((sum(a), sum(b), sum(cut), len(pairs), text, *np.unique(pairs, return_counts=True)))
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [
