@@ -26,8 +26,8 @@ PAIRS = 1 << 20
 LOW = 20
 #: Before a space after a letter both encodings have an end: A's words begin there, and no piece of B goes on.
 WORD = re.compile(r"(?<=\S)(?= )")
-#: Stretches encoded together, and letters of the stretches that a worker remembers.
-MANY, KEPT = 4000, 8_000_000
+#: Stretches encoded together, and letters of the stretches that a worker remembers, twice.
+MANY, KEPT = 4000, 4_000_000
 
 Group = tuple[int, int, int, int]
 #: n_a, n_b, n_groups, groups as text and linked pairs (64-bit numbers) of a stretch of text.
@@ -55,7 +55,9 @@ class Tokenizers:
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.size_a, self.size_b = ([*map(len, t)] for t in (self.bytes_a, self.bytes_b))
         self.apart = not any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(len(self.bytes_b)))
+        #: Stretches of late, and those of the time before, from which the ones met again are taken over.
         self.known: dict[str, Stretch | None] = {}
+        self.older: dict[str, Stretch | None] = {}
         self.letters = 0
 
     def _piece(self, i: int) -> bytes:
@@ -83,9 +85,13 @@ class Tokenizers:
     def align(self, texts: list[str | None]) -> list[list[Stretch]]:
         """The aligned stretches of each text; none where the tokens do not spell a space and the text."""
         if self.letters > KEPT:
-            self.known, self.letters = {}, 0
+            self.older, self.known, self.letters = self.known, {}, 0
         cut = [(WORD.split(" " + t) if self.apart else [" " + t]) if t else [] for t in texts]
-        new = list(set().union(*cut).difference(self.known))
+        new = set().union(*cut).difference(self.known)
+        again = self.older.keys() & new
+        self.known.update((s, self.older[s]) for s in again)
+        self.letters += sum(map(len, again))
+        new = list(new - again)
         for at in range(0, len(new), MANY):
             self._learn(new[at : at + MANY])
         found = [list(map(self.known.__getitem__, stretches)) for stretches in cut]
@@ -98,21 +104,22 @@ def groups(ends_a: list[int], ends_b: list[int]) -> list[Group]:
     An interval ends in a shared end. The shared end nearest its middle, by tokens of A, is looked for by
     bisecting the ends of B, and both sides are treated alike; an interval without one is a group.
     """
-    out, open_ = [], [(0, len(ends_a), 0, len(ends_b))]
+    out, open_ = [], [(0, len(ends_a), 0, len(ends_b))] if ends_a else []
     while open_:
-        a, a2, b, b2 = open_.pop()
-        middle, cut = (a + a2 - 1) // 2, -1
-        if a2 - a > 1 and b2 - b > 1:
+        a, a2, b, b2 = part = open_.pop()
+        last_a, last_b, cut = a2 - 1, b2 - 1, -1
+        if a < last_a and b < last_b:
+            middle = (a + last_a) // 2
             for far in range(a2 - a):
                 i = middle + (far + 1) // 2 if far & 1 else middle - far // 2
-                if a <= i < a2 - 1:
-                    cut = bisect_left(ends_b, ends_a[i], b, b2 - 1)
-                    if cut < b2 - 1 and ends_b[cut] == ends_a[i]:
+                if a <= i < last_a:
+                    end = ends_a[i]
+                    cut = bisect_left(ends_b, end, b, last_b)
+                    if cut < last_b and ends_b[cut] == end:
                         break
                     cut = -1
         if cut < 0:
-            if a < a2:
-                out.append((a, a2, b, b2))
+            out.append(part)
         else:
             open_.append((i + 1, a2, cut + 1, b2))
             open_.append((a, i + 1, b, cut + 1))
