@@ -41,6 +41,23 @@ def fresh(df: DataFrame, base: str) -> str:
     return base
 
 
+def position(df: DataFrame, column: str) -> int:
+    """Place of a column; its case counts only where two names differ in nothing else."""
+    if column in df.columns:
+        return df.columns.index(column)
+    return [c.lower() for c in df.columns].index(column.lower())
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """``df`` with its columns called c0, c1, ..., so that no private column can clash with their names."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+
+
+def restored(df: DataFrame) -> list[Column]:
+    """The columns of ``plain(df)`` under the names they have in ``df``."""
+    return [F.col(f"c{k}").alias(c) for k, c in enumerate(df.columns)]
+
+
 def staged(df: DataFrame, label: str, made: list[str] | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back: a cut of its lineage.
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from raceway.llm.common import WORD, fresh, prefix_sums
+from raceway.llm.common import WORD, plain, position, prefix_sums, restored
 
 #: Hex digits of the random key that name a range; 16**3 ranges per source share its rows evenly.
 RANGE_DIGITS = 3
@@ -73,89 +73,77 @@ def mix(
 ) -> DataFrame:
     """Every row of ``docs`` with a struct ``out``: size, source_size, target, taken, repeats.
 
-    Each row gets a hash-random key from its id. The rows of a source are cut in ranges of that
+    Each row gets a hash-random key from its id (without one, from its text). The rows of a source are cut in ranges of that
     key, so that a source with most rows still spreads over all tasks; sizes are summed per range,
     then inside each range, and the source is cut exactly at its rounded target. Whole epochs come
     first: ``taken`` is the words the mix takes of the row, ``repeats`` how often the row goes in
     (the row at the cut goes in whole).
 
-    A NULL text has size 0, a NULL source is a source of its own, a NULL id has a key like any
-    other. Rows with equal keys are ordered by size, then text; equal rows are interchangeable.
+    A NULL text has size 0, a NULL source is a source of its own, rows with a NULL id spread like others.
+    Rows with equal keys are ordered by size, then text; equal rows are interchangeable.
     Other columns pass through, whatever their names, except one called ``out``.
     """
     if out in docs.columns:
         raise ValueError(f"column {out} is taken")
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary"))
-    parts = {
-        "key": key,
-        "range": F.substring(key, 1, RANGE_DIGITS),
-        "none": F.col(source_col).isNull(),
-        "source": F.coalesce(F.col(source_col), F.lit("")),
-        "size": word_count(F.col(text_col)),
-        "tie": F.xxhash64(F.col(text_col)),
-    }
-    rows = docs.withColumn(out, F.struct(*[c.alias(n) for n, c in parts.items()]))
-    at = lambda name: F.col(f"`{out}`.`{name}`")
-    group = ["none", "src", "range"]
-    keyed = rows.withColumns({f"_{out}_{g}": at("source" if g == "src" else g) for g in group})
-    names = [f"_{out}_{g}" for g in group]
-
-    ranges = rows.select(
-        at("none").alias(names[0]), at("source").alias(names[1]), at("range").alias(names[2]),
-        at("size").alias("_size"),
-    ).groupBy(*names).agg(F.sum("_size").alias("_sum"))
-    per_source = ranges.groupBy(*names[:2]).agg(F.sum("_sum").alias("source_size"))
+    name, text, source = (F.col(f"c{position(docs, c)}") for c in (id_col, text_col, source_col))
+    named = F.coalesce(name.cast("string"), F.when(text.isNull(), "null").otherwise(F.concat(F.lit("null:"), text)))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), named).cast("binary"))
+    keyed = plain(docs).select(
+        "*",
+        key.alias("key"),
+        F.substring(key, 1, RANGE_DIGITS).alias("range"),
+        source.isNull().alias("none"),
+        F.coalesce(source, F.lit("")).alias("source"),
+        word_count(text).alias("size"),
+        F.xxhash64(text).alias("tie"),
+    )
+    names = ["none", "source", "range"]
+    ranges = keyed.groupBy(*names).agg(F.sum("size").alias("sum"))
+    per_source = ranges.groupBy("none", "source").agg(F.sum("sum").alias("source_size"))
     targets = source_targets(
-        per_source.select(
-            F.when(~F.col(names[0]), F.col(names[1])).alias("source"), "source_size"
-        ),
+        per_source.select(F.when(~F.col("none"), F.col("source")).alias("source"), "source_size"),
         weights, share, max_epochs,
     ).select(
-        F.col("source").isNull().alias(names[0]),
-        F.coalesce("source", F.lit("")).alias(names[1]),
+        F.col("source").isNull().alias("none"),
+        F.coalesce("source", F.lit("")).alias("source"),
         "source_size",
         "target",
     )
-    earlier = Window.partitionBy(*names[:2]).orderBy(names[2]).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    earlier = Window.partitionBy("none", "source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     budget = F.floor(F.col("target") + 0.5)
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     offsets = (
-        ranges.withColumn("_start", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
-        .join(targets, names[:2])
+        ranges.withColumn("before", F.coalesce(F.sum("sum").over(earlier), F.lit(0)))
+        .join(targets, ["none", "source"])
         .select(
-            *names,
-            F.struct(
-                "source_size", "target", F.col("_start").alias("start"),
-                epochs.cast("long").alias("epochs"),
-                (budget - epochs * F.col("source_size")).cast("long").alias("cut"),
-            ).alias(f"_{out}_of"),
+            *names, "source_size", "target", "before",
+            epochs.cast("long").alias("epochs"),
+            (budget - epochs * F.col("source_size")).cast("long").alias("cut"),
         )
     )
-    running = Window.partitionBy(*names).orderBy(
-        at("key"), at("size"), at("tie")
-    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    of = lambda name: F.col(f"`_{out}_of`.`{name}`")
-    size = at("size")
-    start = of("start") + F.col(f"_{out}_run") - size
-    summed = keyed.withColumn(f"_{out}_run", F.sum(size).over(running)).join(offsets, names)
-    return summed.withColumn(
-        out,
+    running = Window.partitionBy(*names).orderBy("key", "size", "tie").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    summed = keyed.withColumn("run", F.sum("size").over(running)).join(offsets, names)
+    size, start, cut = F.col("size"), F.col("before") + F.col("run") - F.col("size"), F.col("cut")
+    return summed.select(
+        *restored(docs),
         F.struct(
             size.alias("size"),
-            of("source_size").alias("source_size"),
-            of("target").alias("target"),
-            (of("epochs") * size + F.greatest(F.lit(0), F.least(size, of("cut") - start))).cast("long").alias("taken"),
-            (of("epochs") + F.when((size > 0) & (start < of("cut")), 1).otherwise(0)).cast("int").alias("repeats"),
-        ),
-    ).select(*docs.columns, out)
+            F.col("source_size"),
+            F.col("target"),
+            (F.col("epochs") * size + F.greatest(F.lit(0), F.least(size, cut - start))).cast("long").alias("taken"),
+            (F.col("epochs") + F.when((size > 0) & (start < cut), 1).otherwise(0)).cast("int").alias("repeats"),
+        ).alias(out),
+    )
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
+def mixed(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> DataFrame:
     """The rows of the mix: each row of ``docs`` as often as its mix repeats it."""
-    out = fresh(docs, "_mix")
-    drawn = mix(docs, **options, out=out)
-    times = F.col(f"`{out}`.repeats")
-    repeated = drawn.filter(times > 0).withColumn(out, F.explode(F.sequence(F.lit(1), times)))
-    return repeated.select(*docs.columns)
+    roles = [f"c{position(docs, c)}" for c in (id_col, text_col, source_col)]
+    drawn = mix(plain(docs), *roles, **options, out="mix")
+    times = F.col("mix.repeats")
+    repeated = drawn.filter(times > 0).withColumn("mix", F.explode(F.sequence(F.lit(1), times)))
+    return repeated.select(*restored(docs))
