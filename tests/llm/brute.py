@@ -12,6 +12,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import xxhash
 
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
 
 def lower(text):
     return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
@@ -112,7 +114,20 @@ def repeated_paragraphs(docs, least=21, similar=0.8):
     }
 
 
-def line_removals(docs, patience, rare, common, long):
+def line_runs(text, least):
+    """The shortest runs of several lines with ``least`` words, blank lines left out, one from each line on."""
+    lines = [x for x in text.split("\n") if WORDS.search(x)]
+    out = set()
+    for k in range(len(lines)):
+        words, n = 0, k
+        while n < len(lines) and words < least:
+            words, n = words + len(WORDS.findall(lines[n])), n + 1
+        if words >= least and n - k > 1:
+            out.add("\n".join(lines[k:n]))
+    return out
+
+
+def line_removals(docs, patience, rare, common, long, least):
     """doc_id -> numbers of the lines to delete, for distinct ids in ascending order."""
     first, order = {}, []
     for i, t in docs:
@@ -123,21 +138,29 @@ def line_removals(docs, patience, rare, common, long):
     for i, t in order:
         for line in {x for x in t.split("\n") if len(x) >= long}:
             holders[line].append(i)
+    earliest = {}
+    for i, t in order:
+        for run in line_runs(t, least):
+            earliest.setdefault(run, i)
     out = {}
     for i, t in docs:
         lines = t.split("\n")
         if first[t] != i and t:
             out[i] = list(range(len(lines)))
             continue
-        links = defaultdict(lambda: [0, 0])
+        links = defaultdict(lambda: [0, 0, 0])
         for line in set(lines):
             held = holders.get(line, [i])
             if held[0] != i:
                 links[held[0]][0] += len(held) <= rare
                 links[held[0]][1] += 1
+                links[held[0]][2] += len(WORDS.findall(line))
+        for run in line_runs(t, least):
+            if earliest[run] != i:
+                links[earliest[run]][2] += least
         gone = set()
-        for partner, (few, all_) in links.items():
-            if few or all_ >= common:
+        for partner, (few, all_, words) in links.items():
+            if few or all_ >= common or words >= least:
                 block = []
                 for k in [*patience(text_of[partner].split("\n"), lines), -9]:
                     if block and k != block[-1] + 1:

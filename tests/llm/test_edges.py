@@ -281,6 +281,41 @@ def test_long_lines_of_many_texts_are_deleted(spark):
     assert {k: gone[200 + k] for k in range(50)} == {0: ([], []), **{k: ([0, 2], [200]) for k in range(1, 50)}}
 
 
+@pytest.mark.parametrize("holders", [6, 20, 60])
+def test_a_block_goes_however_many_hold_it_and_wherever_its_lines_were_seen(spark, holders):
+    block = [" ".join(f"word{n}{k}" for k in range(8)) for n in range(4)]
+    # Each line of the block was first seen in a text of its own, so no earlier text holds two of them but by the block.
+    docs = [(n, f"some other text number {n}\n{x}\nand its end {n}") for n, x in enumerate(block)]
+    docs += [(100 + k, "\n".join([f"own line of text {k}", *block, f"own end of text {k}"])) for k in range(holders)]
+    rows = line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    gone = {r.doc_id: r._lines.gone for r in rows}
+    assert all(gone[100 + k] == [1, 2, 3, 4] for k in range(1, holders))
+    assert all(gone[n] == [] for n in range(4))
+
+
+def test_runs_have_enough_words_and_no_place():
+    lines, words = np.array([1, 3, 5, 7, 9, 11], np.int64), np.array([9, 9, 0, 9, 30, 9], np.int64)
+    # 9 + 9 + 9, then 9 + 9 + 30 and 9 + 30; the line of 30 words is a line, and no run begins with the last.
+    assert len(line_dedup.runs(lines, words)) == 3
+    moved = line_dedup.runs(np.append([77, 79], lines), np.append([30, 30], words))
+    assert set(line_dedup.runs(lines, words)) <= set(moved)
+    assert line_dedup.runs(lines[:0], words[:0]).size == 0 and line_dedup.runs(lines, words * 0).size == 0
+
+
+CLASH = ["__mix_run", "_mix_none", "range", "size", "run", "source_size", "a.b", "_lines_first", "h", "gone", "c0", "TEXT2"]
+
+
+@pytest.mark.parametrize("apply", [mixing.mix, line_dedup.line_dedup, mixing.mixed])
+def test_columns_of_any_name_come_back(spark, apply):
+    docs = [(k, f"own text number {k}\n{PASSAGE}", "s", *[f"{c}{k}" for c in CLASH]) for k in range(4)]
+    schema = ["doc_id long", "text string", "source string", *[f"`{c}` string" for c in CLASH]]
+    df = spark.createDataFrame(docs, ", ".join(schema))
+    found = apply(df)
+    assert found.columns[: len(df.columns)] == df.columns
+    rows = {tuple(r)[0]: tuple(r)[2 : 3 + len(CLASH)] for r in found.collect()}
+    assert rows == {d[0]: d[2:] for d in docs}
+
+
 @settings(max_examples=60, deadline=None)
 @given(a=st.lists(st.integers(0, 6), max_size=14), b=st.lists(st.integers(0, 6), max_size=14))
 def test_patience_aligns_equal_lines_in_order(a, b):

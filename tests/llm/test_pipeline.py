@@ -40,7 +40,7 @@ def test_quality(spark, stages):
 
 def test_line_dedup(stages):
     before = texts(stages[1])
-    gone = line_removals(before, line_dedup.patience, line_dedup.RARE, line_dedup.COMMON, line_dedup.LONG)
+    gone = line_removals(before, line_dedup.patience, line_dedup.RARE, line_dedup.COMMON, line_dedup.LONG, line_dedup.WORDS)
     want = [
         (i, "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]))
         for i, t in before if len(gone[i]) < len(t.split("\n"))

@@ -99,7 +99,7 @@ def test_op8(result, docs):
 
 def test_op9(result, docs):
     rows = by_id(result("op9_line_dedup"), "removed_lines", "text")
-    gone = line_removals(docs, line_dedup.patience, line_dedup.RARE, line_dedup.COMMON, line_dedup.LONG)
+    gone = line_removals(docs, line_dedup.patience, line_dedup.RARE, line_dedup.COMMON, line_dedup.LONG, line_dedup.WORDS)
     for i, t in docs:
         left = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]) if gone[i] else t
         assert rows[i] == (gone[i], left)
