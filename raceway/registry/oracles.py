@@ -232,11 +232,25 @@ ORACLES: dict[str, str] = {
         SELECT o_orderkey AS order_id, o_orderstatus AS status, CAST(o_totalprice AS FLOAT) AS price,
                CAST(NULL AS SMALLINT) AS laps, date_trunc('second', o_orderdate) AS ordered
         FROM orders""",
+    "warehouse_append_fact": """
+        SELECT l_suppkey AS driver_id, CAST(l_linenumber AS BIGINT) AS race_id,
+               CAST(MIN(l_quantity) AS BIGINT) AS lap_number, CAST(MIN(l_tax) AS FLOAT) AS pit_duration,
+               l_shipdate - INTERVAL 1 HOUR AS date, TRUE AS repeat_refused
+        FROM lineitem GROUP BY l_suppkey, l_linenumber, l_shipdate""",
     "warehouse_chain": f"""
-        SELECT 'ResultsFactsFT' AS table_name, COUNT(*) AS n, CAST(SUM(driver_id) AS BIGINT) AS ids FROM ({_RESULTS})
-        UNION ALL SELECT 'PitStopsFT', COUNT(*), CAST(SUM(d) AS BIGINT)
-        FROM (SELECT DISTINCT l_suppkey AS d, l_linenumber, l_shipdate FROM lineitem)
-        UNION ALL SELECT 'DriversDT', COUNT(*), CAST(SUM(driver_id) AS BIGINT) FROM ({_DRIVERS})
+        SELECT 'ResultsFactsFT' AS table_name, driver_id, race_id, date,
+               CAST(final_position AS BIGINT) AS final_position, CAST(points_earned AS BIGINT) AS points_earned,
+               CAST(COALESCE(weather_id, -1) AS BIGINT) AS weather_id, NULL::BIGINT AS lap_number,
+               NULL::FLOAT AS pit_duration, NULL::TIMESTAMP AS moment, NULL::BIGINT AS n, NULL::BIGINT AS ids
+        FROM ({_RESULTS})
+        UNION ALL BY NAME
+        SELECT 'PitStopsFT' AS table_name, l_suppkey AS driver_id, CAST(l_linenumber AS BIGINT) AS race_id,
+               CAST(MIN(l_quantity) AS BIGINT) AS lap_number, CAST(MIN(l_tax) AS FLOAT) AS pit_duration,
+               l_shipdate - INTERVAL 1 HOUR AS moment
+        FROM lineitem GROUP BY l_suppkey, l_linenumber, l_shipdate
+        UNION ALL BY NAME
+        SELECT * FROM (
+        SELECT 'DriversDT' AS table_name, COUNT(*) AS n, CAST(SUM(driver_id) AS BIGINT) AS ids FROM ({_DRIVERS})
         UNION ALL SELECT 'TeamsDT', COUNT(*), CAST(SUM(s_suppkey) AS BIGINT) FROM supplier
         UNION ALL SELECT 'RacesDT', COUNT(*), CAST(SUM(o_orderkey) AS BIGINT) FROM orders
         UNION ALL SELECT 'WeatherDT', COUNT(*), CAST(COUNT(*) * (COUNT(*) - 1) // 2 AS BIGINT)
@@ -246,7 +260,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'StintsDT', COUNT(*), CAST(COUNT(*) * (COUNT(*) - 1) // 2 AS BIGINT)
         FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber, l_quantity,
                      CASE WHEN l_returnflag <> 'N' THEN l_returnflag ELSE 'Unknown' END,
-                     CASE WHEN l_linestatus <> 'O' THEN l_discount ELSE 0 END FROM lineitem)""".replace(
+                     CASE WHEN l_linestatus <> 'O' THEN l_discount ELSE 0 END FROM lineitem))""".replace(
         "{m}", "o_totalprice, o_custkey, o_orderkey, o_orderstatus <> 'P'"
     ),
     "raw_ingest": """

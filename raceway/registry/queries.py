@@ -353,6 +353,29 @@ def warehouse_append(spark, sf_dir):
     return sources.read_warehouse(spark, ORDERS, root)
 
 
+@query
+def warehouse_append_fact(spark, sf_dir):
+    """Pit stops in three loads of whole races, keys led by the driver; a repeat of the last load is refused."""
+    root, contract = new_folder(spark, "warehouse"), WIDE_WAREHOUSE["PitStopsFT"]
+    stops = plans.build_pit_stops(_single_stops(views.pit(spark, sf_dir)))
+    for load in range(3):
+        sources.write_warehouse(stops.filter(F.col("race_id") % 3 == load), contract, root, mode="append")
+    refused = False
+    try:
+        sources.write_warehouse(stops.filter("race_id % 3 = 2"), contract, root, mode="append")
+    except ops.ContractError:
+        refused = True
+    return sources.read_warehouse(spark, contract, root).withColumn("repeat_refused", F.lit(refused))
+
+
+def _single_stops(landed):
+    """One stop per car, session and second."""
+    return landed.groupBy("driver_number", "session_key", "date").agg(
+        F.min("meeting_key").alias("meeting_key"), F.min("lap_number").alias("lap_number"),
+        F.min("pit_duration").alias("pit_duration"),
+    )
+
+
 # API descriptions of the six endpoints whose columns are declared.
 CHAIN_SPECS = """[
     {"base_url": "https://example.org/v1/position?", "attributes_to_remove": [],
@@ -367,7 +390,10 @@ CHAIN_SPECS = """[
 
 @query
 def warehouse_chain(spark, sf_dir):
-    """Landed JSON to raw tables, to all eight stored tables, to CSV; rows and sum of an id of each export."""
+    """Landed JSON to raw tables, to all eight stored tables, to CSV.
+
+    All rows of both exported facts; rows and sum of an id of each exported dimension.
+    """
     landing, raw, root, out = (new_folder(spark, n) for n in ("landing", "raw", "warehouse", "csv"))
     specs = sources.load_specs(CHAIN_SPECS)
     for spec in specs:
@@ -380,11 +406,7 @@ def warehouse_chain(spark, sf_dir):
         if spec.name == "drivers":
             landed = landed.withColumn("headshot_url", F.lit("https://example.org/face.png"))
         if spec.name == "pit":
-            # One stop per car, session and second.
-            landed = landed.groupBy("driver_number", "session_key", "date").agg(
-                F.min("meeting_key").alias("meeting_key"), F.min("lap_number").alias("lap_number"),
-                F.min("pit_duration").alias("pit_duration"),
-            )
+            landed = _single_stops(landed)
         if spec.name == "sessions":
             landed = landed.withColumn("session_name", F.coalesce("session_name", F.lit("")))
         landed.write.json(f"{landing}/{spec.name}")
@@ -395,7 +417,11 @@ def warehouse_chain(spark, sf_dir):
     for name, path in plans.export_tables(spark, root, out, contracts=WIDE_WAREHOUSE).items():
         contract = WIDE_WAREHOUSE[name]
         rows = sources.read_csv(spark, path, contract.schema)
-        found.append(rows.agg(F.count("*").alias("n"), F.sum(contract.key[0]).alias("ids")).withColumn("table_name", F.lit(name)))
+        if name == "PitStopsFT":
+            rows = rows.withColumnRenamed("date", "moment")
+        elif name != "ResultsFactsFT":
+            rows = rows.agg(F.count("*").alias("n"), F.sum(contract.key[0]).alias("ids"))
+        found.append(rows.withColumn("table_name", F.lit(name)))
     return ops.union_batches(found)
 
 
