@@ -9,7 +9,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from raceway.llm.common import fresh, shipped, staged
+from raceway.llm.common import plain, position, restored, shipped, staged
 from raceway.llm.components import components
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -179,12 +179,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     keeps its own best row per component, so a large component does not meet in one task.
     """
     shipped(docs.sparkSession)
-    own = fresh(docs, "_fp")
-    rows = docs.withColumn(own, fingerprint(F.col(text_col)))
-    prints = staged(rows.select(F.col(id_col).alias("id"), F.col(own).alias("fp")), "simhash")
-    root = classes(prints).select(F.col("fp").alias(own), F.col("root").alias(f"{own}_root"))
-    first = Window.partitionBy(f"{own}_root").orderBy(
-        F.col(id_col).asc_nulls_last(), F.xxhash64(F.col(text_col)), F.col(text_col)
-    )
-    ranked = rows.join(root, own).withColumn(f"{own}_rank", F.row_number().over(first))
-    return ranked.filter(F.col(f"{own}_rank") == 1).select(*docs.columns)
+    doc, text = F.col(f"c{position(docs, id_col)}"), F.col(f"c{position(docs, text_col)}")
+    # Stored, as a join on the result of a Python function would call it once more to tell NULLs.
+    rows = staged(plain(docs).withColumn("fp", fingerprint(text)), "simhash")
+    root = classes(rows.select(doc.alias("id"), "fp")).select("fp", "root")
+    first = Window.partitionBy("root").orderBy(doc.asc_nulls_last(), F.xxhash64(text), text)
+    ranked = rows.join(root, "fp").withColumn("rank", F.row_number().over(first))
+    return ranked.filter("rank = 1").select(*restored(docs))
