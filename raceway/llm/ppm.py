@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from raceway.llm.batches import slices
-from raceway.llm.common import shipped, staged
+from raceway.llm.common import discard, plain, position, restored, shipped, staged
 from raceway.llm.simhash import LOWER
 
 #: Bytes of context of the longest trie path.
 ORDER = 5
-#: Most trie nodes, and most words, that are sent to every worker, picked by count; a join finds the rest.
+#: Most longest trie paths, and most words, that are sent to every worker, picked by count; a join finds the rest.
 NODES, WORDS = 1 << 20, 1 << 17
 #: The end of a text. No word holds it; before a text stand as many of it as the context is long.
 END = b"\n"
@@ -153,80 +153,6 @@ class Table:
         return out
 
 
-def _log(x: np.ndarray) -> np.ndarray:
-    return np.log10(np.maximum(x, 1e-300))
-
-
-class Trie:
-    """Log probability of each byte after its context, with escapes by number of different followers.
-
-    A byte not seen after a context costs the context's escape and is looked for after the context
-    one byte shorter. There, bytes seen after the longer context cannot come and are excluded. All
-    that depends on a context alone is worked out once.
-    """
-
-    def __init__(self, nodes: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """``nodes[k]``: paths of context length k, ascending, and their counts."""
-        self.order = len(nodes) - 1
-        self.nodes, self.spots, self.log_n = [], [], []
-        totals, below = [], None
-        for paths_, n in nodes:
-            context, start = np.unique(paths_ >> np.uint64(8), return_index=True)
-            size = np.diff(np.r_[start, len(paths_)])
-            total = np.add.reduceat(n, start) if len(n) else n
-            totals.append((context, total, size))
-            self.nodes.append(Table(paths_))
-            self.spots.append(Table(context))
-            self.log_n.append(_log(n.astype(float)))
-        self.all, self.escape, self.rest, self.escape_rest = [], [], [], []
-        for k, (context, total, size) in enumerate(totals):
-            self.all.append(_log(total + size))
-            self.escape.append(_log(size) - self.all[-1])
-            if not k:
-                self.rest.append(None)
-                self.escape_rest.append(None)
-                continue
-            paths_, n = nodes[k]
-            at = self.nodes[k - 1].find(paths_ & _mask(k - 1))
-            start = np.r_[0, np.cumsum(size)[:-1]]
-            seen = np.add.reduceat(nodes[k - 1][1][at], start) if len(n) else n
-            short = self.spots[k - 1].find(context & _mask(k - 2)) if k > 1 else np.zeros(len(context), int)
-            count, kinds = totals[k - 1][1][short] - seen, totals[k - 1][2][short] - size
-            self.rest.append(_log(count + kinds))
-            self.escape_rest.append(np.where(kinds > 0, _log(kinds) - self.rest[-1], 0.0))
-        self.floor = -np.log10(max(256 - (totals[0][2][0] if len(totals[0][2]) else 0), 1))
-        # Nearly all bytes are found at the longest order, in one look-up.
-        paths_, n = nodes[-1]
-        spot = self.spots[-1].find(paths_ >> np.uint64(8))
-        self.top = self.log_n[-1] - self.all[-1][spot] if len(n) else np.zeros(0)
-
-    def score(self, code: np.ndarray) -> np.ndarray:
-        """log10 probability per path."""
-        node = self.nodes[-1].find(code & _mask(self.order))
-        out = np.zeros(len(code))
-        hit = node >= 0
-        out[hit] = self.top[node[hit]]
-        left = np.flatnonzero(~hit)
-        code, above = code[left], np.full(len(left), -1)
-        for k in range(self.order, -1, -1):
-            code = code & _mask(k)
-            spot = self.spots[k].find(code >> np.uint64(8))
-            known, after = spot >= 0, above >= 0
-            node = self.nodes[k].find(code) if k < self.order else np.full(len(code), -1)
-            hit = node >= 0
-            whole, part = known & ~after, known & after
-            here = np.zeros(len(code))
-            here[whole & hit] = self.log_n[k][node[whole & hit]] - self.all[k][spot[whole & hit]]
-            here[whole & ~hit] = self.escape[k][spot[whole & ~hit]]
-            if k < self.order:
-                here[part & hit] = self.log_n[k][node[part & hit]] - self.rest[k + 1][above[part & hit]]
-                here[part & ~hit] = self.escape_rest[k + 1][above[part & ~hit]]
-            out[left] += here
-            left, code, above = left[~hit], code[~hit], np.where(known, spot, above)[~hit]
-        out[left] += self.floor
-        return out
-
-
 class Cache:
     """Log probabilities of the most frequent paths of the longest order."""
 
@@ -241,17 +167,17 @@ class Cache:
         return out, held
 
 
-_BUILT: list[tuple[object, Trie | Cache]] = []
+_BUILT: list[tuple[object, Cache]] = []
 
 
-def _built(nodes, whole: bool) -> Trie | Cache:
-    """The trie, or the cache, of what was broadcast, built once per worker."""
-    if not _BUILT or _BUILT[0][0] is not nodes:
-        _BUILT[:] = [(nodes, Trie(nodes) if whole else Cache(*nodes))]
+def _built(held) -> Cache:
+    """The look-up table of what was broadcast, built once per worker."""
+    if not _BUILT or _BUILT[0][0] is not held:
+        _BUILT[:] = [(held, Cache(*held))]
     return _BUILT[0][1]
 
 
-def nodes_of(counts: DataFrame, order: int = ORDER) -> DataFrame:
+def nodes_of(counts: DataFrame, order: int = ORDER, made: list[str] | None = None) -> DataFrame:
     """``(k, path, n)``: all trie nodes, from the counts of all longest paths. Shorter paths sum the longer ones."""
     full = counts.filter("path IS NOT NULL").select("path", "n")
     levels = None
@@ -260,19 +186,7 @@ def nodes_of(counts: DataFrame, order: int = ORDER) -> DataFrame:
             F.sum("n").alias("n")
         ).withColumn("k", F.lit(k)) if k < order else full.withColumn("k", F.lit(k))
         levels = level if levels is None else levels.unionByName(level)
-    return staged(levels, "ppm-levels")
-
-
-def grow(levels: DataFrame, order: int = ORDER) -> list[tuple[np.ndarray, np.ndarray]]:
-    """All trie nodes per context length, on the driver."""
-    kept = levels.toArrow()
-    level, path, n = (kept.column(c).to_numpy() for c in ("k", "path", "n"))
-    out = []
-    for k in range(order + 1):
-        own = np.flatnonzero(level == k)
-        own = own[np.argsort(path[own])]
-        out.append((path[own].astype(np.uint64), n[own].astype(np.int64)))
-    return out
+    return staged(levels, "ppm-levels", made)
 
 
 def _last(x: Column, length: Column) -> Column:
@@ -280,13 +194,17 @@ def _last(x: Column, length: Column) -> Column:
     return x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (8 * length).cast("int")) - 1)
 
 
-def contexts_of(levels: DataFrame) -> DataFrame:
-    """``(k, context, total, escape, rest, escape_rest)``: what ``Trie`` works out per context, as logarithms."""
+def contexts_of(levels: DataFrame, made: list[str] | None = None) -> DataFrame:
+    """``(k, context, total, escape, rest, escape_rest)`` per context, as logarithms.
+
+    ``total`` divides the count of a byte seen after the context, ``escape`` is the cost of any other byte. ``rest``
+    and ``escape_rest`` are the same one byte shorter, where bytes seen after this context are excluded.
+    """
     shorter = levels.select((F.col("k") + 1).alias("k"), F.col("path").alias("tail"), F.col("n").alias("m"))
     own = levels.withColumn("tail", _last(F.col("path"), F.col("k"))).join(shorter, ["k", "tail"], "left").groupBy(
         "k", F.shiftright("path", 8).alias("context")
     ).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("size"), F.sum("m").alias("seen"))
-    own = staged(own, "ppm-followers")
+    own = staged(own, "ppm-followers", made)
     above = own.select(
         (F.col("k") + 1).alias("k"), F.col("context").alias("tail"), F.col("n").alias("t"), F.col("size").alias("u")
     )
@@ -301,23 +219,25 @@ def contexts_of(levels: DataFrame) -> DataFrame:
             F.when(kinds > 0, F.log10(kinds) - rest).otherwise(0.0).alias("escape_rest"),
         ),
         "ppm-contexts",
+        made,
     )
 
 
-def cached(levels: DataFrame, contexts: DataFrame, order: int, room: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent longest paths, at most ``room``, and their log probabilities."""
-    top = levels.filter(F.col("k") == order)
-    found = top.filter(F.col("n") >= _fit_count(top, room)).withColumn("context", F.shiftright("path", 8)).join(
-        contexts.filter(F.col("k") == order).select("context", "total"), "context"
-    ).select("path", (F.log10("n") - F.col("total")).alias("log")).toArrow()
-    return found.column("path").to_numpy().astype(np.uint64), found.column("log").to_numpy()
+def trained_of(levels: DataFrame, contexts: DataFrame, order: int = ORDER) -> DataFrame:
+    """``(path, n, log)``: every longest path seen in training and its log10 probability, which its context alone decides."""
+    full = levels.filter(F.col("k") == order).withColumn("context", F.shiftright("path", 8))
+    totals = contexts.filter(F.col("k") == order).select("context", "total")
+    return staged(
+        full.join(totals, "context").select("path", "n", (F.log10("n") - F.col("total")).alias("log")), "ppm-trained"
+    )
 
 
 def solved(wanted: DataFrame, levels: DataFrame, contexts: DataFrame, order: int = ORDER) -> DataFrame:
     """``(path, log)``: log10 probability of each of the different paths ``wanted``, from all nodes.
 
-    As ``Trie.score``, by joins. Paths of one or two bytes are few whatever the input, and crowded, so
-    they are broadcast.
+    A byte not seen after a context costs the context's escape and is looked for after the context one byte
+    shorter. There, bytes seen after the longer context cannot come and are excluded. Paths of one or two bytes are few
+    whatever the input, and crowded, so they are broadcast.
     """
     steps = wanted.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(order)))).withColumn(
         "own", _last(F.col("path"), F.col("k") + 1)
@@ -338,7 +258,7 @@ def solved(wanted: DataFrame, levels: DataFrame, contexts: DataFrame, order: int
     floor = -float(np.log10(max(256 - levels.filter("k = 0").count(), 1)))
     passed = sum(
         (F.when((known >= k) & (hit < k - 1), at(F.lit(k), "escape_rest")).otherwise(0.0) for k in range(1, order + 1)),
-        at(known, "escape"),
+        F.coalesce(at(known, "escape"), F.lit(0.0)),  # nothing was learned
     )
     last = F.when(hit >= 0, F.log10(at(hit, "n")) - at(hit + 1, "rest")).otherwise(floor)
     return steps.select(
@@ -352,43 +272,49 @@ def score_documents(
     """Every row of ``docs`` with a struct ``out``: n_tokens, n_known, train_tokens, base_score, score.
 
     Rows where ``train`` holds are learned from. ``score`` is the log10 probability of the words,
-    one space apart, and the end of the text, under the trie of all paths. A trie of up to ``room`` nodes
-    is sent to the workers. Of a larger one they get the most frequent longest paths, and all other paths are
-    looked up by joins, so the score does not depend on ``room``. ``base_score`` uses word counts with
+    one space apart, and the end of the text, under the trie of all paths. Workers get the ``room`` most
+    frequent longest paths. All others seen in training are looked up by one join, and only paths never seen
+    there go through the shorter contexts; the score does not depend on ``room``. ``base_score`` uses word counts with
     one added: the most frequent words are looked up in the worker, the rest by a join on the word.
     NULL counts as empty, whose only token is the end. Without a row to learn from the byte model
-    is uniform. Other columns pass through, except one called ``out``.
+    is uniform. Other columns pass through, whatever their names, except one called ``out``.
     """
     if out in docs.columns:
         raise ValueError(f"column {out} is taken")
     spark = shipped(docs.sparkSession)
-    counts = gather(docs.filter(train), text_col)
+    place, rows = position(docs, text_col), plain(docs.select("*", train.alias("train")))
+    train = F.col(f"c{len(docs.columns)}")
+    counts = gather(rows.filter(train), f"c{place}")
     tokens = counts.filter("token IS NOT NULL").select("token", "n")
     size = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     least = _fit_count(tokens, WORDS)
     frequent = tokens.filter(F.col("n") >= least).toArrow()
     logs = np.log10(frequent.column("n").to_numpy() + 1.0).tolist()
     words = {t.as_py().encode(): x for t, x in zip(frequent.column("token"), logs)}
-    levels = nodes_of(counts)
-    whole = levels.count() <= room
-    contexts = None if whole else contexts_of(levels)
-    nodes = grow(levels) if whole else cached(levels, contexts, ORDER, room)
-    model = spark.sparkContext.broadcast((nodes, words))
+    made: list[str] = []
+    levels = nodes_of(counts, made=made)
+    contexts = contexts_of(levels, made)
+    trained = trained_of(levels, contexts)
+    sent = F.col("n") >= _fit_count(trained, room)
+    held = trained.filter(sent).toArrow()
+    held = held.column("path").to_numpy().astype(np.uint64), held.column("log").to_numpy()
+    model = spark.sparkContext.broadcast((held, words))
 
     fields = "n_tokens long, n_known long, base double, score double, rare array<string>, open array<long>"
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.StructType.fromDDL(fields))])
-    place, names = docs.columns.index(text_col), [*docs.columns, out]
+    rows = rows.drop(rows.columns[-1])
+    schema = T.StructType([*rows.schema.fields, T.StructField("found", T.StructType.fromDDL(fields))])
+    names = [*rows.columns, "found"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes, known = model.value
-        built = _built(nodes, whole)
+        held, known = model.value
+        cache = _built(held)
         for batch in batches:
             for part in slices(batch, place, RUN):
                 texts = [words_of(t) for t in part.column(place).to_pylist()]
                 code, starts = paths([spelled(t) for t in texts])
-                logs, held = (built.score(code), np.ones(len(code), bool)) if whole else built.score(code)
+                logs, met = cache.score(code)
                 sums = np.add.reduceat(logs, starts)
-                ends = np.r_[0, np.cumsum(np.add.reduceat((~held).astype(np.int32), starts))].astype(np.int32)
+                ends = np.r_[0, np.cumsum(np.add.reduceat((~met).astype(np.int32), starts))].astype(np.int32)
                 for words in texts:
                     words.append(END)
                 common = [[known[w] for w in words if w in known] for words in texts]
@@ -397,34 +323,32 @@ def score_documents(
                     "n_tokens": pa.array(map(len, texts), pa.int64()), "n_known": pa.array(map(len, common), pa.int64()),
                     "base": pa.array(map(sum, common), pa.float64()), "score": pa.array(sums),
                     "rare": pa.array(rare, pa.list_(pa.string())),
-                    "open": pa.ListArray.from_arrays(ends, code[~held].astype(np.int64)),
+                    "open": pa.ListArray.from_arrays(ends, code[~met].astype(np.int64)),
                 }
                 found = pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
                 yield pa.RecordBatch.from_arrays([*part.columns, found], names=names)
 
-    row = f"{out}_row"
-    scored = staged(
-        docs.mapInArrow(score, schema).withColumn(row, F.monotonically_increasing_id()), "ppm-scored"
-    )
-    seldom = scored.select(F.col(row).alias("row"), F.explode(f"{out}.rare").alias("token"))
+    scored = staged(rows.mapInArrow(score, schema).withColumn("row", F.monotonically_increasing_id()), "ppm-scored")
+    seldom = scored.select("row", F.explode("found.rare").alias("token"))
     met = seldom.join(tokens.filter(F.col("n") < least), "token").groupBy("row").agg(
-        F.count(F.lit(1)).alias("k"), F.sum(F.log10(F.col("n") + 1.0)).alias("s")
-    ).select(F.col("row").alias(row), F.struct("k", "s").alias(f"{out}_met"))
-    if whole:
-        looked = scored.select(row).limit(0).withColumn(f"{out}_log", F.lit(0.0))
-    else:
-        missed = scored.select(F.col(row), F.explode(f"{out}.open").alias("path"))
-        logs = solved(missed.select("path").distinct(), levels, contexts)
-        looked = missed.join(logs, "path").groupBy(row).agg(F.sum("log").alias(f"{out}_log"))
-    at, extra = (lambda c: F.col(f"`{out}`.{c}")), (lambda c: F.coalesce(F.col(f"`{out}_met`.{c}"), F.lit(0)))
-    unseen = float(np.log10(size.n + size.v + 1.0))
-    return scored.join(met, row, "left").join(looked, row, "left").withColumn(
-        out,
+        F.count(F.lit(1)).alias("more"), F.sum(F.log10(F.col("n") + 1.0)).alias("base")
+    )
+    missed = scored.select("row", F.explode("found.open").alias("path"))
+    unseen = missed.select("path").distinct().join(trained, "path", "left_anti")
+    logs = staged(solved(unseen, levels, contexts), "ppm-unseen").unionByName(
+        trained.filter(~sent).select("path", "log")
+    )
+    discard(spark, made)
+    looked = missed.join(logs, "path").groupBy("row").agg(F.sum("log").alias("log"))
+    added = lambda c: F.coalesce(F.col(c), F.lit(0))
+    unknown = float(np.log10(size.n + size.v + 1.0))
+    return scored.join(met, "row", "left").join(looked, "row", "left").select(
+        *restored(docs),
         F.struct(
-            at("n_tokens").alias("n_tokens"),
-            (at("n_known") + extra("k")).alias("n_known"),
+            F.col("found.n_tokens").alias("n_tokens"),
+            (F.col("found.n_known") + added("more")).alias("n_known"),
             F.lit(size.n).cast("long").alias("train_tokens"),
-            (at("base") + extra("s") - at("n_tokens") * unseen).alias("base_score"),
-            (at("score") + F.coalesce(F.col(f"`{out}_log`"), F.lit(0.0))).alias("score"),
-        ),
-    ).select(*docs.columns, out)
+            (F.col("found.base") + added("base") - F.col("found.n_tokens") * unknown).alias("base_score"),
+            (F.col("found.score") + added("log")).alias("score"),
+        ).alias(out),
+    )

@@ -200,14 +200,20 @@ def targets(sizes, weights=(5, 2, 1), top=3):
     return out
 
 
-def ppm(train, text, order):
-    """log10 probability of ``text`` byte by byte, with exclusion; ``train`` and ``text`` end in a line end."""
+def ppm_counts(train, order):
+    """Per context length: context -> counts of the bytes after it."""
     pad, counts = b"\n" * order, [defaultdict(Counter) for _ in range(order + 1)]
     for t in train:
         t = pad + t
         for i in range(order, len(t)):
             for k in range(order + 1):
                 counts[k][t[i - k : i]][t[i]] += 1
+    return counts
+
+
+def ppm(train, text, order, counts=None):
+    """log10 probability of ``text`` byte by byte, with exclusion; ``train`` and ``text`` end in a line end."""
+    pad, counts = b"\n" * order, counts or ppm_counts(train, order)
     text, total = pad + text, 0.0
     for i in range(order, len(text)):
         excluded = set()

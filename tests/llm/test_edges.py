@@ -247,17 +247,15 @@ def test_ppm_uses_all_counts_whatever_the_room(spark, room):
     }
 
 
-@settings(max_examples=40, deadline=None)
-@given(train=st.lists(st.text("abc ", max_size=30), max_size=4), text=st.text("abcd ", max_size=12))
-def test_trie_matches_plain_ppm(train, text):
-    train, text = [ppm.spelled(t.encode().split()) for t in train], ppm.spelled(text.encode().split())
-    order = 3
-    nodes = []
-    full = ppm.paths(train, order)[0] if train else np.zeros(0, np.uint64)
-    for k in range(order + 1):
-        nodes.append(np.unique(full & ppm._mask(k), return_counts=True))
-    got = ppm.Trie(nodes).score(ppm.paths([text], order)[0]).sum()
-    assert got == pytest.approx(plain_ppm(train, text, order))
+def test_ppm_returns_other_columns_whatever_their_names(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame(
+        [(1, "one two", 77, 7, 5, 4), (2, "one", 78, 8, 6, 3)], "doc_id long, text string, _lm_row long, row int, found int, `a.b` int"
+    )
+    got = ppm.score_documents(docs, F.col("doc_id") == 1).orderBy("doc_id").collect()
+    assert got[0].asDict().keys() == {*docs.columns, "_lm"}
+    assert [tuple(r)[:6] for r in got] == [(1, "one two", 77, 7, 5, 4), (2, "one", 78, 8, 6, 3)]
 
 
 def test_line_dedup(edge, empty):

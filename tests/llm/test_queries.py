@@ -6,11 +6,11 @@ import duckdb
 import oracle
 import pytest
 from brute import (
-    alignments, crc, damaged, edited, line_removals, paragraph_likeness, repaired, repeated_paragraphs, sha,
-    shingle_classes, simhash, simhash_components, unigram,
+    alignments, crc, damaged, edited, line_removals, paragraph_likeness, ppm as plain_ppm, ppm_counts, repaired,
+    repeated_paragraphs, sha, shingle_classes, simhash, simhash_components, unigram,
 )
 
-from raceway.llm import line_dedup, paragraph_dedup
+from raceway.llm import line_dedup, paragraph_dedup, ppm
 from raceway.llm.queries import ORACLES, QUERIES
 
 SF_DIR = f"{oracle.DATA}/sf0.001"
@@ -97,6 +97,14 @@ def test_op8(result, docs):
     assert rows == want
 
 
+def test_op8_scores_whole_documents(result, docs):
+    model = ppm_counts([ppm.spelled(ppm.words_of(t)) for i, t in docs if crc(i, 7) != 2], ppm.ORDER)
+    rows = {r["doc_id"]: r["score"] for r in result("op8_ppm")}
+    some = [d for d in docs if crc(d[0], 7) == 2][:40] + docs[:10]
+    for i, t in some:
+        assert rows[i] == pytest.approx(plain_ppm(None, ppm.spelled(ppm.words_of(t)), ppm.ORDER, model))
+
+
 def test_op9(result, docs):
     rows = by_id(result("op9_line_dedup"), "removed_lines", "text")
     gone = line_removals(docs, line_dedup.patience, line_dedup.RARE, line_dedup.COMMON, line_dedup.LONG, line_dedup.WORDS)
