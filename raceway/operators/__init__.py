@@ -10,6 +10,14 @@ from raceway.operators.keyed import (
     surrogate_key,
     surrogate_key_append,
 )
+from raceway.operators.partials import (
+    add_partials,
+    compact_partials,
+    means_of,
+    merge_partials,
+    partial_sums,
+    read_partials,
+)
 from raceway.operators.quality import (
     ContractError,
     align_to_contract,
@@ -31,9 +39,11 @@ from raceway.operators.shape import (
 
 __all__ = [
     "ContractError",
+    "add_partials",
     "align_to_contract",
     "asof_left",
     "check_unique",
+    "compact_partials",
     "contract_violations",
     "daily_mean",
     "day_key",
@@ -49,6 +59,10 @@ __all__ = [
     "latest_per_key",
     "lookup_left",
     "map_lookup",
+    "means_of",
+    "merge_partials",
+    "partial_sums",
+    "read_partials",
     "request_manifest",
     "require_rows",
     "reshape",

@@ -288,6 +288,24 @@ ORACLES: dict[str, str] = {
     "stream_window_mean": """
         SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, ROUND(AVG(value), 6) AS value
         FROM events GROUP BY 1""",
+    "stream_late": """
+        WITH landed AS (
+            SELECT ts, value, date_trunc('day', ts)::TIMESTAMP AS window_start,
+                   CASE WHEN event_id % 10 > 4 THEN 1 WHEN event_id % 10 > 0 THEN 2 ELSE 3 END AS landing FROM events),
+        marks AS (SELECT landing + 1 AS landing, max(max(ts)) OVER (ORDER BY landing) AS newest FROM landed GROUP BY landing),
+        told AS (
+            SELECT l.*, coalesce(window_start + INTERVAL 1 DAY <= newest - INTERVAL 2 DAY, false) AS late
+            FROM landed l LEFT JOIN marks USING (landing))
+        SELECT window_start, ROUND(AVG(value), 6) AS value, ROUND(AVG(value) FILTER (NOT late), 6) AS in_time,
+               count(*) FILTER (late) AS late_rows
+        FROM told GROUP BY 1""",
+    "daily_mean_incremental": f"""
+        SELECT date, ROUND(AVG(humidity), 6) AS humidity, ROUND(AVG(pressure), 6) AS pressure,
+               ROUND(AVG(rainfall), 6) AS rainfall, ROUND(AVG(air_temperature), 6) AS air_temperature,
+               ROUND(AVG(track_temperature), 6) AS track_temperature,
+               ROUND(AVG(wind_speed), 6) AS wind_speed,
+               ROUND(AVG(wind_direction), 6) AS wind_direction
+        FROM (SELECT CAST(o_orderdate AS DATE) AS date, {_MEASURES} FROM orders) GROUP BY date""",
     "stream_dedupe": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_ingest": "SELECT event_id, ts, user_id, event_type, value FROM events",
 }

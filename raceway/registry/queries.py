@@ -546,6 +546,44 @@ def stream_window_mean(spark, sf_dir):
     return _rounded(streaming.read_changes(spark, out, ["window_start"]), ["value"])
 
 
+@query
+def stream_late(spark, sf_dir):
+    """Three landings that each span the whole month, so much of the second and third comes after its day has closed."""
+    out, raw, checkpoint = (new_folder(spark, x) for x in ("late", "raw", "checkpoint"))
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    part = F.col("event_id") % 10
+    for landing in (part > 4, part.between(1, 4), part == 0):
+        events.filter(landing).write.mode("append").parquet(raw)
+        stream = streaming.open_stream(spark, raw, events.schema, max_files=1_000_000)
+        streaming.run_available(
+            streaming.write_windows(stream, "ts", ["value"], "1 day", LATENESS, out, checkpoint)
+        )
+    day = F.window("ts", "1 day")["start"].alias("window_start")
+    late = streaming.read_late(spark, out)
+    counts = late.groupBy(day).agg(F.count("*").alias("late_rows"))
+    sums = ops.read_partials(spark, f"{out}/means", streaming.WINDOW).drop("window_end")
+    rest = ops.partial_sums(late.select(day, "value"), ["window_start"], ["value"])
+    every = ops.means_of(ops.merge_partials(sums.unionByName(rest), ["window_start"]), ["window_start"])
+    in_time = streaming.read_windows(spark, out).select("window_start", F.col("value").alias("in_time"))
+    return _rounded(
+        every.join(in_time, "window_start", "left").join(counts, "window_start", "left").fillna(0, ["late_rows"]),
+        ["value", "in_time"],
+    )
+
+
+@query
+def daily_mean_incremental(spark, sf_dir):
+    """Three loads out of order, one of them given twice, merged before the last."""
+    out = new_folder(spark, "means")
+    samples = views.weather(spark, sf_dir).withColumn("day", written_day("date"))
+    for load in (1, 0, 1, 2):
+        if load == 2:
+            ops.compact_partials(spark, out, ["day"], upto=1)
+        ops.add_partials(samples.filter(F.col("session_key") % 3 == load), ["day"], MEASURES, out, load)
+    means = ops.means_of(ops.read_partials(spark, out, ["day"]), ["day"])
+    return _rounded(means.withColumnRenamed("day", "date"), MEASURES)
+
+
 @query
 def stream_dedupe(spark, sf_dir):
     polled = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))

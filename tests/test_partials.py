@@ -1,0 +1,123 @@
+import os
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from raceway import operators as ops, streaming
+from raceway.operators import partials
+
+ROWS = [(k % 4, None if k % 7 == 0 else k / 10) for k in range(60)] + [(9, None), (None, 2.5)]
+
+
+def means(df):
+    return {r[0]: r[1] for r in df.collect()}
+
+
+@pytest.fixture
+def loads(spark):
+    rows = spark.createDataFrame([(k, *r) for k, r in enumerate(ROWS)], "id long, day int, value double")
+    return rows, [rows.filter(F.col("id") % 3 == k).drop("id") for k in range(3)]
+
+
+def whole(rows):
+    return means(rows.groupBy("day").agg(F.avg("value")))
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1), (1, 2, 1, 0, 1)])
+def test_loads_in_any_order_give_the_mean_of_all(spark, loads, tmp_path, order):
+    rows, parts = loads
+    out = f"{tmp_path}/means"
+    for load in order:
+        ops.add_partials(parts[load], ["day"], ["value"], out, load)
+    got = means(ops.means_of(ops.read_partials(spark, out, ["day"]), ["day"]))
+    assert got == pytest.approx(whole(rows)) and got[9] is None
+
+
+def test_a_load_given_again_replaces_itself(spark, loads, tmp_path):
+    rows, parts = loads
+    out = f"{tmp_path}/means"
+    ops.add_partials(parts[0].withColumn("value", F.lit(1e9)), ["day"], ["value"], out, 0)
+    for load in (1, 2, 0):
+        ops.add_partials(parts[load], ["day"], ["value"], out, load)
+    assert means(ops.means_of(ops.read_partials(spark, out, ["day"]), ["day"])) == pytest.approx(whole(rows))
+    assert spark.read.parquet(f"{out}/load=0").count() <= 6  # one row per group of the load, not per row
+
+
+def test_merged_loads_count_once_and_stay_closed(spark, loads, tmp_path, monkeypatch):
+    rows, parts = loads
+    out = f"{tmp_path}/means"
+    read = lambda: means(ops.means_of(ops.read_partials(spark, out, ["day"]), ["day"]))
+    ops.add_partials(parts[0], ["day"], ["value"], out, 0)
+    ops.add_partials(parts[1], ["day"], ["value"], out, 1)
+    before = read()
+    with monkeypatch.context() as m:  # a stop before the merged rows appear
+        m.setattr(partials, "move_folder", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            ops.compact_partials(spark, out, ["day"], upto=1)
+    assert read() == before
+    ops.compact_partials(spark, out, ["day"], upto=1)
+    assert read() == before and {"load=0", "load=1", "load=1.5"} <= set(os.listdir(out))
+    with pytest.raises(ValueError, match="merged"):
+        ops.add_partials(parts[0], ["day"], ["value"], out, 1)
+    ops.add_partials(parts[2], ["day"], ["value"], out, 2)
+    assert read() == pytest.approx(whole(rows))
+    ops.compact_partials(spark, out, ["day"], upto=5)
+    assert read() == pytest.approx(whole(rows))
+    assert not {"load=0", "load=1"} & set(os.listdir(out))
+    ops.compact_partials(spark, out, ["day"], upto=5)  # nothing new
+    assert read() == pytest.approx(whole(rows))
+
+
+def test_sums_are_exact_and_an_empty_load_changes_nothing(spark, tmp_path):
+    out = f"{tmp_path}/means"
+    values = [0.1, 1e15, 0.2, -1e15, 0.3]
+    for load, value in enumerate(values):
+        ops.add_partials(spark.createDataFrame([(1, value)], "day int, value double"), ["day"], ["value"], out, load)
+    ops.add_partials(spark.createDataFrame([], "day int, value double"), ["day"], ["value"], out, 9)
+    assert means(ops.means_of(ops.read_partials(spark, out, ["day"]), ["day"])) == {1: 0.6 / 5}
+
+
+START = datetime(2024, 3, 2, 15)
+LANDINGS = [
+    [(1, 0, 1.0), (2, 30, 3.0), (3, 200, 5.0)],  # newest: 200
+    [(4, 10, 100.0), (5, 170, 7.0), (6, None, 9.0), (7, 130, 11.0)],  # 4 is late: its hour ended at 60
+    [(8, 199, 2.0), (9, 400, 4.0), (10, 30, 6.0)],
+    [(11, 210, 8.0)],  # the mark of the third landing has closed its hour
+]
+
+
+def test_every_row_counts_or_is_told_late(spark, tmp_path):
+    out, raw, checkpoint = (f"{tmp_path}/{n}" for n in ("out", "raw", "checkpoint"))
+    schema = spark.createDataFrame([], "id long, at timestamp, value double").schema
+
+    def run():
+        stream = streaming.open_stream(spark, raw, schema)
+        streaming.run_available(
+            streaming.write_windows(stream, "at", ["value"], "1 hour", "1 hour", out, checkpoint)
+        )
+
+    def found():
+        windows = streaming.read_windows(spark, out).select(
+            F.col("window_start").cast("timestamp_ntz"), "value"
+        )
+        return means(windows), {r.id: r.late_batch for r in streaming.read_late(spark, out).collect()}
+
+    for landing in LANDINGS:
+        rows = [(i, None if m is None else START + timedelta(minutes=m), v) for i, m, v in landing]
+        spark.createDataFrame(rows, "id long, at timestamp_ntz, value double").withColumn(
+            "at", F.col("at").cast("timestamp")
+        ).coalesce(1).write.mode("append").parquet(raw)
+        run()
+    hour = lambda k: START + timedelta(hours=k)
+    want = {hour(0): 2.0, hour(2): 9.0, hour(3): 3.5, hour(6): 4.0}, {4: 1, 6: 1, 10: 2, 11: 3}
+    assert found() == want
+    assert streaming.read_late(spark, out).columns == ["id", "at", "value", "late_batch"]
+    closed = streaming.read_windows(spark, out, "1 hour").select(F.col("window_start").cast("timestamp_ntz")).collect()
+    assert {r[0] for r in closed} == {hour(0), hour(2), hour(3)}
+
+    for name in os.listdir(f"{checkpoint}/commits"):  # the last batch was done, but the stream stopped before it knew
+        if name in ("3", ".3.crc"):
+            os.remove(f"{checkpoint}/commits/{name}")
+    run()
+    assert found() == want
