@@ -288,6 +288,9 @@ ORACLES: dict[str, str] = {
     "stream_window_mean": """
         SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, ROUND(AVG(value), 6) AS value
         FROM events GROUP BY 1""",
+    "bucketed_lookup": """
+        SELECT l_orderkey AS order_id, l_linenumber, l_quantity, o_custkey, o_orderstatus AS status
+        FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""",
     "stream_late": """
         WITH landed AS (
             SELECT ts, value, date_trunc('day', ts)::TIMESTAMP AS window_start,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -546,6 +547,20 @@ def stream_window_mean(spark, sf_dir):
     return _rounded(streaming.read_changes(spark, out, ["window_start"]), ["value"])
 
 
+@query
+def bucketed_lookup(spark, sf_dir):
+    """Lines with the customer and the day of their order; neither table is shuffled for the join."""
+    root, mark = new_folder(spark, "buckets"), uuid.uuid4().hex
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id"), "l_linenumber", "l_quantity")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), "o_custkey", F.col("o_orderstatus").alias("status")
+    )
+    fact, dim = f"lines_{mark}", f"orders_{mark}"
+    sources.store_fact(lines, ["order_id"], fact, root, buckets=16)
+    sources.store_dimension(orders, ["order_id"], fact, dim, root, buckets=16)
+    return sources.lookup_stored(spark, fact, dim, ["order_id"], ["o_custkey", "status"])
+
+
 @query
 def stream_late(spark, sf_dir):
     """Three landings that each span the whole month, so much of the second and third comes after its day has closed."""

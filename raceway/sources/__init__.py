@@ -1,3 +1,4 @@
+from raceway.sources.buckets import lookup_stored, store_dimension, store_fact
 from raceway.sources.catalogue import CATALOGUE, SourceSpec, load_specs
 from raceway.sources.readers import read_csv, read_json_batches, read_source, read_warehouse
 from raceway.sources.writers import cluster_for_write, export_csv, write_raw, write_warehouse
@@ -8,10 +9,13 @@ __all__ = [
     "cluster_for_write",
     "export_csv",
     "load_specs",
+    "lookup_stored",
     "read_csv",
     "read_json_batches",
     "read_source",
     "read_warehouse",
+    "store_dimension",
+    "store_fact",
     "write_raw",
     "write_warehouse",
 ]
