@@ -1,4 +1,5 @@
 from raceway.operators.combine import lookup_left, request_manifest, union_batches
+from raceway.operators.curve import cluster_on_curve, place_on_curve
 from raceway.operators.history import asof_left, intervals
 from raceway.operators.keyed import (
     day_key,
@@ -43,6 +44,7 @@ __all__ = [
     "align_to_contract",
     "asof_left",
     "check_unique",
+    "cluster_on_curve",
     "compact_partials",
     "contract_violations",
     "daily_mean",
@@ -62,6 +64,7 @@ __all__ = [
     "means_of",
     "merge_partials",
     "partial_sums",
+    "place_on_curve",
     "read_partials",
     "request_manifest",
     "require_rows",

@@ -291,6 +291,14 @@ ORACLES: dict[str, str] = {
     "bucketed_lookup": """
         SELECT l_orderkey AS order_id, l_linenumber, l_quantity, o_custkey, o_orderstatus AS status
         FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""",
+    "curve_layout": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem",
+    "raw_variant": """
+        SELECT event_id AS session_key,
+               CASE WHEN event_id % 10 = 0 THEN 'absent' WHEN event_type = 'click' THEN 'text'
+                    WHEN event_type = 'view' THEN 'null' ELSE 'number' END AS kind,
+               CASE WHEN event_id % 10 <> 0 AND event_type NOT IN ('click', 'view') THEN value END AS number,
+               CASE WHEN event_id % 10 <> 0 AND event_type = 'click' THEN '+1 LAP' END AS text
+        FROM events""",
     "stream_late": """
         WITH landed AS (
             SELECT ts, value, date_trunc('day', ts)::TIMESTAMP AS window_start,

@@ -561,6 +561,30 @@ def bucketed_lookup(spark, sf_dir):
     return sources.lookup_stored(spark, fact, dim, ["order_id"], ["o_custkey", "status"])
 
 
+@query
+def curve_layout(spark, sf_dir):
+    """Lines stored along a curve through part, supplier and day, read back."""
+    out = new_folder(spark, "curve")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    ops.cluster_on_curve(lines, ["l_partkey", "l_suppkey", "l_shipdate"]).write.parquet(out)
+    return spark.read.parquet(out)
+
+
+@query
+def raw_variant(spark, sf_dir):
+    """Records whose gap is a number, text, null or absent, landed as JSON, stored as VARIANT, told apart again."""
+    landing, stored = new_folder(spark, "landing"), new_folder(spark, "variants")
+    gap = F.when(F.col("event_type") == "click", '"+1 LAP"').when(F.col("event_type") == "view", "null")
+    gap = gap.otherwise(F.col("value").cast("string"))
+    gap = F.when(F.col("event_id") % 10 == 0, "").otherwise(F.concat(F.lit(', "gap_to_leader": '), gap))
+    line = F.concat(F.lit('{"session_key": '), F.col("event_id").cast("string"), gap, F.lit("}"))
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(landing)
+    sources.read_json_records(spark, landing).write.parquet(stored)
+    return spark.read.parquet(stored).select(
+        sources.field("record", "session_key", "long").alias("session_key"), sources.mixed("record", "gap_to_leader").alias("gap")
+    ).select("session_key", "gap.kind", "gap.number", F.when(F.col("gap.kind") == "text", F.col("gap.text")).alias("text"))
+
+
 @query
 def stream_late(spark, sf_dir):
     """Three landings that each span the whole month, so much of the second and third comes after its day has closed."""
