@@ -67,6 +67,13 @@ _MEASURES = """
            o_totalprice + o_custkey AS air_temperature, o_totalprice - o_custkey AS track_temperature,
            o_custkey / 2.0::DOUBLE AS wind_speed, CAST(o_orderkey AS DOUBLE) AS wind_direction"""
 
+_EXACT_MEANS = ", ".join(
+    f"CAST(SUM(CAST({m} AS DECIMAL(26,4))) AS DOUBLE) / NULLIF(COUNT({m}), 0) AS {m}"
+    for m in (
+        "humidity", "pressure", "rainfall", "air_temperature", "track_temperature", "wind_speed", "wind_direction"
+    )
+)
+
 ORACLES: dict[str, str] = {
     "results_fact": _RESULTS,
     "pit_stops_fact": """
@@ -311,11 +318,7 @@ ORACLES: dict[str, str] = {
                count(*) FILTER (late) AS late_rows
         FROM told GROUP BY 1""",
     "daily_mean_incremental": f"""
-        SELECT date, ROUND(AVG(humidity), 6) AS humidity, ROUND(AVG(pressure), 6) AS pressure,
-               ROUND(AVG(rainfall), 6) AS rainfall, ROUND(AVG(air_temperature), 6) AS air_temperature,
-               ROUND(AVG(track_temperature), 6) AS track_temperature,
-               ROUND(AVG(wind_speed), 6) AS wind_speed,
-               ROUND(AVG(wind_direction), 6) AS wind_direction
+        SELECT date, {_EXACT_MEANS}
         FROM (SELECT CAST(o_orderdate AS DATE) AS date, {_MEASURES} FROM orders) GROUP BY date""",
     "stream_dedupe": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_ingest": "SELECT event_id, ts, user_id, event_type, value FROM events",
