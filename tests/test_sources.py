@@ -1,6 +1,8 @@
 import json
 import os
+import uuid
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
@@ -44,6 +46,50 @@ def test_only_a_local_session_makes_its_own_scratch_folder(spark):
     assert os.path.isdir(shared_folder(local)) and shared_folder(local) == local.folder
 
 
+class FakeCluster(FakeSession):
+    """A cluster whose tasks run in ``spark`` and write below ``disk``, if they do not see the driver's folders."""
+
+    defaultParallelism = 2
+
+    def __init__(self, spark, master="spark://host:7077", disk=None, **conf):
+        super().__init__(master, _jvm=spark._jvm, _jsc=spark._jsc, **conf)
+        self.read, self.applicationId, self.tried = spark.read, uuid.uuid4().hex, 0
+        self._spark, self._disk = spark, disk
+
+    def range(self, *args):
+        self.tried += 1
+        numbers, disk = self._spark.range(*args), self._disk
+        if disk is None:
+            return numbers
+        return SimpleNamespace(write=SimpleNamespace(parquet=lambda path: numbers.write.parquet(disk + "/other")))
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[2,1,1024]"])
+@pytest.mark.parametrize("scheme", ["", "file:", "file://"])
+def test_a_cluster_may_share_a_mounted_folder(spark, tmp_path, master, scheme):
+    mount = f"{scheme}{tmp_path}"
+    cluster = FakeCluster(spark, master, **{"spark.checkpoint.dir": mount})
+    assert shared_folder(cluster) == mount and new_folder(cluster, "x").startswith(f"{mount}/x-")
+    assert cluster.tried == 1 and os.listdir(tmp_path) == []
+
+
+def test_a_cluster_refuses_a_folder_of_the_driver_alone(spark, tmp_path):
+    own = FakeCluster(spark, disk=str(tmp_path / "disk"), **{"spark.checkpoint.dir": str(tmp_path / "cp")})
+    with pytest.raises(RuntimeError, match="every executor"):
+        shared_folder(own)
+    (tmp_path / "file").write_text("")
+    with pytest.raises(RuntimeError, match="every executor"):
+        shared_folder(FakeCluster(spark, **{"spark.checkpoint.dir": str(tmp_path / "file")}))
+
+
+def test_a_cluster_without_a_named_folder_uses_the_warehouse(spark, tmp_path):
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]"):
+        cluster = FakeCluster(spark, master, **{"spark.sql.warehouse.dir": f"file:{tmp_path}"})
+        assert new_folder(cluster, "x").startswith(f"file:{tmp_path}/_scratch/x-") and cluster.folder is None
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(FakeSession(master))
+
+
 def test_session_is_pinned_to_utc(spark):
     assert get_session() is not None
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
