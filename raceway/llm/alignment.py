@@ -53,6 +53,7 @@ class Tokenizers:
         for token, i in entries.items():
             self.bytes_a[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.written = [*map(str, range(max(len(self.bytes_a), len(self.bytes_b))))]
         self.size_a, self.size_b = ([*map(len, t)] for t in (self.bytes_a, self.bytes_b))
         self.apart = not any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(len(self.bytes_b)))
         self.known: dict[str, Stretch | None] = {}
@@ -77,8 +78,9 @@ class Tokenizers:
 
     def _stretch(self, a: list[int], b: list[int]) -> Stretch:
         ends_a, ends_b = [*accumulate(map(self.size_a.__getitem__, a))], [*accumulate(map(self.size_b.__getitem__, b))]
-        cut, pairs = groups(ends_a, ends_b), array("q", links(a, b, ends_a, ends_b)).tobytes()
-        return len(a), len(b), len(cut), spelled([*map(str, a)], [*map(str, b)], cut), pairs
+        cut, written = groups(ends_a, ends_b), self.written.__getitem__
+        text = spelled([*map(written, a)], [*map(written, b)], cut)
+        return len(a), len(b), len(cut), text, array("q", links(a, b, ends_a, ends_b, cut)).tobytes()
 
     def align(self, texts: list[str | None]) -> list[list[Stretch]]:
         """The aligned stretches of each text; none where the tokens do not spell a space and the text."""
@@ -96,46 +98,62 @@ def groups(ends_a: list[int], ends_b: list[int]) -> list[Group]:
     """``(a, a', b, b')``: runs of tokens between neighbouring shared ends, in order.
 
     An interval ends in a shared end. The shared end nearest its middle, by tokens of A, is looked for by
-    bisecting the ends of B, and both sides are treated alike; an interval without one is a group.
+    bisecting the ends of B, and both sides are treated alike, the left one first; an interval without one is a group.
     """
-    out, open_ = [], [(0, len(ends_a), 0, len(ends_b))]
-    while open_:
-        a, a2, b, b2 = open_.pop()
-        middle, cut = (a + a2 - 1) // 2, -1
+    out, open_, a, a2, b, b2 = [], [], 0, len(ends_a), 0, len(ends_b)
+    if not a2:
+        return out
+    while True:
+        cut = -1
         if a2 - a > 1 and b2 - b > 1:
-            for far in range(a2 - a):
-                i = middle + (far + 1) // 2 if far & 1 else middle - far // 2
+            i = middle = (a + a2 - 1) // 2
+            for far in range(1, a2 - a + 1):
                 if a <= i < a2 - 1:
-                    cut = bisect_left(ends_b, ends_a[i], b, b2 - 1)
-                    if cut < b2 - 1 and ends_b[cut] == ends_a[i]:
+                    end = ends_a[i]
+                    cut = bisect_left(ends_b, end, b, b2 - 1)
+                    if cut < b2 - 1 and ends_b[cut] == end:
                         break
                     cut = -1
-        if cut < 0:
-            if a < a2:
-                out.append((a, a2, b, b2))
-        else:
+                i = middle + (far + 1) // 2 if far & 1 else middle - far // 2
+        if cut >= 0:
             open_.append((i + 1, a2, cut + 1, b2))
-            open_.append((a, i + 1, b, cut + 1))
-    return out
+            a2, b2 = i + 1, cut + 1
+            continue
+        out.append((a, a2, b, b2))
+        if not open_:
+            return out
+        a, a2, b, b2 = open_.pop()
 
 
 def spelled(a: list[str], b: list[str], cut: list[Group]) -> str:
     """``a1,a2|b1;a3|b2,b3``: the groups' ids."""
-    return ";".join([f"{','.join(a[i:j])}|{','.join(b[k:l])}" for i, j, k, l in cut])
-
-
-def links(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> list[int]:
-    """The id pair, as one number, of each two tokens that overlap, once: by going along both encodings."""
-    out, i, j = [], 0, 0
-    for _ in range(len(a) + len(b)):
-        out.append(a[i] << LOW | b[j])
-        here, there = ends_a[i], ends_b[j]
-        if here <= there:
-            i += 1
-        if there <= here:
-            j += 1
-        if i == len(a):
-            break
+    return ";".join([
+        f"{a[i] if j - i == 1 else ','.join(a[i:j])}|{b[k] if l - k == 1 else ','.join(b[k:l])}" for i, j, k, l in cut
+    ])
+
+
+def links(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int], cut: list[Group]) -> list[int]:
+    """The id pair, as one number, of each two tokens that overlap, once: by going along both encodings in each group."""
+    out: list[int] = []
+    for i, i2, j, j2 in cut:
+        here = a[i] << LOW
+        if i2 - i == 1:  # one token overlaps all of the other side
+            if j2 - j == 1:
+                out.append(here | b[j])
+            else:
+                out += [here | y for y in b[j:j2]]
+        elif j2 - j == 1:
+            y = b[j]
+            out += [x << LOW | y for x in a[i:i2]]
+        else:
+            while True:
+                out.append(a[i] << LOW | b[j])
+                if ends_a[i] < ends_b[j]:
+                    i += 1
+                elif j + 1 < j2:  # no end inside a group is shared
+                    j += 1
+                else:
+                    break
     return out
 
 

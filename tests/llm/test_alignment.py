@@ -69,3 +69,15 @@ def test_stretches_give_what_whole_texts_give():
     for parts, whole in zip(cut, both.align(texts)):
         assert [sum(s[k] for s in parts) for k in range(3)] == [sum(s[k] for s in whole) for k in range(3)]
         assert ";".join(s[3] for s in parts) == ";".join(s[3] for s in whole)
+
+
+def test_each_overlap_is_linked_once():
+    draw = random.Random(2)
+    for _ in range(200):
+        ends_a, ends_b = (sorted({*(draw.randint(1, 30) for _ in range(draw.randint(0, 20))), 30}) for _ in "ab")
+        a, b = ([draw.randint(0, 9) for _ in ends] for ends in (ends_a, ends_b))
+        begins_a, begins_b = [0, *ends_a], [0, *ends_b]
+        want = sorted(
+            x << alignment.LOW | y for x, s, e in zip(a, begins_a, ends_a) for y, t, f in zip(b, begins_b, ends_b) if s < f and t < e
+        )
+        assert sorted(alignment.links(a, b, ends_a, ends_b, alignment.groups(ends_a, ends_b))) == want
