@@ -25,7 +25,7 @@ CHUNK = re.compile(r"\s*\S+|\s+")
 
 NONE = np.iinfo(np.int64).max
 #: Words encoded together hold about so many leaves; words kept by a worker.
-LEAVES, KEPT = 1 << 18, 250_000
+LEAVES, KEPT = 1 << 16, 250_000
 #: Bytes of text, or ids, worked on at once.
 RUN = 2_000_000
 IDS = T.ArrayType(T.IntegerType())
@@ -70,6 +70,7 @@ class Vocabulary:
         names = sorted(added, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.words = regex.compile(PATTERN)
+        self.pieces = pa.array(self.bytes, pa.binary())
         self.kept: dict[str, bytes] = {}
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -102,7 +103,8 @@ class Vocabulary:
         return out
 
     def _merge(self, words: list[bytes], width: int) -> np.ndarray:
-        n = len(words)
+        n, kind = len(words), np.int32 if (len(self.merged) + 1) * width < np.iinfo(np.int32).max else np.int64
+        none = np.iinfo(kind).max
         lengths = np.array([len(w) for w in words])
         raw = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(n, width)
         place = np.arange(width)
@@ -110,41 +112,45 @@ class Vocabulary:
         token[:, :width] = np.where(place < lengths[:, None], self.first[raw], -1)
         after = np.tile(np.minimum(np.arange(1, width + 2), width), (n, 1))
         before = np.tile(np.r_[width, np.arange(width)], (n, 1))
-        tree = np.full((n, 2 * width), NONE)
-
-        def leaves(rank: np.ndarray, at: np.ndarray) -> np.ndarray:
-            return np.where(rank == NONE, NONE, rank * width + at)
-
-        tree[:, width:] = leaves(self.rank(token[:, :width], token[:, 1:]), place[None, :])
+        tree = np.full((n, 2 * width), none, kind)
+        tree[:, width:] = self._leaves(token[:, :width], token[:, 1:], place, width, none)
         low = width
         while low > 1:
             low //= 2
             tree[:, low : 2 * low] = np.minimum(tree[:, 2 * low : 4 * low : 2], tree[:, 2 * low + 1 : 4 * low : 2])
-        rows = np.flatnonzero(tree[:, 1] != NONE)
+        # From here on all cells have one number each: that of a row's first cell, and a place in the row.
+        tokens, afters, befores, cells = token.ravel(), after.ravel(), before.ravel(), tree.ravel()
+        rows = np.flatnonzero(tree[:, 1] != none)
         while len(rows):
-            rank, at = np.divmod(tree[rows, 1], width)
-            gone = after[rows, at]
-            follow, prior = after[rows, gone], before[rows, at]
-            token[rows, at] = self.merged[rank]
-            token[rows, gone] = -1
-            after[rows, at] = follow
-            before[rows, follow] = at
-            touched = (
-                (rows, gone, np.full(len(rows), NONE)),
-                (rows, at, self.rank(token[rows, at], token[rows, follow])),
-                (rows, prior, self.rank(token[rows, prior], token[rows, at])),
-            )
-            for r, p, value in touched:
-                real = p < width
-                r, p, value = r[real], p[real], value[real]
-                node = p + width
-                tree[r, node] = leaves(value, p)
-                while len(node) and node[0] > 1:
-                    node = node >> 1
-                    tree[r, node] = np.minimum(tree[r, 2 * node], tree[r, 2 * node + 1])
-            rows = rows[tree[rows, 1] != NONE]
+            line, root = rows * (width + 1), rows * (2 * width)
+            rank, at = np.divmod(cells[root + 1].astype(np.int64), width)
+            gone = afters[line + at]
+            follow, prior = afters[line + gone], befores[line + at]
+            made = self.merged[rank]
+            tokens[line + at] = made
+            tokens[line + gone] = -1
+            afters[line + at] = follow
+            befores[line + follow] = at
+            cells[root + width + gone] = none
+            cells[root + width + at] = self._leaves(made, tokens[line + follow], at, width, none)
+            real = prior < width
+            some, first = root[real], prior[real]
+            cells[some + width + first] = self._leaves(tokens[line[real] + first], made[real], first, width, none)
+            for roots, place in ((root, gone), (root, at), (some, first)):
+                node = place + width
+                step = 1
+                while step < width:
+                    step, node = 2 * step, node >> 1
+                    pair = roots + 2 * node
+                    cells[roots + node] = np.minimum(cells[pair], cells[pair + 1])
+            rows = rows[cells[root + 1] != none]
         return token[:, :width]
 
+    def _leaves(self, left: np.ndarray, right: np.ndarray, at: np.ndarray, width: int, none: int) -> np.ndarray:
+        """Ranks of pairs joined with their places; ``none`` where they do not merge."""
+        rank = self.rank(left, right)
+        return np.where(rank == NONE, none, rank * width + at)
+
     def _learn(self, chunks: set[str]) -> None:
         """Encode chunks not met before: cut by the pattern, then merge each different word once."""
         cut = {c: self.words.findall(c) for c in chunks}
@@ -186,6 +192,16 @@ class Vocabulary:
         """The text of token ids, special ones included; broken UTF-8 gives replacement letters."""
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
+    def decode_lists(self, ids: pa.ListArray) -> pa.Array:
+        """``decode`` of each list at once: the bytes of all tokens lie in one buffer, cut where a list ends."""
+        joined = self.pieces.take(ids.values)
+        ends = np.frombuffer(joined.buffers()[1], np.int32)[ids.offsets.to_numpy()]
+        raw = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), joined.buffers()[2]])
+        try:
+            return raw.cast(pa.string())  # refuses broken UTF-8
+        except pa.ArrowInvalid:
+            return pa.array([b.decode("utf-8", "replace") for b in raw.to_pylist()], pa.string())
+
 
 _LOADED: dict[int, Vocabulary] = {}
 
@@ -230,8 +246,8 @@ class Codec:
         """Both in one pass: ``ids`` of the text, and the text that those ids decode to."""
 
         def make(v: Vocabulary, rows: pa.Array) -> list[pa.Array]:
-            encoded = v.encode(_texts(rows))
-            return [_arrays(encoded), pa.array([v.decode(x.tolist()) for x in encoded], pa.string())]
+            encoded = _arrays(v.encode(_texts(rows)))
+            return [encoded, v.decode_lists(encoded)]
 
         return self._added(df, text, {ids: IDS, decoded: T.StringType()}, make)
 

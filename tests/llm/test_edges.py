@@ -366,3 +366,28 @@ def test_a_sample_far_below_the_table_is_not_empty(spark):
     for share, low, high in ((1.0, 3_000_000, 3_000_000), (1e-3, 2700, 3300), (8e-7, 0, 12), (0.0, 0, 0)):
         assert low <= ids.filter(sampled(ids.id, share)).count() <= high
     assert int(4000 / 5e10 * (1 << 62)) > 10**11
+
+
+def test_lists_of_tokens_are_decoded_at_once():
+    import public_tokenizers
+    import pyarrow as pa
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        vocabulary = bpe.Vocabulary(file.read())
+    whole = vocabulary.encode(["", "Été 東京 😀 <|endoftext|>  x\n", "word"])
+    for lists in (whole, [*whole, vocabulary.encode(["é"])[0][:0], vocabulary.first[[0xC3, 0x28, 0xED, 0xA0, 0x80]].astype("<i4")]):
+        stored = bpe._arrays(lists)
+        want = [vocabulary.decode(x.tolist()) for x in lists]
+        assert vocabulary.decode_lists(stored).to_pylist() == want
+        assert vocabulary.decode_lists(stored.slice(1)).to_pylist() == want[1:]
+    assert "�" in want[-1] and vocabulary.decode_lists(bpe._arrays([])) == pa.array([], pa.string())
+
+
+def test_a_word_of_many_bytes_needs_wider_ranks():
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        vocabulary = bpe.Vocabulary(file.read())
+    words = [b" the", b"x", b"ononon", b"\xc3\xa9" * 9]
+    narrow = [vocabulary._merge(words, 32), vocabulary._merge(words, 1 << 16)]
+    assert [w[w >= 0].tolist() for w in narrow[0]] == [w[w >= 0].tolist() for w in narrow[1]]
