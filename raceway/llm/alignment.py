@@ -9,6 +9,7 @@ from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import accumulate
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,9 @@ LOW = 20
 #: Before a space after a letter both encodings have an end: A's words begin there, and no piece of B goes on.
 WORD = re.compile(r"(?<=\S)(?= )")
 #: Stretches encoded together, and letters of the stretches that a worker remembers.
-MANY, KEPT = 4000, 8_000_000
+MANY, KEPT = 4000, 12_000_000
+#: Most tokens of a stretch whose shape is remembered, and most shapes that a worker remembers.
+SHORT, SHAPES = 32, 100_000
 
 Group = tuple[int, int, int, int]
 #: n_a, n_b, n_groups, groups as text and linked pairs (64-bit numbers) of a stretch of text.
@@ -53,10 +56,10 @@ class Tokenizers:
         for token, i in entries.items():
             self.bytes_a[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
-        self.written = [*map(str, range(max(len(self.bytes_a), len(self.bytes_b))))]
         self.size_a, self.size_b = ([*map(len, t)] for t in (self.bytes_a, self.bytes_b))
         self.apart = not any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(len(self.bytes_b)))
         self.known: dict[str, Stretch | None] = {}
+        self.shapes: dict[tuple[int, ...], Shape] = {}
         self.letters = 0
 
     def _piece(self, i: int) -> bytes:
@@ -65,22 +68,47 @@ class Tokenizers:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
+    def _encoded(self, stretches: list[str]) -> list[list[int]]:
+        """A's ids of each stretch.
+
+        As A's words begin before a space after a letter, all stretches that end in a letter are encoded as one
+        text. Where tokens spell another text or run over an end, each is encoded alone.
+        """
+        joint = [s for s in stretches if not s[-1].isspace()]
+        text, found = "".join(joint), {}
+        ids = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        if joint and b"".join(map(self.bytes_a.__getitem__, ids)) == text.encode():
+            ends = np.cumsum(np.fromiter(map(self.size_a.__getitem__, ids), np.int64, len(ids)))
+            cuts = np.cumsum(np.fromiter((len(s.encode()) for s in joint), np.int64, len(joint)))
+            at = np.searchsorted(ends, cuts)
+            if np.array_equal(ends[at], cuts):
+                edges = [0, *(at + 1).tolist()]
+                found = {s: ids[i:j] for s, i, j in zip(joint, edges, edges[1:])}
+        rest = [s for s in stretches if s not in found]
+        found.update(zip(rest, (e.ids for e in self.a.encode_batch_fast(rest, add_special_tokens=False))))
+        return [found[s] for s in stretches]
+
     def _learn(self, stretches: list[str]) -> None:
         """Align stretches that each begin with the space that B puts itself; None where tokens spell another text."""
         token_a, token_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        encoded_a = self.a.encode_batch_fast(stretches, add_special_tokens=False)
         encoded_b = self.b.encode([s[1:] for s in stretches], num_threads=1)
-        for text, a, b in zip(stretches, encoded_a, encoded_b):
-            a, b = a.ids, b or [self.b.piece_to_id("▁")]
+        for text, a, b in zip(stretches, self._encoded(stretches), encoded_b):
+            b = b or [self.b.piece_to_id("▁")]
             spelled_a, spelled_b = b"".join(map(token_a, a)), b"".join(map(token_b, b))
             found = self._stretch(a, b) if spelled_a == text.encode() == spelled_b else None
             self.known[text], self.letters = found, self.letters + len(text)
 
     def _stretch(self, a: list[int], b: list[int]) -> Stretch:
-        ends_a, ends_b = [*accumulate(map(self.size_a.__getitem__, a))], [*accumulate(map(self.size_b.__getitem__, b))]
-        cut, written = groups(ends_a, ends_b), self.written.__getitem__
-        text = spelled([*map(written, a)], [*map(written, b)], cut)
-        return len(a), len(b), len(cut), text, array("q", links(a, b, ends_a, ends_b, cut)).tobytes()
+        sizes_a, sizes_b = [*map(self.size_a.__getitem__, a)], [*map(self.size_b.__getitem__, b)]
+        if len(a) + len(b) > SHORT:
+            return aligned(a, b, sizes_a, sizes_b)
+        key = (len(a), *sizes_a, *sizes_b)
+        shape = self.shapes.get(key)
+        if shape is None:
+            if len(self.shapes) >= SHAPES:
+                self.shapes = {}
+            shape = self.shapes[key] = Shape(sizes_a, sizes_b)
+        return shape.filled(a, b)
 
     def align(self, texts: list[str | None]) -> list[list[Stretch]]:
         """The aligned stretches of each text; none where the tokens do not spell a space and the text."""
@@ -157,6 +185,37 @@ def links(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int], cut:
     return out
 
 
+def aligned(a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]) -> Stretch:
+    """A stretch from its token ids and their bytes."""
+    ends_a, ends_b = [*accumulate(sizes_a)], [*accumulate(sizes_b)]
+    cut = groups(ends_a, ends_b)
+    text = spelled([*map(str, a)], [*map(str, b)], cut)
+    return len(a), len(b), len(cut), text, array("q", links(a, b, ends_a, ends_b, cut)).tobytes()
+
+
+class Shape:
+    """The alignment of all stretches whose tokens have the same bytes, but for their ids.
+
+    Where tokens end says which are grouped and linked, so it is worked out once for many stretches.
+    """
+
+    __slots__ = ("sizes", "text", "order", "pairs")
+
+    def __init__(self, sizes_a: list[int], sizes_b: list[int]) -> None:
+        n_a, n_b = len(sizes_a), len(sizes_b)
+        ends_a, ends_b = [*accumulate(sizes_a)], [*accumulate(sizes_b)]
+        cut = groups(ends_a, ends_b)
+        self.sizes = n_a, n_b, len(cut)
+        self.text = spelled(["%d"] * n_a, ["%d"] * n_b, cut)
+        self.order = itemgetter(*[k for i, j, k2, l in cut for k in (*range(i, j), *range(n_a + k2, n_a + l))])
+        numbered = links([*range(n_a)], [*range(n_b)], ends_a, ends_b, cut)
+        self.pairs = [(p >> LOW, p & (1 << LOW) - 1) for p in numbered]
+
+    def filled(self, a: list[int], b: list[int]) -> Stretch:
+        pairs = array("q", [a[i] << LOW | b[j] for i, j in self.pairs])
+        return *self.sizes, self.text % self.order(a + b), pairs.tobytes()
+
+
 def _int_lists(parts: list[np.ndarray]) -> pa.ListArray:
     ends = np.r_[0, np.cumsum([len(p) for p in parts])].astype(np.int32)
     return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*parts, np.zeros(0, np.int64)]).astype(np.int64)))
@@ -202,7 +261,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     sentencepiece model, which reads the text and puts the space itself. NULL and empty texts, and those
     whose tokens do not spell space and text, have no tokens: zeros and ''. The strings of special tokens
     are plain text. Where both are known to end, before a space after a letter, a text is cut first; each different
-    stretch is then aligned by divide and conquer, once while a worker remembers it. Repeated rows and NULL ids are rows like others; other columns are not read.
+    stretch is then aligned by divide and conquer, once for all whose tokens have the same bytes in length, while a worker
+    remembers it. Repeated rows and NULL ids are rows like others; other columns are not read.
     """
     shipped(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))

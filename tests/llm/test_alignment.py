@@ -81,3 +81,34 @@ def test_each_overlap_is_linked_once():
             x << alignment.LOW | y for x, s, e in zip(a, begins_a, ends_a) for y, t, f in zip(b, begins_b, ends_b) if s < f and t < e
         )
         assert sorted(alignment.links(a, b, ends_a, ends_b, alignment.groups(ends_a, ends_b))) == want
+
+
+def test_stretches_encoded_as_one_text_have_the_ids_they_have_alone():
+    both, draw = alignment.Tokenizers(*PATHS), random.Random(4)
+    letters = ["a", "B", "é", "中", "\U0001f600", " ", "  ", "\n", "\t", "'s", "1", ".", "<s>", "<|endoftext|>", "\u00a0", "\x1d"]
+    cut = [alignment.WORD.split(" " + "".join(draw.choices(letters, k=draw.randint(1, 60)))) for _ in range(300)]
+    stretches = sorted({s for parts in cut for s in parts})
+    draw.shuffle(stretches)
+    alone = [e.ids for e in both.a.encode_batch_fast(stretches, add_special_tokens=False)]
+    assert both._encoded(stretches) == alone
+    assert both._encoded([" \n", " "]) == [e.ids for e in both.a.encode_batch_fast([" \n", " "], add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("most", [100_000, 1])
+def test_tokens_of_equal_sizes_are_aligned_once(monkeypatch, most):
+    """Of 2,000 numbers with few ways to be cut, each way is aligned once while it is remembered; ids differ."""
+    both, calls, plain = alignment.Tokenizers(*PATHS), [], alignment.groups
+    monkeypatch.setattr(alignment, "SHAPES", most)
+    monkeypatch.setattr(alignment, "groups", lambda *ends: calls.append(ends) or plain(*ends))
+    found = both.align([" ".join(f"{k * k}x" for k in range(2000))])[0]
+    assert len(found) == 2000 and len({s[3] for s in found}) == 2000
+    assert most == 1 or len(calls) == len({str(c) for c in calls}) < 200
+    sizes = [(both.size_a, both.size_b)]
+    for s in found[::50]:
+        a, b = ([int(x) for g in s[3].split(";") for x in g.split("|")[side].split(",")] for side in (0, 1))
+        assert s == alignment.aligned(a, b, *([*map(t.__getitem__, ids)] for t, ids in zip(sizes[0], (a, b))))
+
+
+def test_long_stretches_are_not_remembered_as_shapes():
+    both = alignment.Tokenizers(*PATHS)
+    assert both.align(["ab1" * 100])[0][0][0] > alignment.SHORT and not both.shapes
