@@ -8,6 +8,7 @@ from brute import (
     bpe as plain_bpe, edited, forward_backward, paragraph_likeness, ppm as plain_ppm, repeated_paragraphs,
     simhash_components, targets,
 )
+from conftest import plan
 from hypothesis import given, settings, strategies as st
 
 from raceway.llm import (
@@ -103,6 +104,23 @@ def test_simhash_links_keep_all_components(spark, dense):
     assert all(len(r) == 1 for r in found.values()) and len(set.union(*found.values())) == len(found)
 
 
+def test_simhash_does_not_broadcast_exploded_rows(spark, monkeypatch):
+    """Few rows, which Spark would broadcast; their 64 keys each are sized like the rows, so only a hint tells."""
+    plans, keep = {}, simhash.staged
+
+    def noted(df, label, *made):
+        plans[label] = plan(df)
+        return keep(df, label, *made)
+
+    monkeypatch.setattr(simhash, "staged", noted)
+    prints = spark.createDataFrame([(k,) for k in range(64)], "fp long")
+    found = plan(simhash.links(prints, dense=2))
+    assert "BroadcastHashJoin" not in plans["simhash-stars"]
+    for joins in (plan(simhash.links(prints)), found):
+        compared = [line for line in joins.split("\n") if "Join" in line and "bit_count" in line]
+        assert compared and all("SortMergeJoin" in line for line in compared)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 300)] + [(7, 7000)]
     random.Random(3).shuffle(edges)
