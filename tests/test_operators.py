@@ -330,6 +330,16 @@ def test_keys_are_compared_as_stored(spark, tmp_path):
         write_warehouse(df, PIT_STOPS, str(tmp_path))
 
 
+def test_keys_too_wide_for_their_column_are_counted(spark):
+    """Car numbers beyond 16 bits are breaches of the range, and equal only to themselves."""
+    cars = [1, 1, 32768, 65537, 65537, -32769, None, None]
+    df = spark.createDataFrame([(c, "X", "X", None, None) for c in cars], DRIVER_DDL.replace("driver_id int", "driver_id long"))
+    found = {(r.field, r.rule): r.breaches for r in ops.contract_violations(df, DRIVERS).collect()}
+    assert found["driver_id", "range"] == 4 and found["driver_id", "null"] == 2 and found["driver_id", "key"] == 3
+    with pytest.raises(ops.ContractError, match="driver_id range x4"):
+        ops.enforce_contract(df, DRIVERS)
+
+
 def test_violations_read_their_table_once(spark, tmp_path):
     spark.createDataFrame(DRIVER_ROWS, DRIVER_DDL).write.parquet(str(tmp_path / "t"))
     text = plan(ops.contract_violations(spark.read.parquet(str(tmp_path / "t")), DRIVERS))
