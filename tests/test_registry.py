@@ -1,12 +1,15 @@
 """Every registered query against its SQL, and what its plan must not hold."""
 
+import os
 import re
+from datetime import datetime
 
 import oracle
 import pytest
 from conftest import plan
 
 import __spark_entry__ as entry
+from raceway import plans, session
 from raceway.registry import ORACLES, QUERIES
 
 SF_DIR = f"{oracle.DATA}/sf0.001"
@@ -72,3 +75,36 @@ def test_results_do_not_depend_on_the_number_of_partitions(spark, conf, db, tmp_
     for partitions in ("2", "32"):
         conf("spark.sql.shuffle.partitions", partitions)
         assert oracle.compare(spark, db, name, SF_DIR, str(tmp_path / partitions)) == []
+
+
+def test_chain_keeps_little_on_disk(spark, tmp_path, monkeypatch):
+    """Landed records and the export are compressed; what is read no more is gone, shuffle files included."""
+    at, scratch, landed = datetime(2024, 3, 2, 15), tmp_path / "scratch", []
+    tables = {
+        "lineitem": ([(k, 1, k % 2, k, 5.0, 0.1, 0.2, "N", "O", at) for k in range(1, 7)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double,"
+                     "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+        "orders": ([(k, k % 2, "O", 1500.0, at, "1-URGENT") for k in range(1, 7)],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz,"
+                   "o_orderpriority string"),
+        "supplier": ([(k, f"Supplier#{k:09d}", 1) for k in range(2)], "s_suppkey long, s_name string, s_nationkey int"),
+    }
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    ingest, key = plans.ingest_all, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+
+    def noted(spark, landing, *rest, **more):
+        landed.extend(f for _, _, names in os.walk(landing) for f in names if f.startswith("part-"))
+        assert spark.conf.get(key) == "true"
+        return ingest(spark, landing, *rest, **more)
+
+    monkeypatch.setattr(plans, "ingest_all", noted)
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(scratch))
+    found = QUERIES["warehouse_chain"](spark, str(tmp_path))
+    assert landed and all(f.endswith(".json.gz") for f in landed)
+    assert {n.rsplit("-", 1)[0] for n in os.listdir(scratch)} == {"warehouse", "csv"}
+    exported = [f for _, _, names in os.walk(scratch) for f in names if f.startswith("part-") and ".csv" in f]
+    assert exported and all(f.endswith(".csv.gz") for f in exported)
+    assert spark.conf.get(key, None) == before
+    assert found.groupBy("table_name").count().count() == 8 and found.filter("table_name = 'PitStopsFT'").count() == 6
